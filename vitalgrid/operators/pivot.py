@@ -16,14 +16,14 @@ class Measure:
     """One output column: which item codes feed it and which values count."""
 
     name: str
-    codes: tuple[int, ...]
+    codes: tuple
     bound: Bound | None = None
     source: str | None = None  # column to read when it is not the default value column
     agg: str | None = None  # aggregate when it is not the default one
     clean: Callable[[Column], Column] | None = None
 
 
-_AGGREGATES = {"max": F.max, "min": F.min, "avg": F.avg, "sum": F.sum}
+_AGGREGATES = {"max": F.max, "min": F.min, "avg": F.avg, "sum": F.sum, "count": F.count}
 
 
 def codes_of(spec: Sequence[Measure]) -> list[int]:

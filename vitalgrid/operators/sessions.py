@@ -17,7 +17,9 @@ def lag_in(
     """Previous rows within a fine key (``prev_fine``) and within a coarse one (``prev_coarse``)."""
     extra = [k for k in keys1 if k not in keys2]
     fine = chunks.neighbours(df, keys1, t, [t], ties, previous="prev_fine")
-    return chunks.neighbours(fine, keys2, t, [t, *extra], ties, previous="prev_coarse")
+    return chunks.neighbours(
+        fine, keys2, t, [t, *extra], [*ties, *extra], previous="prev_coarse"
+    )
 
 
 def session_id(

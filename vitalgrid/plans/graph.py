@@ -57,6 +57,11 @@ SHARED = {
     "urine_output",
     "antibiotic",
     "suspicion_of_infection",
+    # Long plans of their own: cut here so that each is optimised alone.
+    "weight_durations",
+    "urine_output_rate",
+    "ventilation",
+    "bg",
 }
 
 
