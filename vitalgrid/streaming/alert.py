@@ -7,11 +7,14 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from vitalgrid.streaming.windows import windowed
 
-HOUR_NS = 3_600_000_000_000
+HOUR_MS = 3_600_000
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def hourly_points(
@@ -23,49 +26,72 @@ def hourly_points(
     )
 
 
-def early_alert(
-    hourly: DataFrame, key: str, organs: Sequence[str], threshold: int, hours: int = 24
-) -> DataFrame:
-    """First closed hour of each key at which the organ maxima of ``hours`` hours reach a total.
+class FirstAlert(StatefulProcessor):
+    """Keeps the organ points of the last hours of one key, and whether it has been reported.
 
-    ``hourly`` comes from ``hourly_points``: one small row per key and hour, reduced on the JVM
-    side, so a key's share of the raw stream does not matter here. State per key is the last hours
-    and one flag, as flat arrays.
+    The hours are dropped by a timer once nothing later can be compared with them; the flag stays,
+    since a key is reported once.
     """
-    organs = list(organs)
 
-    def step(
-        group: tuple, batches: Iterator[pd.DataFrame], state: GroupState
+    def __init__(self, key: str, organs: Sequence[str], threshold: int, hours: int):
+        self.key, self.organs = key, list(organs)
+        self.threshold, self.span = threshold, hours * HOUR_MS
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        columns = ", ".join(f"{o} int" for o in self.organs)
+        self.handle = handle
+        self.reported = handle.getValueState("reported", "score int")
+        self.recent = handle.getListState("recent", f"end_ms bigint, {columns}")
+
+    def handleInputRows(
+        self, key, rows: Iterator[pd.DataFrame], timerValues
     ) -> Iterator[pd.DataFrame]:
-        alerted, ends, points = state.get if state.exists else (False, [], [])
-        if alerted:
+        if self.reported.exists():
             return
-        width = len(organs)
-        recent = [
-            (end, list(points[i * width : (i + 1) * width])) for i, end in enumerate(ends)
-        ]
-        rows = pd.concat(list(batches)).sort_values("window_end")
-        stamps = rows["window_end"].astype("datetime64[ns]").astype("int64")
-        values = rows[organs].fillna(0).astype("int64").values.tolist()
-        for end, now in zip(stamps, values):
-            recent = [r for r in recent if r[0] > end - hours * HOUR_NS] + [(int(end), now)]
-            total = sum(max(r[1][i] for r in recent) for i in range(width))
-            if total >= threshold:
-                state.update((True, [], []))
+        new = pd.concat(list(rows)).sort_values("window_end")
+        ends = new["window_end"].astype("datetime64[ms]").astype("int64").tolist()
+        points = new[self.organs].fillna(0).astype("int64").values.tolist()
+        recent = [tuple(r) for r in self.recent.get()]
+        for end, now in zip(ends, points):
+            recent = [r for r in recent if r[0] > end - self.span] + [(end, *now)]
+            score = sum(max(r[i + 1] for r in recent) for i in range(len(self.organs)))
+            if score >= self.threshold:
+                self.reported.update((score,))
+                self.recent.clear()
                 yield pd.DataFrame(
                     {
-                        key: [group[0]],
-                        "alert_time": [pd.Timestamp(end)],
-                        "score": [int(total)],
+                        self.key: [key[0]],
+                        "alert_time": [pd.Timestamp(end, unit="ms")],
+                        "score": [score],
                     }
                 )
                 return
-        state.update((False, [r[0] for r in recent], [v for r in recent for v in r[1]]))
-
-    return hourly.groupBy(key).applyInPandasWithState(
-        step,
-        outputStructType=f"{key} long, alert_time timestamp, score int",
-        stateStructType="alerted boolean, ends array<long>, points array<long>",
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+        self.recent.put(recent)
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(recent[-1][0] + self.span)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.recent.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def early_alert(
+    hourly: DataFrame, key: str, organs: Sequence[str], threshold: int, hours: int = 24
+) -> DataFrame:
+    """First closed hour of each key at which the organ maxima of ``hours`` hours reach a total.
+
+    ``hourly`` comes from ``hourly_points``: one small row per key and hour, reduced on the JVM
+    side, so a key's share of the raw stream does not matter here.
+    """
+    hourly.sparkSession.conf.set(STATE_STORE, ROCKSDB)
+    return hourly.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=FirstAlert(key, organs, threshold, hours),
+        outputStructType=f"{key} bigint, alert_time timestamp, score int",
+        outputMode="Append",
+        timeMode="EventTime",
+        eventTimeColumnName="alert_time",
     )
