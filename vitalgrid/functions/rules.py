@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,10 +20,26 @@ def smallest_patterns(patterns: Iterable[str]) -> list[str]:
     return kept
 
 
+def one_regex(words: Iterable[str]) -> str:
+    """A regular expression for any of the words that shares common beginnings.
+
+    Flat alternatives are all tried at every character of a text; here only words that begin
+    with the character at hand are.
+    """
+    words = list(words)
+    if "" in words:
+        return ""
+    arms = []
+    for first in sorted({w[0] for w in words}):
+        rest = [w[1:] for w in words if w[0] == first]
+        head = first if first.isalnum() or first == " " else "\\" + first
+        arms.append(head + one_regex(rest))
+    return arms[0] if len(arms) == 1 else "(?:" + "|".join(arms) + ")"
+
+
 def matches_any(text: str | Column, patterns: Iterable[str]) -> Column:
     """Case-insensitive substring match against a list, as one compiled expression."""
-    joined = "|".join(re.sub(r"([^\w\s])", r"\\\1", p.lower()) for p in smallest_patterns(patterns))
-    return F.lower(col(text)).rlike(joined)
+    return F.lower(col(text)).rlike(one_regex(p.lower() for p in smallest_patterns(patterns)))
 
 
 def exclude(

@@ -14,10 +14,12 @@ def hour_grid(df: DataFrame, key: str, first: str, last: str, lead: int = 24) ->
     """One row per clock hour from ``lead`` hours before the first time to the last.
 
     Row ``hr`` ends at ceil(first) + hr hours and stands for (end - 1h, end]. A key without times
-    has no rows.
+    has no rows. Keys are spread before they grow: the table of bounds is small, its grid is not.
     """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hours = F.sequence(F.lit(-lead), elapsed("hour", first, last).cast("int"))
-    rows = df.where(F.col(last) >= F.col(first)).select(
+    bounds = df.where(F.col(last) >= F.col(first)).select(key, first, last)
+    rows = bounds.repartition(parts, key).select(
         key, ceil_hour(first).alias("_origin"), F.explode(hours).alias("hr")
     )
     return rows.select(

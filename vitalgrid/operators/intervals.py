@@ -26,7 +26,8 @@ def point_in_interval(
 
     ``bounds`` is one of "[)", "[]", "(]", "()". ``on_extra`` filters the interval side inside the
     join condition, so left points survive it. Intervals are listed once per block they touch and
-    joined by equality on (keys, block); the exact limits are tested on those matches only.
+    joined by equality on (keys, block); the exact limits are tested on those matches only. The
+    listing is larger than Spark's estimate of it, so the join is kept from broadcasting it.
     """
     keys = list(keys)
     iv = intervals if on_extra is None else intervals.where(on_extra)
@@ -38,7 +39,7 @@ def point_in_interval(
         F.explode(
             F.sequence(block(micros(start), width), block(micros(end), width))
         ).alias("_block"),
-    )
+    ).hint("merge")
     after = F.col(t) >= F.col(start) if bounds[0] == "[" else F.col(t) > F.col(start)
     before = F.col(t) <= F.col(end) if bounds[1] == "]" else F.col(t) < F.col(end)
     condition = (F.col("_point_block") == F.col("_block")) & after & before

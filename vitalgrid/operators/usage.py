@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vitalgrid.operators.ranking import top1
 
@@ -16,16 +15,11 @@ SYNTHETIC = "<synthetic>"
 
 AXES = ["input", "output", "cache_write_1h", "cache_write_5m", "cache_read"]
 
-_USAGE = T.StructType.fromDDL(
-    "input_tokens bigint, output_tokens bigint, cache_creation_input_tokens bigint, "
-    "cache_read_input_tokens bigint, cache_creation struct<ephemeral_1h_input_tokens: bigint, "
-    "ephemeral_5m_input_tokens: bigint>"
-)
 _LINE = (
-    T.StructType()
-    .add("requestId", T.StringType())
-    .add("message", T.StructType().add("model", T.StringType()).add("usage", _USAGE))
-    .add("_corrupt_record", T.StringType())
+    "requestId string, message struct<model: string, usage: struct<input_tokens: bigint, "
+    "output_tokens: bigint, cache_creation_input_tokens: bigint, cache_read_input_tokens: bigint, "
+    "cache_creation: struct<ephemeral_1h_input_tokens: bigint, ephemeral_5m_input_tokens: "
+    "bigint>>>, _corrupt_record string"
 )
 
 

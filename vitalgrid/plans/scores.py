@@ -88,7 +88,9 @@ def arterial_ratios(t, grid_bounds: DataFrame) -> DataFrame:
 
     A sample belongs to every stay of its subject; only stays whose grid covers it are kept.
     """
-    samples = t["bg"].where(F.col("specimen") == items.ARTERIAL)
+    samples = t["bg"].where(
+        (F.col("specimen") == items.ARTERIAL) & F.col("pao2fio2ratio").isNotNull()
+    )
     per_stay = point_in_interval(
         samples.select("subject_id", "charttime", "pao2fio2ratio"),
         grid_bounds,
@@ -124,7 +126,7 @@ def arterial_ratios(t, grid_bounds: DataFrame) -> DataFrame:
 def hourly_features(t) -> DataFrame:
     """Every grid hour with the worst value of each measurement inside it, in one shuffle."""
     stays = t["icustays"].select("subject_id", "hadm_id", "stay_id")
-    grid = join_inner(t["icustay_hourly"], stays.select("stay_id"), "stay_id")
+    grid = t["icustay_hourly"]  # built from the stays, so every row has one
     times = t["icustay_times"].where(F.col("intime_hr").isNotNull())
     # The grid of a stay covers (ceil(first) - 25 h, ceil(first) + elapsed hours].
     grid_bounds = times.select(

@@ -75,17 +75,12 @@ def upsert_incremental(
 ) -> DataFrame:
     """The target after merging source rows above its highest watermark value, by key.
 
-    The maximum is one row and stays inside the plan. Write the result to a new version of the
-    table: it reads the old one.
+    The maximum is a scalar subquery. Write the result to a new version of the table: it reads the
+    old one.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    # min/max over one global row: a single value is broadcast, never data.
-    high = target.agg(F.max(watermark).alias("_high"))
-    new = (
-        source.join(F.broadcast(high), F.col("_high").isNull() | (F.col(watermark) > F.col("_high")))
-        .drop("_high")
-        .select(*target.columns)
-    )
+    high = target.agg(F.max(watermark).alias("high")).scalar()
+    new = source.where(high.isNull() | (F.col(watermark) > high)).select(*target.columns)
     return target.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
