@@ -19,7 +19,7 @@ _LINE = (
     "requestId string, message struct<model: string, usage: struct<input_tokens: bigint, "
     "output_tokens: bigint, cache_creation_input_tokens: bigint, cache_read_input_tokens: bigint, "
     "cache_creation: struct<ephemeral_1h_input_tokens: bigint, ephemeral_5m_input_tokens: "
-    "bigint>>>, _corrupt_record string"
+    "bigint>>>"
 )
 
 
@@ -27,47 +27,55 @@ def read_usage_lines(spark: SparkSession, root: str) -> DataFrame:
     """All ``*.jsonl`` lines below a folder, malformed ones included, with where they came from.
 
     A file directly in the folder is a session of its own; deeper files belong to the session
-    named by the first folder on their path.
+    named by the first folder on their path. ``line_order`` follows file names, then lines.
     """
-    lines = (
-        spark.read.schema(_LINE)
-        .option("recursiveFileLookup", "true")
+    text = (
+        spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.jsonl")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(root)
+        .text(root)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("block"),
+                # Increases along one file block, which one task reads in order.
+                F.monotonically_increasing_id().alias("line"),
+            ).alias("line_order"),
+        )
+        .where(F.trim("value") != "")
     )
     marker = root.rstrip("/").rsplit("/", 1)[-1] + "/"
-    below = F.substring_index(F.col("_metadata.file_path"), "/" + marker, -1)
-    return lines.select(
-        "*",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.regexp_replace(F.split(below, "/")[0], r"\.jsonl$", "").alias("session"),
-        (F.size(F.split(below, "/")) > 1).alias("nested"),
+    below = F.split(F.substring_index(F.col("file"), "/" + marker, -1), "/")
+    return text.select(
+        F.from_json("value", _LINE).alias("entry"),
+        F.try_parse_json("value").isNull().alias("malformed"),
+        "line_order",
+        F.regexp_replace(below[0], r"\.jsonl$", "").alias("session"),
+        (F.size(below) > 1).alias("nested"),
     )
 
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
-    return lines.agg(F.count("_corrupt_record").alias("n_malformed"))
+    return lines.agg(F.count_if("malformed").alias("n_malformed"))
 
 
 def usage_records(lines: DataFrame) -> DataFrame:
     """Normal form of usage lines. A cache write without lifetimes counts as the long one."""
-    usage = F.col("message.usage")
+    usage = F.col("entry.message.usage")
 
     def tokens(name: str) -> Column:
         return F.coalesce(usage.getField(name), F.lit(0))
 
-    long_ = F.coalesce(F.col("message.usage.cache_creation.ephemeral_1h_input_tokens"), F.lit(0))
-    short = F.coalesce(F.col("message.usage.cache_creation.ephemeral_5m_input_tokens"), F.lit(0))
+    long_ = F.coalesce(F.col("entry.message.usage.cache_creation.ephemeral_1h_input_tokens"), F.lit(0))
+    short = F.coalesce(F.col("entry.message.usage.cache_creation.ephemeral_5m_input_tokens"), F.lit(0))
     unsplit = (long_ + short == 0) & (tokens("cache_creation_input_tokens") > 0)
     return lines.where(usage.isNotNull()).select(
-        F.col("requestId").alias("request_id"),
-        F.struct("file", "block_start").alias("line_order"),
+        F.col("entry.requestId").alias("request_id"),
+        "line_order",
         "session",
         F.when(F.col("nested"), "sub").otherwise("main").alias("scope"),
-        F.coalesce(F.col("message.model"), F.lit("unknown")).alias("model"),
+        F.coalesce(F.col("entry.message.model"), F.lit("unknown")).alias("model"),
         tokens("input_tokens").alias("input"),
         tokens("output_tokens").alias("output"),
         F.when(unsplit, tokens("cache_creation_input_tokens"))
