@@ -31,7 +31,9 @@ def urine_output_rate(t) -> DataFrame:
         beats.select("stay_id", "charttime"), stays, "stay_id", "charttime", "intime", "outtime", 1
     )
     bounds = time_bounds(near, ["stay_id"], "charttime", "intime_hr", "outtime_hr")
-    measured = join_inner(t["urine_output"], bounds.drop("outtime_hr"), "stay_id")
+    measured = t.keep(
+        "urine_measured", join_inner(t["urine_output"], bounds.drop("outtime_hr"), "stay_id")
+    )
     since = lag_or(measured, ["stay_id"], "charttime", "intime_hr", "_before").select(
         "stay_id",
         "charttime",

@@ -54,7 +54,6 @@ SHARED = {
     "icustay_times",
     "ventilator_setting",
     "oxygen_delivery",
-    "urine_output",
     "antibiotic",
     "suspicion_of_infection",
     # Long plans of their own: cut here so that each is optimised alone.

@@ -53,6 +53,7 @@ def weight_durations(t) -> DataFrame:
         "starttime",
         F.when(first_admit, shift("intime", hours=-2)).otherwise(F.col("charttime")),
     )
+    starts = t.keep("weight_starts", starts)
     ties = ["weight_type", "weight"]
     closed = ranking.next_start_as_end(
         starts.withColumn("_bound", shift("outtime", hours=2)),
