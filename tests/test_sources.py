@@ -38,15 +38,24 @@ def test_csv_types_order_and_extras(spark, tmp_path):
         tmp_path / "icu/chartevents.csv.gz",
         "warning,itemid,value,valuenum,charttime,storetime,subject_id,hadm_id,stay_id,valueuom\n"
         '0,220045,080,80,2024-01-01 10:00:00,2024-01-01 10:05:00,1,2,3,bpm\n'
-        '1,223900,"No Response-ETT, note",,2024-01-01 11:00:00,,1,2,3,\n',
+        '1,223900,"No Response-ETT, ""note"" ",NaN,2024-01-01 11:00:00,,1,2,3,\n'
+        '1,223901, ,NA,2024-01-01 12:00:00,,1,2,3,\n'
+        '1,223902,,,2024-01-01 13:00:00,,1,2,3,\n',
     )
     source = SOURCES["mimiciv.chartevents"]
     df = read_csv_gz(spark, str(tmp_path / source.path), source.schema, spread_by="stay_id")
-    assert df.schema == source.schema
+    assert df.dtypes == [(f.name, f.dataType.simpleString()) for f in source.schema.fields]
     assert rows(df, "itemid", "value", "valuenum", "charttime", "storetime") == [
         (220045, "080", 80.0, at("10:00"), at("10:05")),
-        (223900, "No Response-ETT, note", None, at("11:00"), None),
+        (223900, 'No Response-ETT, "note" ', None, at("11:00"), None),
+        (223901, " ", None, at("12:00"), None),
+        (223902, "", None, at("13:00"), None),  # no text is an empty text
     ]
+    write_gz(tmp_path / "wide.csv.gz", "a,b\n1,2,3\n")
+    with pytest.raises(Exception):
+        read_csv_gz(
+            spark, str(tmp_path / "wide.csv.gz"), T.StructType.fromDDL("a int, b int")
+        ).collect()
 
 
 def test_csv_override_and_missing_column(spark, tmp_path):
@@ -142,7 +151,15 @@ def test_comments_survive(spark):
 
 def test_build_models_writes_parents(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    built = build_models(spark, bronze(events), ["icustay_hourly", "urine_output"], "db_models")
+    built = build_models(
+        spark,
+        bronze(events),
+        ["icustay_hourly", "urine_output"],
+        "db_models",
+        {"icustay_hourly": {"hr": "hours since admission"}},
+    )
+    notes = {r.col_name: r.comment for r in spark.sql("DESCRIBE db_models.icustay_hourly").collect()}
+    assert notes["hr"] == "hours since admission"
     assert list(built) and set(built) == {"icustay_times", "icustay_hourly", "urine_output"}
     assert spark.table("db_models.icustay_hourly").count() == built["icustay_hourly"].count() > 0
 

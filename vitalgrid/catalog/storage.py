@@ -2,22 +2,42 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from vitalgrid.catalog.bronze_sql import BRONZE
 from vitalgrid.catalog.registry import query
 from vitalgrid.operators.relational import limit
 from vitalgrid.session import scratch_dir
 from vitalgrid.sources import tables
-from vitalgrid.sources.csv import read_csv_gz
+from vitalgrid.sources.csv import FORMAT, ingest, read_csv_gz
+from vitalgrid.sources.derived import bronze
 
 
 @query("csv_gz_roundtrip", "select * from orders")
 def _(s):
     orders, folder = s["orders"], scratch_dir(s.spark, "csv")
-    orders.write.option("header", True).option("compression", "gzip").csv(folder)
+    orders.write.options(**FORMAT).option("compression", "gzip").csv(folder)
     return read_csv_gz(s.spark, folder, orders.schema, spread_by="o_orderkey")
 
 
+@query("bronze_ingest", BRONZE["chartevents"])
+def _(s):
+    """A large raw table: gzip CSV, columns by header, declared types, table, count check."""
+    folder, database = scratch_dir(s.spark, "ingest"), f"ingest_{uuid.uuid4().hex[:12]}"
+    rows = bronze(s["events"])["chartevents"].withColumn("valueuom", F.lit(None).cast("string"))
+    writer = rows.write.options(**FORMAT).option("compression", "gzip")
+    writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(
+        f"{folder}/icu/chartevents.csv.gz"
+    )
+    written = ingest(s.spark, "mimiciv.chartevents", folder, database)
+    stored = s.spark.table(f"{database}.chartevents")
+    if stored.count() != written:
+        raise RuntimeError("the table does not hold the rows that were written")
+    return stored.drop("valueuom")
+
+
 @query("compaction_roundtrip", "select * from events")
 def _(s):
     folder = scratch_dir(s.spark, "compact")

@@ -143,18 +143,24 @@ def build_order(names: Iterable[str]) -> list[str]:
 
 
 def build_models(
-    spark: SparkSession, bronze: Mapping[str, DataFrame], names: Iterable[str], database: str
+    spark: SparkSession,
+    bronze: Mapping[str, DataFrame],
+    names: Iterable[str],
+    database: str,
+    comments: Mapping[str, Mapping[str, str]] | None = None,
 ) -> dict[str, DataFrame]:
     """Write models as tables in dependency order; later models read the written tables.
 
     A written parent is computed once however many models read it, and nothing is recomputed
-    through it when an executor is lost.
+    through it when an executor is lost. ``comments`` (model -> column -> text) are stored with the
+    tables.
     """
-    from vitalgrid.sources.tables import replace_table
+    from vitalgrid.sources.tables import replace_table, with_comments
 
     frames = dict(bronze)
     built = {}
     for name in build_order(names):
         plan, _ = MODELS[name]
-        built[name] = frames[name] = replace_table(spark, plan(Tables(frames)), database, name)
+        rows = with_comments(plan(Tables(frames)), (comments or {}).get(name, {}))
+        built[name] = frames[name] = replace_table(spark, rows, database, name)
     return built

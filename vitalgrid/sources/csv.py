@@ -11,6 +11,23 @@ from pyspark.sql import types as T
 from vitalgrid.sources.registry import SOURCES, Source
 from vitalgrid.sources.tables import load_table
 
+# Spellings of a missing number, date or time: fixed values. Text columns know no missing value;
+# an empty field is an empty string there.
+MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null",
+]
+
+# Quotes are doubled inside quotes, blanks belong to the value, a row of another width is an error.
+FORMAT = {
+    "header": "true",
+    "inferSchema": "false",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "mode": "FAILFAST",
+}
+
 
 def read_csv_gz(
     spark: SparkSession,
@@ -21,13 +38,13 @@ def read_csv_gz(
 ) -> DataFrame:
     """Scan headed CSV files into ``schema``, matching columns by header name.
 
-    Every file is read as strings by position of its own header and cast, so files may order their
-    columns differently or carry extra ones. Values that do not fit their type fail the load
-    instead of turning into NULL. A gzip file is one task however large it is; ``spread_by``
+    Files are read as strings under their header and cast, so columns may come in any order and
+    extra ones are dropped; all files of one call share a header. Values that do not fit their
+    type fail the load instead of turning into NULL. A gzip file is one task however large it is; ``spread_by``
     spreads its rows right after the scan (with a random salt, so that no key value piles up).
     """
     overrides = overrides or {}
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(
+    raw = spark.read.options(**FORMAT).csv(
         list(paths) if isinstance(paths, (list, tuple)) else paths
     )
     present = {c.lower(): c for c in raw.columns}
@@ -37,7 +54,10 @@ def read_csv_gz(
         source = present.get(field.name.lower())
         if source is None:
             raise ValueError(f"column {field.name} is missing from the file header")
-        columns.append(F.col(f"`{source}`").cast(kind).alias(field.name))
+        text = F.coalesce(F.col(f"`{source}`"), F.lit(""))
+        if not isinstance(kind, T.StringType):
+            text = F.when(~text.isin(MISSING), text).cast(kind)
+        columns.append(text.alias(field.name))
     rows = raw.select(*columns)
     if spread_by:
         rows = rows.repartition(F.col(spread_by), (F.rand(7) * 64).cast("int"))
