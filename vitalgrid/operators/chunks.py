@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from vitalgrid.functions.time import DAY, block, micros
 
-WEEK = 7 * DAY
 _LAST = 2**62  # block of rows without a time: after every real block
 
 
@@ -63,7 +62,7 @@ def neighbours(
     ties: Sequence[str] = (),
     previous: str | None = "_prev",
     following: str | None = None,
-    width: int = WEEK,
+    width: int = DAY,
 ) -> DataFrame:
     """Previous and/or following row of the same key, at any distance.
 
@@ -127,7 +126,7 @@ def _offsets(base: DataFrame, keys: Sequence[str], amount: Column) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], t: str, amount: str, out: str, width: int = WEEK
+    df: DataFrame, keys: Sequence[str], t: str, amount: str, out: str, width: int = DAY
 ) -> DataFrame:
     """Running sum of an integer column per key in time order; rows at one time share a value."""
     keys = list(keys)
@@ -156,7 +155,7 @@ def row_number_by_key(
     t: str,
     out: str,
     ties: Sequence[str] = (),
-    width: int = WEEK,
+    width: int = DAY,
 ) -> DataFrame:
     """Row number per key over (t, ties), NULLs last."""
     keys = list(keys)

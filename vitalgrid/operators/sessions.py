@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.time import elapsed
+from vitalgrid.functions.time import DAY, elapsed
 from vitalgrid.operators import chunks
 
 
@@ -36,7 +36,7 @@ def gap_change_sessions(
     status: str,
     gap_hours: int,
     out: str = "session",
-    width: int = chunks.WEEK,
+    width: int = DAY,
 ) -> DataFrame:
     """Session number and following time (``next_t``) per row; columns key, t, status only.
 
