@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import saved
@@ -94,8 +94,8 @@ def split_path(quotas: np.ndarray, shards: int, shard: int, seed: int) -> tuple[
 
 
 def mix_plan(described: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """(block draws, sources). A draw: source, block, epoch, shard, ``cut`` (null: the whole block;
-    else its documents with place up to ``cut``)."""
+    """(block draws, sources). A draw: source, block, epoch, shard; of the block's documents those
+    with place up to ``cut``, or the ``only`` one, or all where both are null."""
     spark = described.sparkSession
     blocks = saved(
         described.groupBy("source", "block").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs")),
@@ -119,39 +119,61 @@ def mix_plan(described: DataFrame, shards: int, seed: int) -> tuple[DataFrame, D
     numbered = blocks.join(F.broadcast(sources), blocks["source"].eqNullSafe(sources["source"])).select(
         "turn", "passes", "rest", "block", "words", at.alias("at")
     )
-    from pyspark.sql import Window
-
+    none = F.lit(-(1 << 63)).cast("long")
     running = Window.partitionBy("turn").orderBy("at")  # BLOCKS rows for each source at most
     upto = numbered.withColumn("upto", F.sum("words").over(running)).withColumn(
         "before", F.col("upto") - F.col("words")
     )
     last = saved(upto.where("before < rest").select("turn", "passes", "rest", "block", "at", "before", "upto"), "last")
-    # Only the block the target falls into is cut between documents, nearest to the target.
-    broken = last.where("upto > rest").select("turn", "block", F.col("rest").alias("goal"), "before")
+    # Only the block the target falls into is cut between documents, below the target; the document
+    # whose size is nearest to what is then missing is drawn with it.
+    broken = last.where("upto > rest").select("turn", "block", F.col("rest").alias("goal"), "before", "at", "passes")
     inner = Window.partitionBy("turn", "block").orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
-    keyed = described.join(F.broadcast(sources.select("source", "turn").withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s")))
-    cuts = (
-        keyed.select("turn", "block", "place", "size")
-        .join(F.broadcast(broken), ["turn", "block"])
-        .withColumn("reach", F.col("before") + F.sum("size").over(inner))
-        .where("reach - size / 2.0 <= goal")
-        .groupBy("turn", "block")
-        .agg(F.max("place").alias("cut"))
+    names = sources.selectExpr("source AS source_name", "turn")
+    keyed = described.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("source_name"))).select(
+        "turn", "block", "place", "size"
+    )
+    cuts = saved(
+        broken.join(
+            keyed.join(F.broadcast(broken), ["turn", "block"])
+            .withColumn("reach", F.col("before") + F.sum("size").over(inner))
+            .where("reach <= goal")
+            .groupBy("turn", "block")
+            .agg(F.max("place").alias("cut"), F.max("reach").alias("reach")),
+            ["turn", "block"],
+            "left",
+        ).select(
+            "turn", F.col("block").alias("broken"), "passes", F.col("at").alias("broken_at"),
+            F.coalesce("cut", none).alias("cut"), (F.col("goal") - F.coalesce("reach", "before")).alias("gap"),
+        ),
+        "cuts",
+    )
+    place_at = _position(F.col("passes"), F.col("block"), F.col("turn"))
+    untaken = (F.col("at") > F.col("broken_at")) | (
+        (F.col("at") == F.col("broken_at")) & (F.col("place") > F.col("cut"))
     )
+    extra = (
+        keyed.join(F.broadcast(cuts), "turn")
+        .withColumn("at", place_at)
+        .where(untaken & (F.col("size") < 2 * F.col("gap")))
+        .groupBy("turn")
+        .agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")), "place", "block")).alias("best"))
+        .select("turn", F.col("best.place").alias("only"), F.col("best.block").alias("extra_block"))
+    )
+    free = F.lit(None).cast("long")
     whole = numbered.where("passes > 0").select(
         "turn", "block", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)).alias("epoch"),
-        F.lit(None).cast("long").alias("cut"),
+        free.alias("cut"), free.alias("only"), F.col("block").alias("home"),
     )
-    none = F.lit(-(1 << 63)).cast("long")
-    part = (
-        last.join(cuts, ["turn", "block"], "left")
-        .select(
-            "turn", "block", F.col("passes").alias("epoch"),
-            F.when(F.col("upto") <= F.col("rest"), F.lit(None)).otherwise(F.coalesce("cut", none)).alias("cut"),
-        )
+    ended = last.join(cuts.selectExpr("turn", "broken AS block", "cut"), ["turn", "block"], "left").select(
+        "turn", "block", F.col("passes").alias("epoch"), "cut", free.alias("only"), F.col("block").alias("home")
+    )
+    added = cuts.join(extra, "turn").select(
+        "turn", F.col("extra_block").alias("block"), F.col("passes").alias("epoch"), free.alias("cut"),
+        "only", F.col("broken").alias("home"),
     )
-    draws = whole.unionByName(part).withColumn(
-        "position", F.col("epoch").cast("long") * BLOCKS + _position(F.col("epoch"), F.col("block"), F.col("turn"))
+    draws = whole.unionByName(ended).unionByName(added).withColumn(
+        "position", F.col("epoch").cast("long") * BLOCKS + _position(F.col("epoch"), F.col("home"), F.col("turn"))
     )
     draws = saved(draws, "draws")
     # Blocks without documents hold positions as well; the quota counts positions.
@@ -175,7 +197,7 @@ def mix_plan(described: DataFrame, shards: int, seed: int) -> tuple[DataFrame, D
 
     dealt = spark.range(shards).mapInArrow(leaves, "turn int, position long, shard int")
     drawn = draws.join(dealt, ["turn", "position"]).join(F.broadcast(sources.select("turn", "source")), "turn")
-    return drawn.select("turn", "source", "block", "epoch", "shard", "cut"), sources
+    return drawn.select("turn", "source", "block", "epoch", "shard", "cut", "only"), sources
 
 
 def mix_sources(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
@@ -187,7 +209,7 @@ def mix_sources(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFra
     described = _described(docs, seed)
     light = saved(described, "sizes")
     drawn, sources = mix_plan(light, shards, seed)
-    per_block = drawn.groupBy("turn", "block").agg(F.collect_list(F.struct("shard", "epoch", "cut")).alias("plan"))
+    per_block = drawn.groupBy("turn", "block").agg(F.collect_list(F.struct("shard", "epoch", "cut", "only")).alias("plan"))
     place = F.xxhash64(F.lit(seed), "doc_id", "text")
     kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "draws", "place_")]
     named = sources.withColumnRenamed("source", "source_name_")
@@ -204,8 +226,9 @@ def mix_sources(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFra
     plan = F.broadcast(plan) if len(sources.head(MAX_SOURCES)) * BLOCKS <= 1 << 17 else plan
     joined = rows.join(plan, (F.col("turn") == F.col("turn_")) & (F.col("block_") == F.col("block_p")), "left")
     mine = F.filter(
-        F.coalesce("plan", F.array().cast("array<struct<shard:int,epoch:int,cut:bigint>>")),
-        lambda d: d["cut"].isNull() | (F.col("place_") <= d["cut"]),
+        F.coalesce("plan", F.array().cast("array<struct<shard:int,epoch:int,cut:bigint,only:bigint>>")),
+        lambda d: (d["cut"].isNull() | (F.col("place_") <= d["cut"]))
+        & (d["only"].isNull() | (F.col("place_") == d["only"])),
     )
     draws = F.transform(
         mine,
