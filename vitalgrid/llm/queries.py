@@ -5,19 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vitalgrid.llm import byte_bpe, language, licenses, toxicity, warc
 from vitalgrid.llm.common import table
 from vitalgrid.llm.fingerprints import fingerprint_documents
 from vitalgrid.llm.mixing import mix_sources
+from vitalgrid.llm.nearest import nearest_by_inner_product
 from vitalgrid.llm.ngram_join import ngram_classes
 from vitalgrid.llm.passages import remove_repeats
 
 
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(documents, model)
+    return scored.select("doc_id", (toxicity.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_by_inner_product(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.decode_rows(byte_bpe.encode_rows(table(spark, sf_dir, "documents")))
+
+
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def language_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.predict_language(documents, language.fit(documents))
+    return found.select("doc_id", (toxicity.fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -31,11 +61,21 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(table(spark, sf_dir, "documents"))
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxic_documents,
+    "op2_nearest": nearest_vectors,
     "op3_mixing": mixing,
+    "op4_byte_bpe": bpe_round_trip,
+    "op5_warc": warc_round_trip,
+    "op6_language": language_of_documents,
     "op7_minhash": minhash,
     "op8_substring_dedup": substring_dedup,
     "op9_ngram_jaccard_join": ngram_jaccard,
+    "op10_licenses": license_scan,
 }
 
 ORACLES: dict[str, str] = {}
