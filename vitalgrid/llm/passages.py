@@ -11,7 +11,7 @@ of a passage (smallest doc_id, then position) stays, every other one is cut out.
 paragraph around it is like no other.
 
 Results: one row for each row of ``docs``, all columns kept (``text`` shortened). Null stays null,
-empty stays empty. Repeated rows (same doc_id and text) count as one document and are cut alike. A
+empty stays empty. Rows of one doc_id count as one document; those of equal text are cut alike. A
 null doc_id is smaller than any other. Columns named like the added ones are replaced.
 """
 
@@ -63,8 +63,18 @@ def cut_words(words) -> np.ndarray:
     return begins
 
 
+def pack_span(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Begin and length of a span of a text, which has at most 2^31 bytes, in one number."""
+    return (begin.astype(np.int64) << 31) | (end - begin)
+
+
+def unpack_span(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    begin = packed >> 31
+    return begin, begin + (packed & ((1 << 31) - 1))
+
+
 def find_pieces(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, no, piece, first, last, begin, end): pieces with their word numbers and
+    """(doc_id, digest, piece, words, bytes): pieces with the packed spans of their word numbers and
     byte positions; ``digest`` tells apart texts that share a doc_id."""
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -87,17 +97,15 @@ def find_pieces(docs: DataFrame) -> DataFrame:
                     batch.column("doc_id").take(pa.array(text)),
                     batch.column("digest").take(pa.array(text)),
                     pa.array(piece.view(np.int64)),
-                    pa.array((at - words.rows[text]).astype(np.int64)),
-                    pa.array((ends - words.rows[text]).astype(np.int64)),
-                    pa.array((words.starts[at] - origin).astype(np.int64)),
-                    pa.array((words.ends[ends - 1] - origin).astype(np.int64)),
+                    pa.array(pack_span(at - words.rows[text], ends - words.rows[text])),
+                    pa.array(pack_span(words.starts[at] - origin, words.ends[ends - 1] - origin)),
                 ],
-                names=["doc_id", "digest", "piece", "first", "last", "begin", "end"],
+                names=["doc_id", "digest", "piece", "words", "bytes"],
             )
 
     return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").mapInArrow(
         rows,
-        f"doc_id {kind}, digest long, piece long, first long, last long, begin long, end long",
+        f"doc_id {kind}, digest long, piece long, words long, bytes long",
     )
 
 
@@ -106,17 +114,17 @@ def find_paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
     sid, runs that documents of smaller doc_id have word for word."""
     kind = dict(docs.dtypes)["doc_id"]
     pieces = find_pieces(docs)
-    key, order = F.xxhash64("doc_id", "digest"), F.coalesce("doc_id", F.lit(FIRST))
+    order = F.coalesce("doc_id", F.lit(FIRST))
     repeated = (
         pieces.groupBy("piece")
-        .agg(F.min(key).alias("low"), F.max(key).alias("high"), F.min(order).alias("first_doc"))
-        .where("low <> high")
+        .agg(F.min(order).alias("first_doc"), F.max(order).alias("last_doc"))
+        .where("first_doc <> last_doc")
         .select("piece", "first_doc")
     )
     per_text = (
         pieces.join(repeated, "piece")
         .groupBy("doc_id", "digest")
-        .agg(F.collect_list(F.struct("first", "last", "begin", "end", "piece", (order > F.col("first_doc")).alias("later"))).alias("own"))
+        .agg(F.collect_list(F.struct("words", "bytes", "piece", (order > F.col("first_doc")).alias("later"))).alias("own"))
     )
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,8 +133,10 @@ def find_paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
             copied = {k: [] for k in ("row", "begin", "end")}
             lists = batch.column("own")
             flat = lists.flatten()
-            first, last, begin, end, piece = (flat.field(i).to_numpy() for i in range(5))
-            later = flat.field(5).to_numpy(zero_copy_only=False)
+            first, last = unpack_span(flat.field(0).to_numpy())
+            begin, end = unpack_span(flat.field(1).to_numpy())
+            piece = flat.field(2).to_numpy()
+            later = flat.field(3).to_numpy(zero_copy_only=False)
             cuts = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy())])
             for row, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                 order = a + np.argsort(first[a:b])
