@@ -28,7 +28,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import saved, text_slices
+from vitalgrid.llm.common import bound_batches, saved, text_slices
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 CHUNK = 1 << 16
@@ -77,6 +77,7 @@ def _result(doc_ids: pa.Array, ids: list[bytes], path: str) -> pa.RecordBatch:
 
 def encode_rows(docs: DataFrame, path: str = RANKS, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(doc_id, ids binary) of every row: the operator's own output, of which digests are derived."""
+    bound_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 

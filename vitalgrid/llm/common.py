@@ -11,13 +11,22 @@ from pyspark.sql import functions as F
 
 from vitalgrid.session import scratch_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Hand at most BATCH_ROWS rows at a time to Python: texts are long, and whole batches are held
+    on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def saved(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write a result to the cluster's shared folder and read it back: lost executors recompute
     nothing before this point, and later uses do not repeat the work."""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import components, saved, text_slices
+from vitalgrid.llm.common import bound_batches, components, saved, text_slices
 from vitalgrid.llm.ngram_join import join_clusters, sid_column
 from vitalgrid.llm.shingles import distinct_per_row, mix, set_hash, words_of
 
@@ -106,6 +106,7 @@ def fingerprint_documents(docs: DataFrame, size: int = SHINGLE, n: int = PERMUTA
     next document's in falling doc_id order, the first following the last; rows with one doc_id
     follow each other by text.
     """
+    bound_batches(docs.sparkSession)
 
     def done(rows: list[tuple], ahead: tuple | None) -> pa.RecordBatch:
         texts = [r[1] for r in rows]
@@ -197,6 +198,7 @@ def near_duplicate_classes(
     shingle sets have at least ``percent`` % Jaccard similarity, among pairs that share a band.
     Empty texts stand alone.
     """
+    bound_batches(docs.sparkSession)
     bands, rows = best_bands(n, percent / 100, recall)
     kind = dict(docs.dtypes)["doc_id"]
 

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import text_slices
+from vitalgrid.llm.common import bound_batches, text_slices
 from vitalgrid.llm.shingles import text_bytes
 from vitalgrid.llm.toxicity import fold
 
@@ -170,6 +170,7 @@ def code_lengths(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarr
 
 def fit(docs: DataFrame, folds: int = 4, held: int = 2) -> Model | None:
     """A model from the rows outside the held-out fold; None where there is nothing to learn from."""
+    bound_batches(docs.sparkSession)
     learn = docs.where("text IS NOT NULL AND lang IS NOT NULL").where(fold(F.col("doc_id"), folds) != held)
     sizes = learn.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
@@ -191,6 +192,7 @@ def fit(docs: DataFrame, folds: int = 4, held: int = 2) -> Model | None:
 
 def predict_language(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row."""
+    bound_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most TABLE_BYTES and the node table
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import saved
+from vitalgrid.llm.common import bound_batches, saved
 
 BLOCKS = 1024
 WEIGHTS = (1, 2, 3)
@@ -206,6 +206,7 @@ def mix_sources(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFra
 
     Reading a shard sorted by ``order`` gives its documents shuffled.
     """
+    bound_batches(docs.sparkSession)
     described = _described(docs, seed)
     light = saved(described, "sizes")
     drawn, sources = mix_plan(light, shards, seed)

@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import components, saved, text_slices, union_roots
+from vitalgrid.llm.common import bound_batches, components, saved, text_slices, union_roots
 from vitalgrid.llm.shingles import distinct_per_row, set_hash, words_of
 
 SID = np.dtype([("a", ">u8"), ("b", ">u8")])
-FLUSH_GRAMS = 1_000_000
+FLUSH_GRAMS = 600_000
 FLUSH_SETS = 60_000
 BUCKET_SETS = 4096
 BLOCK_SETS = 2048
@@ -359,6 +359,7 @@ def ngram_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFram
     ``component_id`` is the smallest doc_id that links reach, the row's own included; ``n_links``
     counts the other rows it links to directly.
     """
+    bound_batches(docs.sparkSession)
     light = saved(describe_sets(docs, size), "sets")
     total = light.count()
     buckets = 1 << max(6, (max(total, 1) // BUCKET_SETS).bit_length())

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import saved, text_slices
+from vitalgrid.llm.common import bound_batches, saved, text_slices
 from vitalgrid.llm.fingerprints import FIRST, SHINGLE, band_hashes, banded_classes, best_bands, signatures
 from vitalgrid.llm.ngram_join import BROADCAST_ROWS, sid_column
 from vitalgrid.llm.shingles import GRAM_BASE, WORD_BASE, distinct_per_row, mix, words_of
@@ -235,6 +235,7 @@ def passage_classes(docs: DataFrame, paragraphs: DataFrame, percent: int) -> Dat
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with repeated passages cut out of ``text``; adds n_removed, removed_bytes and
     ``removed`` (byte spans of the original text)."""
+    bound_batches(docs.sparkSession)
     found = saved(find_paragraphs(docs, min_words), "runs")
     paragraphs, copied = found.where("sid IS NOT NULL"), found.where("sid IS NULL")
     classes = passage_classes(docs, paragraphs, percent)

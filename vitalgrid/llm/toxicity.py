@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import text_slices
+from vitalgrid.llm.common import bound_batches, text_slices
 
 TOXIC_DOCS, ORDINARY_DOCS = 2500, 5000
 TRAIN_BYTES = 4_000_000
@@ -172,6 +172,7 @@ def calibrate(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> Model:
     """A model from labelled documents outside the held-out fold."""
+    bound_batches(docs.sparkSession)
     learn = labels.where((fold(F.col("doc_id"), folds) != held) & F.col("doc_id").isNotNull())
     picked = None
     for value, most in ((1, TOXIC_DOCS), (0, ORDINARY_DOCS)):
@@ -223,6 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> Mo
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` (those named like the added ones replaced), score and predicted."""
+    bound_batches(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("score", "predicted")]
     types = dict(docs.dtypes)
 

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import saved
+from vitalgrid.llm.common import bound_batches, saved
 from vitalgrid.session import scratch_dir
 
 ARCHIVE_BYTES = 16 << 20
@@ -218,6 +218,7 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
 
 def archive_round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     """Write the pages to archives in the cluster's shared folder and read them back."""
+    bound_batches(pages.sparkSession)
     spark = pages.sparkSession
     folder = scratch_dir(spark, "warc")
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
