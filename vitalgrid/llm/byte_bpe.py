@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -75,8 +75,18 @@ def _result(doc_ids: pa.Array, ids: list[bytes], path: str) -> pa.RecordBatch:
     )
 
 
-def encode_rows(docs: DataFrame, path: str = RANKS, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """(doc_id, ids binary) of every row: the operator's own output, of which digests are derived."""
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def _ids(doc_ids: pa.Array, ids: list[bytes], path: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([doc_ids, pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+
+
+def encode_rows(
+    docs: DataFrame, path: str = RANKS, chunk: int = CHUNK, overlap: int = OVERLAP, digests: bool = False
+) -> DataFrame:
+    """(doc_id, ids binary) of every row; with ``digests`` the ids are decoded in the same tasks and
+    the rows are those of ``decode_rows``, which keeps a second Python worker out of each task."""
     bound_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -84,16 +94,18 @@ def encode_rows(docs: DataFrame, path: str = RANKS, chunk: int = CHUNK, overlap:
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             ids = [encode(t, path) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
-            )
+            yield finish(batch.column("doc_id"), ids, path)
 
-    here = rows.where(F.length("text") <= chunk).mapInArrow(short, f"doc_id {kind}, ids binary")
-    return here.unionByName(_encode_long(rows.where(F.length("text") > chunk), path, chunk, overlap))
+    finish, columns = (_result, DIGESTS) if digests else (_ids, "ids binary")
+    schema = f"doc_id {kind}, {columns}"
+    here = rows.where(F.length("text") <= chunk).mapInArrow(short, schema)
+    long = rows.where(F.length("text") > chunk)
+    return here.unionByName(_encode_long(long, path, chunk, overlap, finish, schema))
 
 
-def _encode_long(rows: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
-    kind = dict(rows.dtypes)["doc_id"]
+def _encode_long(
+    rows: DataFrame, path: str, chunk: int, overlap: int, finish: Callable[..., pa.RecordBatch], schema: str
+) -> DataFrame:
     step = chunk - overlap
     n = F.ceil((F.length("text") - overlap) / step).cast("int")
     # Equal texts are encoded once; rows are told apart by doc_id and a digest of the text.
@@ -160,11 +172,9 @@ def _encode_long(rows: DataFrame, path: str, chunk: int, overlap: int) -> DataFr
     def join_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [b"".join(p["ids"] for p in parts) for parts in batch.column("parts").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
-            )
+            yield finish(batch.column("doc_id"), ids, path)
 
-    return by_row.select("doc_id", "parts").mapInArrow(join_ids, f"doc_id {kind}, ids binary")
+    return by_row.select("doc_id", "parts").mapInArrow(join_ids, schema)
 
 
 def decode_rows(encoded: DataFrame, path: str = RANKS) -> DataFrame:
@@ -176,5 +186,5 @@ def decode_rows(encoded: DataFrame, path: str = RANKS) -> DataFrame:
             yield _result(batch.column("doc_id"), batch.column("ids").to_pylist(), path)
 
     return encoded.select("doc_id", "ids").mapInArrow(
-        digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        digests, f"doc_id {kind}, {DIGESTS}"
     )

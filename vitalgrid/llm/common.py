@@ -53,6 +53,7 @@ def text_slices(
             end = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(begin, end - begin)
             begin = end
+    pa.default_memory_pool().release_unused()  # workers live on for other stages
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

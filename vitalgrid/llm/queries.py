@@ -34,7 +34,7 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return byte_bpe.decode_rows(byte_bpe.encode_rows(table(spark, sf_dir, "documents")))
+    return byte_bpe.encode_rows(table(spark, sf_dir, "documents"), digests=True)
 
 
 def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
