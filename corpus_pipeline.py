@@ -49,7 +49,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded bytes of every row."""
-    return byte_bpe.decode_rows(byte_bpe.encode_rows(docs))
+    return byte_bpe.encode_rows(docs, digests=True)
 
 
 STAGES = [
