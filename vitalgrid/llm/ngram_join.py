@@ -200,12 +200,13 @@ def _frequencies(packed: pa.Table) -> pa.Table:
     order = np.argsort(at, kind="stable")
     grams, freq, at = grams[order], freq[order], at[order]
     ids, begin = np.unique(at, return_index=True)
-    ends = [*begin[1:], len(at)]
+    edges = np.append(begin, len(at))
+    spans = list(zip(edges[:-1], edges[1:], strict=True))
     return pa.table(
         {
             "sid": _binary(own[ids]),
-            "grams": pa.array([grams[a:b].tobytes() for a, b in zip(begin, ends, strict=True)], pa.binary()),
-            "freq": pa.array([freq[a:b].tobytes() for a, b in zip(begin, ends, strict=True)], pa.binary()),
+            "grams": pa.array([grams[a:b].tobytes() for a, b in spans], pa.binary()),
+            "freq": pa.array([freq[a:b].tobytes() for a, b in spans], pa.binary()),
         }
     )
 
