@@ -206,3 +206,18 @@ def test_usage_lines(spark, tmp_path):
 def test_partition_rule():
     assert shuffle_partitions_for(100 * 2**40, 4000) == 100 * 2**40 // (128 * 2**20)
     assert shuffle_partitions_for(1, 8) == 8
+
+
+def test_upsert_keeps_one_row_per_key(spark):
+    old = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, at int, v string")
+    new = spark.createDataFrame([(2, 3, "c"), (2, 4, "d"), (3, 2, "e"), (1, 1, "late")], "k int, at int, v string")
+    got = sorted(tuple(r) for r in tables.upsert_incremental(old, new, "k", "at").collect())
+    assert got == [(1, 1, "a"), (2, 4, "d"), (3, 2, "e")]
+
+
+def test_csv_files_of_another_column_order_fail(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("x,y\n1,10\n")
+    (tmp_path / "2.csv").write_text("y,x\n20,2\n")
+    schema = T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType())])
+    with pytest.raises(Exception, match="header|schema"):
+        read_csv_gz(spark, [str(tmp_path / "1.csv"), str(tmp_path / "2.csv")], schema).collect()

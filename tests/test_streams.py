@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import at, rows
@@ -110,3 +111,18 @@ def test_sink_is_append_only(spark):
         query = sink_append(replay_stream(spark, f"{base}/src", schema), f"{base}/out", f"{base}/ck")
         query.awaitTermination()
     assert spark.read.parquet(f"{base}/out").count() == 1
+
+
+def test_folder_and_file_stream_alike(spark, tmp_path):
+    frame = spark.range(100).selectExpr("id", "id % 7 AS kind")
+    folder, single = str(tmp_path / "folder.parquet"), str(tmp_path / "one")
+    frame.repartition(4).write.parquet(folder)
+    frame.coalesce(1).write.parquet(single)
+    file = next((tmp_path / "one").glob("*.parquet"))
+    for path in (folder, str(file)):
+        stream = replay_stream(spark, path, frame.schema, files_per_trigger=1)
+        out = run_to_table(stream, scratch_dir(spark, "alike"))
+        assert out.count() == 100
+    (tmp_path / "none").mkdir()
+    with pytest.raises(FileNotFoundError):
+        replay_stream(spark, str(tmp_path / "none"), frame.schema)

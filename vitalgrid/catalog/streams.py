@@ -15,7 +15,7 @@ ORGANS = ["click", "error", "purchase", "view"]
 
 
 def events_stream(s: Source):
-    return replay_stream(s.spark, s.folder, s["events"].schema, glob="events.parquet")
+    return replay_stream(s.spark, f"{s.folder}/events.parquet", s["events"].schema)
 
 
 def ntz_columns(df):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -58,8 +59,11 @@ def build_session(
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path in the cluster's shared folder; a local folder only where none is named."""
+    """A new path in the cluster's shared folder; a local folder only where none is named and driver
+    and executors are one process."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="vitalgrid-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -22,6 +22,7 @@ MISSING = [
 FORMAT = {
     "header": "true",
     "inferSchema": "false",
+    "enforceSchema": "false",  # every file's header is compared, not only the first one's
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
@@ -39,7 +40,7 @@ def read_csv_gz(
     """Scan headed CSV files into ``schema``, matching columns by header name.
 
     Files are read as strings under their header and cast, so columns may come in any order and
-    extra ones are dropped; all files of one call share a header. Values that do not fit their
+    extra ones are dropped; all files of one call share a header, another one fails the load. Values that do not fit their
     type fail the load instead of turning into NULL. A gzip file is one task however large it is; ``spread_by``
     spreads its rows right after the scan (with a random salt, so that no key value piles up).
     """

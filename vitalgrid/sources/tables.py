@@ -75,13 +75,22 @@ def upsert_incremental(
 ) -> DataFrame:
     """The target after merging source rows above its highest watermark value, by key.
 
-    The maximum is a scalar subquery. Write the result to a new version of the table: it reads the
-    old one.
+    The maximum is a scalar subquery. Of source rows with one key the one with the highest
+    watermark wins, ties by the other columns; null keys are one key. Write the result to a new
+    version of the table: it reads the old one.
     """
     keys = [key] if isinstance(key, str) else list(key)
     high = target.agg(F.max(watermark).alias("high")).scalar()
     new = source.where(high.isNull() | (F.col(watermark) > high)).select(*target.columns)
-    return target.join(new.select(*keys), keys, "left_anti").unionByName(new)
+    others = [c for c in target.columns if c not in (watermark, *keys)]
+    best = F.max(F.struct(F.col(watermark).alias("high"), F.struct(*others).alias("row") if others else F.lit(0)))
+    latest = new.groupBy(*keys).agg(best.alias("latest"))
+    mark = [] if watermark in keys else [F.col("latest.high").alias(watermark)]
+    rest = [F.col(f"latest.row.{c}").alias(c) for c in others]
+    new = latest.select(*keys, *mark, *rest).select(*target.columns)
+    marked = new.select(*(F.col(k).alias(f"new_{k}") for k in keys))
+    same = [F.col(k).eqNullSafe(F.col(f"new_{k}")) for k in keys]
+    return target.join(marked, same, "left_anti").unionByName(new)
 
 
 def parquet_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:

@@ -17,7 +17,18 @@ def replay_stream(
     glob: str | None = None,
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A Parquet folder as an event stream, a bounded number of files per micro-batch."""
+    """A Parquet table as an event stream, a bounded number of files per micro-batch.
+
+    ``path`` may be a folder of part files or a single file; a file is streamed as the only match
+    in its folder, since a stream source reads folders. A path without any file is an error.
+    """
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.getFileStatus(place).isFile():
+        path, glob = place.getParent().toString(), place.getName()
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob or "*.parquet").load(path)
+    if not found.select("path").head(1):
+        raise FileNotFoundError(f"no Parquet file to stream in {path}")
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
