@@ -149,6 +149,28 @@ def test_trailing_sums(unique):
     assert rows(got, *columns) == rows(want, *columns)
 
 
+def test_trailing_sums_with_missing_values_and_narrow_blocks(spark):
+    seen = {(r[0], r[1]): r for r in sample(900, 5)}
+    log = spark.createDataFrame([(*r[:3], r[3] if r[3] % 4 else None, r[4]) for r in seen.values()], SCHEMA)
+    spec = {"sum": "v"}, {"_2": 1}, "_full"
+    for hours in (1, 3):
+        got = trailing_sums(log, "k", "t", *spec, full_hours=hours, width=2 * HOUR)
+        assert got.count() == len(seen)
+        timed = log.where("k is not null and t is not null")
+        # The plain form counts clock hours inside its range only.
+        want = trailing_sums_self_join(timed, "k", "t", {"sum": "v"}, {"_2": 1} if hours > 1 else {}, "_full", hours)
+        columns = ["k", "t", "sum_full"] + (["sum_2"] if hours > 1 else [])
+        assert rows(got.where("k is not null and t is not null"), *columns) == rows(want, *columns)
+        assert got.where("(k is null or t is null) and sum_full is not null").count() == 0
+
+
+def test_trailing_sums_hold_no_sliding_frame(unique):
+    plan = trailing_sums(unique, "k", "t", {"sum": "v"}, {"_6": 5}, "_24")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "RangeFrame, -82800000000" not in text
+
+
 def test_rolling_max(spark):
     rnd = random.Random(5)
     data = [(k, h, rnd.choice([None, 0, 1, 2, 3, 4])) for k in (1, 2) for h in range(-24, 400)]

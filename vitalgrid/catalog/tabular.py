@@ -319,8 +319,7 @@ def _(s):
     rows = s["orders"].join(
         s["lineitem"].select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey"
     )
-    constant = aggregates.constant_in_group(rows, ["o_orderkey"], ["o_custkey"])
-    return constant.join(aggregates.count_by(rows, ["o_orderkey"]), "o_orderkey")
+    return aggregates.constant_in_group(rows, ["o_orderkey"], ["o_custkey"], count="n")
 
 
 @query(

@@ -34,9 +34,13 @@ def any_flag(df: DataFrame, keys: Sequence[str], condition: Column, out: str) ->
     return df.groupBy(*keys).agg(F.max(F.when(condition, 1).otherwise(0)).alias(out))
 
 
-def constant_in_group(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One row per key for columns known to hold one value per key; NULLs are ignored."""
-    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+def constant_in_group(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], count: str | None = None
+) -> DataFrame:
+    """One row per key for columns known to hold one value per key; NULLs are ignored. The rows of
+    a key are counted in the same pass where ``count`` names a column for it."""
+    counted = [F.count(F.lit(1)).alias(count)] if count else []
+    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns], *counted)
 
 
 def preagg(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:

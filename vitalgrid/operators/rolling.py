@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.time import DAY, HOUR, block, micros
@@ -61,27 +61,57 @@ def trailing_sums(
     rows at most ``clock_hours[suffix]`` clock hours back, which is whole earlier hours plus the
     current hour up to t. ``df`` must be unique on (key, t); rows without a time get NULL.
     ``values`` maps an output stem to an input column.
+
+    No frame slides over rows. The sum over [t - n h, t] is the current hour up to t, the whole
+    hours between, and the end of the hour n hours ago. For the last part each row is also placed
+    n hours later, where the rows from t onward in its hour are those that are wanted. Frames that
+    grow within an hour, and frames of whole hours, cost time in proportion to the rows.
     """
-    reach = max([full_hours * HOUR, *[(h + 1) * HOUR for h in clock_hours.values()]])
-    placed = with_halo(df, micros(t), width, reach)
-    placed = placed.withColumn("_us", micros(t)).withColumn("_hour", block(F.col("_us"), HOUR))
-    part = Window.partitionBy(key, "_block")
-    full = part.orderBy("_us").rangeBetween(-full_hours * HOUR, Window.currentRow)
-    this_hour = (
-        Window.partitionBy(key, "_block", "_hour")
-        .orderBy("_us")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if width % HOUR or full_hours < 1:
+        raise ValueError("blocks are whole hours, and the full range is one hour at least")
+    full = full_hours * HOUR
+    reach = max([full, *[(h + 1) * HOUR for h in clock_hours.values()]])
+    home = block(F.col("_at"), width)
+    copies = F.transform(
+        F.sequence(home, block(F.col("_at") + reach, width)),
+        lambda b: F.struct(b.alias("block"), F.lit(0).cast("long").alias("shift")),
     )
+    later = F.struct(block(F.col("_at") + full, width).alias("block"), F.lit(full).cast("long").alias("shift"))
+    placed = (
+        df.withColumn("_at", micros(t))
+        .withColumn("_place", F.explode_outer(F.concat(copies, F.array(later))))
+        .withColumn("_block", F.col("_place.block"))
+        .withColumn("_shift", F.coalesce("_place.shift", F.lit(0)))
+        .withColumn("_own", (F.col("_shift") == 0) & F.col("_block").eqNullSafe(home))
+        .withColumn("_us", F.col("_at") + F.col("_shift"))
+        .withColumn("_hour", block(F.col("_us"), HOUR))
+    )
+    part = Window.partitionBy(key, "_block")
+    this_hour = Window.partitionBy(key, "_block", "_hour")
+    upto = this_hour.orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = this_hour.orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     timed = F.col("_us").isNotNull() & F.col(key).isNotNull()
+
+    def hours_back(value: Column, hours: int) -> Column:
+        return F.sum(value).over(part.orderBy("_hour").rangeBetween(-hours, -1))
+
+    def plus(a: Column, b: Column) -> Column:
+        return F.coalesce(a + b, a, b)
+
     outputs = []
     for stem, source in values.items():
-        outputs.append(F.when(timed, F.sum(source).over(full)).alias(stem + full_name))
-        now = F.sum(source).over(this_hour)
+        value = F.when(F.col("_shift") == 0, F.col(source))
+        now = F.sum(value).over(upto)
+        ended = F.sum(F.when(F.col("_shift") > 0, F.col(source))).over(onward)
+        whole = plus(now, ended)
+        if full_hours > 1:
+            whole = plus(whole, hours_back(value, full_hours - 1))
+        kind = df.select(F.sum(source).alias("s")).schema["s"].dataType
+        outputs.append(F.when(timed, whole).cast(kind).alias(stem + full_name))
         for suffix, hours in clock_hours.items():
-            earlier = F.sum(source).over(part.orderBy("_hour").rangeBetween(-hours, -1))
-            both = F.coalesce(now + earlier, now, earlier)
-            outputs.append(F.when(timed, both).alias(stem + suffix))
-    return placed.select("*", *outputs).where("_own").drop("_block", "_own", "_us", "_hour")
+            outputs.append(F.when(timed, plus(now, hours_back(value, hours))).alias(stem + suffix))
+    helpers = ("_at", "_place", "_block", "_shift", "_own", "_us", "_hour")
+    return placed.select("*", *outputs).where("_own").drop(*helpers)
 
 
 def trailing_sums_self_join(
