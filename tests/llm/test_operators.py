@@ -207,6 +207,9 @@ def test_licenses(spark, docs, rows):
         "Licensed under CC BY-NC 4.0.": ("", "cc-by-nc-4.0"),
         "Licensed under the Apache License, Version 2.0.": ("apache", "apache,apache-2.0"),
         "nothing here": ("", ""),
+        "It comes with Apache 2.0.": ("", "apache-2.0"),
+        "Creative Commons Attribution 4.0": ("", "cc-by-4.0"),
+        "seen on boost.org": ("", ""),
     }
     table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r.doc_id: (r.base_labels, r.labels) for r in licenses.scan_licenses(table).collect()}

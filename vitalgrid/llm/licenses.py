@@ -104,6 +104,9 @@ SENTENCES = [
     ("proprietary", "(?:proprietary and confidential|confidential and proprietary)", " proprietary "),
 ]
 
+# Words one of which every rule but a name with a version holds.
+HINTS = r" (?:un|re)?licen[sc]e[ds]? | spdx | rights reserved | permission | redistribution | domain | confidential | may be reproduced | creativecommons | (?:[la]?gpl|mpl|epl|cddl|eupl|gfdl|cc|cc0|under|provided|redistribute) "
+
 GIVEN = (
     "(?:licen[sc]ed|released|distributed|available|published|provided|covered|made available|"
     "dual licen[sc]ed|redistribut(?:ed|able)|use is governed)"
@@ -118,6 +121,13 @@ def _version(version: str) -> str:
     return f"(?:(?:version|v|ver) )?v?{major}{tail}"
 
 
+def _numbered_names() -> str:
+    """Names of families before a number: a version needs no word for license."""
+    names = "|".join(f.name for f in FAMILIES if f.versions)
+    kind = "(?: (?:public|international|unported|generic))?"
+    return f" (?:{names}){kind} (?:(?:version|ver|v) )?v?[0-9]"
+
+
 class Rule(NamedTuple):
     label: str
     pattern: str
@@ -241,7 +251,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         labelled.alias("own"),
     )
     gate = _any_word(tuple(sorted({k for r in rules() for k in r.keywords})))
-    hints = F.rlike("words", F.lit(r" (?:un|re)?licen[sc]e[ds]? | spdx | rights reserved | permission | redistribution | domain | confidential | may be reproduced | creativecommons | (?:[la]?gpl|mpl|epl|cddl|eupl|gfdl|cc|cc0|under|provided|redistribute) "))
+    hints = F.rlike("words", F.lit(HINTS)) | F.rlike("words", F.lit(_numbered_names()))
     found = detections(texts.where(hints & gate).dropDuplicates(["doc_id", "digest"]))
     per_text = found.groupBy("doc_id", "digest").agg(
         F.collect_set("label").alias("found"), F.max("confidence").alias("best"), F.count(F.lit(1)).alias("n")
