@@ -439,23 +439,35 @@ union all select 'label has document', count(*) from labels
 union all select 'status accepted', count(*) from orders where o_orderstatus not in ('F', 'O')
 union all select 'discount in range', count(*) from lineitem
   where l_discount < 0.01 or l_discount > 0.09
+union all select 'quantity in range', count(*) from lineitem
+  where l_quantity < 2 or l_quantity > 49
+union all select 'order dated', count(*) from orders where o_orderdate is null
 union all select 'event complete', count(*) from events where value is null or props is null
 union all select 'price positive', count(*) from part where not p_retailprice > 905""",
 )
 def _(s):
     orders, lines = s["orders"], s["lineitem"]
-    return quality.rule_counts(
+    across = quality.rule_counts(
         {
             "order key unique": quality.unique(orders, ["o_orderkey"]),
             "line unique": quality.unique(lines, ["l_orderkey", "l_linenumber"]),
             "line has order": quality.relationships(lines, orders, "l_orderkey", "o_orderkey"),
             "label has document": quality.relationships(s["labels"], s["documents"], "doc_id"),
-            "status accepted": quality.accepted(orders, "o_orderstatus", ["F", "O"]),
-            "discount in range": quality.accepted(lines, "l_discount", low=0.01, high=0.09),
             "event complete": quality.not_null(s["events"], ["value", "props"]),
             "price positive": quality.violations(s["part"], F.col("p_retailprice") > 905),
         }
     )
+    of_orders = {
+        "status accepted": quality.outside("o_orderstatus", ["F", "O"]),
+        "order dated": quality.missing(["o_orderdate"]),
+    }
+    of_lines = {
+        "discount in range": quality.outside("l_discount", low=0.01, high=0.09),
+        "quantity in range": quality.outside("l_quantity", low=2, high=49),
+    }
+    return across.unionByName(quality.row_rule_counts(orders, of_orders)).unionByName(
+        quality.row_rule_counts(lines, of_lines)
+    )
 
 
 _PROFILED = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
@@ -554,6 +566,11 @@ def _(s):
     return cohort.seeded_sample(s["orders"], 0.1, 42)
 
 
+@query("keyed_sample", "select * from orders where md5('42:' || o_orderkey) < '1999999a'")
+def _(s):
+    return cohort.keyed_sample(s["orders"], ["o_orderkey"], 0.1, 42)
+
+
 _PRICES = [("user", 3.0, 15.0), ("assistant", 5.0, 25.0)]
 
 _USAGE_SQL = """

@@ -84,3 +84,11 @@ def text_cohort(
 def seeded_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     """A sample that is the same for the same data layout and seed."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
+def keyed_sample(df: DataFrame, keys: Sequence[str], fraction: float, seed: int) -> DataFrame:
+    """A sample by a hash of the keys: the same rows whatever the layout, all rows of a key or none."""
+    if fraction >= 1:
+        return df
+    limit = format(round(max(fraction, 0) * 2**32), "08x")
+    return df.where(F.md5(F.concat_ws(":", F.lit(str(seed)), *keys)) < limit)

@@ -9,8 +9,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def missing(columns: Sequence[str]) -> Column:
+    """True where one of the columns is NULL."""
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+
+
+def outside(
+    column: str, values: Sequence | None = None, low: float | None = None, high: float | None = None
+) -> Column:
+    """True outside a value list or a closed range. NULL is left to ``missing``."""
+    bad = F.lit(False)
+    if values is not None:
+        bad = bad | ~F.col(column).isin(list(values))
+    if low is not None:
+        bad = bad | (F.col(column) < low)
+    if high is not None:
+        bad = bad | (F.col(column) > high)
+    return bad
+
+
+def broken(condition: Column) -> Column:
+    """True where a rule of its own does not hold; an undecided rule counts as broken."""
+    return ~F.coalesce(condition, F.lit(False))
+
+
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
+    return df.where(missing(columns))
 
 
 def unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -32,19 +56,12 @@ def accepted(
     high: float | None = None,
 ) -> DataFrame:
     """Rows outside a value list or a closed range. NULL is left to ``not_null``."""
-    bad = F.lit(False)
-    if values is not None:
-        bad = bad | ~F.col(column).isin(list(values))
-    if low is not None:
-        bad = bad | (F.col(column) < low)
-    if high is not None:
-        bad = bad | (F.col(column) > high)
-    return df.where(bad)
+    return df.where(outside(column, values, low, high))
 
 
 def violations(df: DataFrame, condition: Column) -> DataFrame:
-    """Rows for which a rule of its own does not hold; an undecided rule counts as broken."""
-    return df.where(~F.coalesce(condition, F.lit(False)))
+    """Rows for which a rule of its own does not hold."""
+    return df.where(broken(condition))
 
 
 def rule_counts(rules: Mapping[str, DataFrame]) -> DataFrame:
@@ -56,6 +73,17 @@ def rule_counts(rules: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def row_rule_counts(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Violating rows per rule on single rows of one table, zero included, all in one pass."""
+    counts = df.agg(
+        *[
+            F.struct(F.lit(name).alias("rule"), F.count_if(bad).alias("n_bad")).alias(f"_{i}")
+            for i, (name, bad) in enumerate(rules.items())
+        ]
+    )
+    return counts.select(F.inline(F.array(*[f"_{i}" for i in range(len(rules))])))
+
+
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows, missing values, smallest and largest value (as text) per column, in one pass."""
     stats = df.agg(

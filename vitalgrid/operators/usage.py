@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.operators.ranking import top1
@@ -13,6 +13,8 @@ CACHE_WRITE_SHORT = 1.25
 CACHE_WRITE_LONG = 2.0
 SYNTHETIC = "<synthetic>"
 
+RANK_BUCKETS = 256
+
 AXES = ["input", "output", "cache_write_1h", "cache_write_5m", "cache_read"]
 
 _LINE = (
@@ -134,9 +136,12 @@ def usage_rollup(records: DataFrame, prices: DataFrame, top: int = 10) -> DataFr
             (F.sum("_cost").cast("double") / 1_000_000).alias("cost"),
         )
     )
-    sessions = (
-        totals.where(F.col("dimension") == "session")
-        .orderBy(F.col("cost").desc_nulls_last(), "name")
-        .limit(top)
-    )
-    return totals.where(F.col("dimension") != "session").unionByName(sessions)
+    # Sessions are ranked in buckets of names first, so that no task sorts all of them.
+    dearest = [F.col("cost").desc_nulls_last(), F.col("name")]
+    kept = (F.col("dimension") != "session") | (F.col("_rank") <= top)
+    bucket = F.pmod(F.xxhash64("name"), F.lit(RANK_BUCKETS))
+    columns = totals.columns
+    for within in (["dimension", bucket], ["dimension"]):
+        ranked = F.row_number().over(Window.partitionBy(*within).orderBy(*dearest))
+        totals = totals.withColumn("_rank", ranked).where(kept).select(*columns)
+    return totals

@@ -9,6 +9,7 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 
 from vitalgrid.plans import charted, fluids, infection, labs, respiratory, scores, stays
+from vitalgrid.session import scratch_dir
 
 # name -> (plan, tables it reads)
 MODELS: dict[str, tuple[Callable, tuple[str, ...]]] = {
@@ -100,22 +101,12 @@ class Tables(Mapping):
 
     def prepare(self, name: str, workers: int = 4) -> None:
         """Write the shared tables below a model, independent ones side by side."""
-        parents = {n: [p for p in MODELS[n][1] if p in MODELS] for n in build_order([name])}
-        parents.pop(name)
-        sorter = TopologicalSorter(parents)
-        sorter.prepare()
 
-        def build(n: str) -> str:
+        def build(n: str) -> None:
             if n in SHARED:
                 self[n]
-            return n
 
-        with ThreadPoolExecutor(workers) as pool:
-            running = set()
-            while sorter.is_active():
-                running |= {pool.submit(build, n) for n in sorter.get_ready()}
-                done, running = wait(running, return_when=FIRST_COMPLETED)
-                sorter.done(*[f.result() for f in done])
+        side_by_side([n for n in build_order([name]) if n != name], build, workers)
 
     def __iter__(self):
         return iter(self._frames)
@@ -142,25 +133,50 @@ def build_order(names: Iterable[str]) -> list[str]:
     return list(TopologicalSorter(graph).static_order())
 
 
+def side_by_side(names: Iterable[str], build: Callable[[str], None], workers: int) -> None:
+    """Call ``build`` for each model after its parents among ``names``, independent ones at once."""
+    names = set(names)
+    sorter = TopologicalSorter({n: [p for p in MODELS[n][1] if p in names] for n in names})
+    sorter.prepare()
+
+    def run(n: str) -> str:
+        build(n)
+        return n
+
+    with ThreadPoolExecutor(workers) as pool:
+        running = set()
+        while sorter.is_active():
+            running |= {pool.submit(run, n) for n in sorter.get_ready()}
+            done, running = wait(running, return_when=FIRST_COMPLETED)
+            sorter.done(*[f.result() for f in done])
+
+
 def build_models(
     spark: SparkSession,
     bronze: Mapping[str, DataFrame],
     names: Iterable[str],
     database: str,
     comments: Mapping[str, Mapping[str, str]] | None = None,
+    workers: int = 4,
 ) -> dict[str, DataFrame]:
-    """Write models as tables in dependency order; later models read the written tables.
+    """Write models as tables, parents first and independent ones side by side; later models read
+    the written tables.
 
     A written parent is computed once however many models read it, and nothing is recomputed
-    through it when an executor is lost. ``comments`` (model -> column -> text) are stored with the
+    through it when an executor is lost; what one plan reads several times is stored for it in the
+    scratch folder. ``comments`` (model -> column -> text) are stored with the
     tables.
     """
     from vitalgrid.sources.tables import replace_table, with_comments
 
     frames = dict(bronze)
-    built = {}
-    for name in build_order(names):
+    order = build_order(names)
+
+    def build(name: str) -> None:
         plan, _ = MODELS[name]
-        rows = with_comments(plan(Tables(frames)), (comments or {}).get(name, {}))
-        built[name] = frames[name] = replace_table(spark, rows, database, name)
-    return built
+        rows = plan(Tables(frames, scratch_dir(spark, f"build_{name}")))
+        rows = with_comments(rows, (comments or {}).get(name, {}))
+        frames[name] = replace_table(spark, rows, database, name)
+
+    side_by_side(order, build, workers)
+    return {name: frames[name] for name in order}

@@ -160,25 +160,31 @@ DOPAMINE = 221662
 DOBUTAMINE = 221653
 
 # Lower-case substrings that mark an antibiotic.
-ANTIBIOTIC_NAMES = """
-adoxa|ala-tet|alodox|amikacin|amikin|amoxicill|amphotericin|anidulafungin|ancef|clavulanate
-ampicillin|augmentin|avelox|avidoxy|azactam|azithromycin|aztreonam|axetil|bactocill|bactrim
-bactroban|bethkis|biaxin|bicillin l-a|cayston|cefazolin|cedax|cefoxitin|ceftazidime|cefaclor
-cefadroxil|cefdinir|cefditoren|cefepime|cefotan|cefotetan|cefotaxime|ceftaroline|cefpodoxime
-cefpirome|cefprozil|ceftibuten|ceftin|ceftriaxone|cefuroxime|cephalexin|cephalothin|cephapririn
-chloramphenicol|cipro|ciprofloxacin|claforan|clarithromycin|cleocin|clindamycin|cubicin
-dicloxacillin|dirithromycin|doryx|doxycy|duricef|dynacin|ery-tab|eryped|eryc|erythrocin
-erythromycin|factive|flagyl|fortaz|furadantin|garamycin|gentamicin|kanamycin|keflex|kefzol|ketek
-levaquin|levofloxacin|lincocin|linezolid|macrobid|macrodantin|maxipime|mefoxin|metronidazole
-meropenem|methicillin|minocin|minocycline|monodox|monurol|morgidox|moxatag|moxifloxacin|mupirocin
-myrac|nafcillin|neomycin|nicazel doxy 30|nitrofurantoin|norfloxacin|noroxin|ocudox|ofloxacin
-omnicef|oracea|oraxyl|oxacillin|pc pen vk|pce dispertab|panixine|pediazole|penicillin|periostat
-pfizerpen|piperacillin|tazobactam|primsol|proquin|raniclor|rifadin|rifampin|rocephin|smz-tmp
-septra|septra ds|solodyn|spectracef|streptomycin|sulfadiazine|sulfamethoxazole|trimethoprim
-sulfatrim|sulfisoxazole|suprax|synercid|tazicef|tetracycline|timentin|tobramycin|unasyn|vancocin
-vancomycin|vantin|vibativ|vibra-tabs|vibramycin|zinacef|zithromax|zosyn|zyvox
-"""
-ANTIBIOTIC_PATTERNS = [p for line in ANTIBIOTIC_NAMES.split("\n") for p in line.split("|") if p]
+ANTIBIOTIC_PATTERNS = (
+    "adoxa", "ala-tet", "alodox", "amikacin", "amikin", "amoxicill", "amphotericin",
+    "anidulafungin", "ancef", "clavulanate", "ampicillin", "augmentin", "avelox", "avidoxy",
+    "azactam", "azithromycin", "aztreonam", "axetil", "bactocill", "bactrim", "bactroban",
+    "bethkis", "biaxin", "bicillin l-a", "cayston", "cefazolin", "cedax", "cefoxitin",
+    "ceftazidime", "cefaclor", "cefadroxil", "cefdinir", "cefditoren", "cefepime", "cefotan",
+    "cefotetan", "cefotaxime", "ceftaroline", "cefpodoxime", "cefpirome", "cefprozil",
+    "ceftibuten", "ceftin", "ceftriaxone", "cefuroxime", "cephalexin", "cephalothin",
+    "cephapririn", "chloramphenicol", "cipro", "ciprofloxacin", "claforan", "clarithromycin",
+    "cleocin", "clindamycin", "cubicin", "dicloxacillin", "dirithromycin", "doryx", "doxycy",
+    "duricef", "dynacin", "ery-tab", "eryped", "eryc", "erythrocin", "erythromycin", "factive",
+    "flagyl", "fortaz", "furadantin", "garamycin", "gentamicin", "kanamycin", "keflex", "kefzol",
+    "ketek", "levaquin", "levofloxacin", "lincocin", "linezolid", "macrobid", "macrodantin",
+    "maxipime", "mefoxin", "metronidazole", "meropenem", "methicillin", "minocin", "minocycline",
+    "monodox", "monurol", "morgidox", "moxatag", "moxifloxacin", "mupirocin", "myrac",
+    "nafcillin", "neomycin", "nicazel doxy 30", "nitrofurantoin", "norfloxacin", "noroxin",
+    "ocudox", "ofloxacin", "omnicef", "oracea", "oraxyl", "oxacillin", "pc pen vk",
+    "pce dispertab", "panixine", "pediazole", "penicillin", "periostat", "pfizerpen",
+    "piperacillin", "tazobactam", "primsol", "proquin", "raniclor", "rifadin", "rifampin",
+    "rocephin", "smz-tmp", "septra", "septra ds", "solodyn", "spectracef", "streptomycin",
+    "sulfadiazine", "sulfamethoxazole", "trimethoprim", "sulfatrim", "sulfisoxazole", "suprax",
+    "synercid", "tazicef", "tetracycline", "timentin", "tobramycin", "unasyn", "vancocin",
+    "vancomycin", "vantin", "vibativ", "vibra-tabs", "vibramycin", "zinacef", "zithromax",
+    "zosyn", "zyvox",
+)
 EXCLUDED_DRUG_TYPES = ("BASE",)
 EXCLUDED_ROUTES = ("OU", "OS", "OD", "AU", "AS", "AD", "TP")
 EXCLUDED_ROUTE_PARTS = ("ear", "eye")

@@ -22,11 +22,28 @@ CHART_ITEMS = (
     (226512, 50, 60, 1.0), (224639, 48, 64, 1.0), (223835, 15, 60, 2.0), (220339, -1, 120, 1.0),
     (223834, 1, 15, 1.0), (227582, 1, 15, 1.0), (227287, 1, 10, 1.0), (226732, 0, 1, 1.0),
     (223849, 0, 1, 1.0), (229314, 0, 1, 1.0), (224690, 8, 30, 1.0),
+    (220050, 385, 30, 1.0), (225309, -2, 90, 1.0), (220051, 285, 30, 1.0), (225310, -2, 60, 1.0),
+    (225312, 285, 30, 1.0), (223762, 8, 45, 1.0), (224642, 0, 5, 1.0), (225664, -2, 60, 1.0),
+    (226537, 60, 60, 1.0), (224688, 8, 20, 1.0), (224689, 0, 20, 1.0), (224687, 3, 12, 1.0),
+    (224684, 35, 20, 10.0), (224685, 30, 25, 10.0), (224686, 25, 30, 10.0), (224696, 10, 30, 1.0),
+    (224700, -2, 105, 1.0), (224691, 20, 60, 1.0), (223848, 0, 4, 1.0),
 )
 LAB_ITEMS = (
     (52033, 0, 1, 1.0), (50821, 40, 120, 1.0), (50818, 20, 60, 1.0), (50816, 1, 100, 1.0),
     (50820, 7, 1, 1.0), (50912, 1, 70, 0.1), (50885, 1, 160, 0.1), (51265, 5, 400, 1.0),
     (50868, -3, 30, 1.0), (50813, 1, 20, 1.0), (51301, 1, 40, 1.0),
+    (50801, 5, 90, 1.0), (50802, -15, 30, 1.0), (50803, 10, 30, 1.0), (50804, 12, 30, 1.0),
+    (50805, 0, 10, 1.0), (50806, 90, 30, 1.0), (50808, 1, 20, 0.1), (50809, 1, 12, 1000.0),
+    (50810, 20, 84, 1.0), (50811, 5, 15, 1.0), (50814, 0, 5, 1.0), (50815, 1, 15, 1.0),
+    (50817, 60, 44, 1.0), (50819, 0, 20, 1.0), (50822, 2, 6, 1.0), (50823, 20, 80, 1.0),
+    (50824, 120, 40, 1.0), (50825, 34, 8, 1.0), (50862, 1, 12, 1.0), (50930, 1, 12, 1.0),
+    (50976, 1, 22, 1.0), (50882, 1, 12, 1000.0), (51006, 5, 300, 1.0), (50893, 1, 12, 1000.0),
+    (50902, 1, 12, 1000.0), (50931, 1, 12, 1000.0), (50983, 120, 85, 1.0), (50971, 1, 34, 1.0),
+    (50861, -2, 90, 1.0), (50863, -2, 90, 1.0), (50878, -2, 90, 1.0), (50867, -2, 90, 1.0),
+    (50883, -2, 20, 1.0), (50884, -2, 20, 1.0), (50910, -2, 90, 1.0), (50911, -2, 90, 1.0),
+    (50927, -2, 90, 1.0), (50954, -2, 90, 1.0), (51221, -2, 60, 1.0), (51222, -2, 20, 1.0),
+    (51248, -2, 40, 1.0), (51249, -2, 40, 1.0), (51250, -2, 99, 1.0), (51279, -2, 9, 1.0),
+    (51277, -2, 25, 1.0), (52159, -2, 60, 1.0),
 )
 DEVICES = (
     "Endotracheal tube", "Nasal cannula", "Trach mask ", "High flow nasal cannula", "Bipap mask ",

@@ -33,7 +33,9 @@ def load_table(
     """Write a whole table in one job and return the rows written, counted while writing.
 
     A replacing load goes to a staging table that takes the name only when it is complete: a
-    failed load leaves the previous table as it was.
+    load that fails while writing leaves the previous table as it was. The exchange is a drop and a
+    rename, two catalog steps: readers between them find no table, and where the second fails the
+    new rows are left complete in ``<table>__staging``.
     """
     ensure_database(spark, database)
     name = f"`{database}`.`{table}`"
