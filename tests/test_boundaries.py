@@ -494,3 +494,16 @@ def test_build_order():
     assert order.index("icustay_times") < order.index("icustay_hourly") < order.index("sofa")
     assert order[-1] == "sepsis3"
     assert hours_before(72)[1] == 0
+
+
+def test_derived_tables_fill_every_measure(spark):
+    """A column that no reading reaches would agree with any oracle."""
+    from vitalgrid.plans import charted, labs
+    from vitalgrid.sources.derived import bronze
+
+    tables = bronze(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    plans = (labs.bg, labs.chemistry, labs.enzyme, labs.complete_blood_count, charted.vitalsign, charted.ventilator_setting)
+    for plan in plans:
+        df = plan(tables)
+        filled = df.agg(*[F.count(c).alias(c) for c in df.columns]).first().asDict()
+        assert not [c for c, n in filled.items() if not n], plan.__name__
