@@ -236,6 +236,24 @@ def test_language(spark):
     assert {r.lang_pred for r in language.predict_language(table, nothing).collect()} == {"und"}
 
 
+def test_language_of_few_long_texts_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "TRAIN_BYTES", 3000)
+    draw = np.random.default_rng(11)
+    make = lambda words, n: " ".join(draw.choice(words.split(), n))
+    few = {f"l{k}": make(" ".join(3 * chr(97 + k) + x for x in ("taka", "miso", "ruka")), 4000) for k in range(12)}
+    rows = [(100 * k + i, few[f"l{k}"], f"l{k}") for k in range(12) for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(table)
+    assert model.languages == sorted(few)
+    assert all(r.lang_pred == f"l{r.doc_id // 100}" for r in language.predict_language(table, model).collect())
+    # Copies of one text weigh no more than the text itself, pieces cover each text once.
+    once = spark.createDataFrame([(2, "ab cd ef", "x"), (5, "gh ij", "x"), (8, "a" * 2500, "x")], table.schema)
+    pieces = language.sample_pieces(
+        once.unionByName(once).withColumn("digest", F.xxhash64("text")), {"x": 1.0}, {}
+    ).collect()
+    assert sorted(len(r.text) for r in pieces) == [5, 8, 452, 1024]
+
+
 def test_code_lengths_are_proper(spark):
     table = spark.createDataFrame([(i, sentence(60), "aa") for i in range(20)], "doc_id long, text string, lang string")
     model = language.fit(table)

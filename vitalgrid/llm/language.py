@@ -10,8 +10,9 @@ share among the languages' likelihoods.
 Because the statistics are frozen, the code length of a byte depends on its context alone: all
 lengths are tabulated, and texts are scored by table lookups on whole batches of bytes.
 
-Fitting uses a bounded sample: of each language, documents by hash order up to about
-``TRAIN_BYTES``. Contexts seen fewer than ``LEAST`` times are left to shorter ones, and the table
+Fitting uses a bounded sample: of the different texts of each language, pieces of about ``PIECE``
+bytes by hash up to about ``TRAIN_BYTES``; equal pieces count once, and the first piece of the first
+text in hash order is always among them, so that no language is lost. Contexts seen fewer than ``LEAST`` times are left to shorter ones, and the table
 keeps at most ``TABLE_BYTES``, the commonest contexts first.
 
 Results: a null text or one without a letter is ``und`` with score 0, as is every text if nothing
@@ -31,12 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import bound_batches, text_slices
-from vitalgrid.llm.shingles import text_bytes
+from vitalgrid.llm.shingles import GRAM_BASE, mix, text_bytes
 from vitalgrid.llm.toxicity import fold
 
 ORDER = 3
 LEAST = 4
 TRAIN_BYTES = 1_500_000
+PIECE, SLACK = 1024, 64
 TABLE_BYTES = 48 << 20
 MAX_LANGUAGES = 1000
 BLOCK = 1 << 20
@@ -168,21 +170,61 @@ def code_lengths(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return out
 
 
+def _edge(raw: bytes, at: int) -> int:
+    """Where the piece that ends about ``at`` ends: before a space, else between two characters."""
+    space = raw.find(b" ", at, at + SLACK)
+    if space >= 0:
+        return space
+    while at < len(raw) and raw[at] & 0xC0 == 0x80:
+        at += 1
+    return min(at, len(raw))
+
+
+def sample_pieces(docs: DataFrame, keep: dict[str, float], first: dict[str, int]) -> DataFrame:
+    """(lang, text): different pieces of the texts, the share ``keep`` of each language, and always
+    the first piece of the text with the digest ``first``."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text"):
+            langs, digests = batch.column("lang").to_pylist(), batch.column("digest").to_pylist()
+            own, parts = [], []
+            for lang, digest, text in zip(langs, digests, batch.column("text").to_pylist(), strict=True):
+                raw = text.encode()
+                number = np.arange(-(-len(raw) // PIECE), dtype=np.uint64)
+                turn = mix(np.uint64(digest & (2**64 - 1)) ^ mix(number + GRAM_BASE))
+                taken = turn.astype(np.float64) < keep.get(lang, 0.0) * 2.0**64
+                if keep.get(lang, 0.0) >= 1:
+                    taken[:] = True
+                if digest == first.get(lang):
+                    taken[:1] = True
+                for i in np.flatnonzero(taken).tolist():
+                    part = raw[_edge(raw, i * PIECE) if i else 0 : _edge(raw, (i + 1) * PIECE)]
+                    if part:
+                        own.append(lang)
+                        parts.append(part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own, pa.string()), pa.array(parts, pa.binary())], names=["lang", "text"]
+            )
+
+    return docs.select("lang", "digest", "text").mapInArrow(pick, "lang string, text binary").distinct()
+
+
 def fit(docs: DataFrame, folds: int = 4, held: int = 2) -> Model | None:
     """A model from the rows outside the held-out fold; None where there is nothing to learn from."""
     bound_batches(docs.sparkSession)
-    learn = docs.where("text IS NOT NULL AND lang IS NOT NULL").where(fold(F.col("doc_id"), folds) != held)
-    sizes = learn.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    learn = docs.where("text <> '' AND lang IS NOT NULL").where(fold(F.col("doc_id"), folds) != held)
+    learn = learn.select("lang", F.xxhash64("text").alias("digest"), "text")
+    different = learn.select("lang", "digest", F.octet_length("text").alias("size")).distinct()
+    sizes = (
+        different.groupBy("lang")
+        .agg(F.sum("size").alias("n"), F.min("digest").alias("first"))
+        .limit(MAX_LANGUAGES + 1)
+        .collect()
+    )
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    sizes = {r["lang"]: r["n"] for r in sizes if r["n"]}
-    if not sizes:
-        return None
-    keep = F.lit(0)
-    for lang, size in sizes.items():
-        keep = F.when(F.col("lang") == lang, int(min(1.0, TRAIN_BYTES / size) * (1 << 20))).otherwise(keep)
-    sample = learn.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < keep)
-    rows = count_grams(sample).toPandas()
+    keep = {r["lang"]: min(1.0, TRAIN_BYTES / r["n"]) for r in sizes}
+    rows = count_grams(sample_pieces(learn, keep, {r["lang"]: r["first"] for r in sizes})).toPandas()
     languages = sorted(set(rows["lang"]))
     if not languages:
         return None
