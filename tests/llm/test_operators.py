@@ -17,6 +17,7 @@ from vitalgrid.llm.fingerprints import fingerprint_documents, near_duplicate_cla
 from vitalgrid.llm.nearest import nearest_by_inner_product
 from vitalgrid.llm.ngram_join import ngram_classes
 from vitalgrid.llm.passages import remove_repeats
+from vitalgrid.llm.queries import QUERIES
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -107,6 +108,16 @@ def test_fingerprints(spark, docs, rows):
     assert fingerprint_documents(empty(spark)).count() == 0
 
 
+def test_minhash_query_gives_near_duplicate_classes(spark, docs, rows, tmp_path):
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op7_minhash"](spark, str(tmp_path)).collect()
+    want = brute_classes(rows, 5, 80)
+    expected = [(r[0], want[r[0], len(shingles(r[1], 5))]) for r in rows]
+    assert sorted(((r.doc_id, r.class_id) for r in out), key=str) == sorted(expected, key=str)
+    old = fingerprint_documents(docs)
+    assert sorted(map(str, old.collect())) == sorted(map(str, spark.createDataFrame(out).select(*old.columns).collect()))
+
+
 def test_passages_stay_once(spark, docs, rows):
     out = remove_repeats(docs).collect()
     assert len(out) == len(rows) and set(docs.columns) <= set(out[0].asDict())

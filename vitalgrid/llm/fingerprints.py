@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import bound_batches, components, saved, text_slices
-from vitalgrid.llm.ngram_join import join_clusters, sid_column
+from vitalgrid.llm.ngram_join import BROADCAST_ROWS, join_clusters, sid_column
 from vitalgrid.llm.shingles import distinct_per_row, mix, set_hash, words_of
 
 SHINGLE = 5
@@ -59,12 +59,12 @@ def text_signatures(texts: list[str], size: int = SHINGLE, n: int = PERMUTATIONS
     return signatures(*words_of(pa.array(texts, pa.large_string())).grams(size), n)
 
 
-def _ordered_with_neighbour(docs: DataFrame) -> DataFrame:
+def _ordered_with_neighbour(docs: DataFrame, carried: list[str]) -> DataFrame:
     """Rows in buckets of doc_id, falling inside each; a bucket also holds, as ``halo`` rows at its
     end, what follows its last row (for the lowest bucket: the very first row)."""
     spark = docs.sparkSession
     rows = docs.select(
-        "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("key")
+        "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("key"), *carried
     )
     n = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = rows.select("key")
@@ -95,16 +95,18 @@ def _ordered_with_neighbour(docs: DataFrame) -> DataFrame:
         .withColumn("bucket", F.when(F.col("halo"), -1 - F.col("place")).otherwise(F.col("place")))
         .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket")
         .sortWithinPartitions("bucket", "halo", F.desc("key"), "text")
-        .select("doc_id", "text", "bucket", "halo")
+        .select("doc_id", "text", "bucket", "halo", *carried)
     )
 
 
-def fingerprint_documents(docs: DataFrame, size: int = SHINGLE, n: int = PERMUTATIONS) -> DataFrame:
+def fingerprint_documents(
+    docs: DataFrame, size: int = SHINGLE, n: int = PERMUTATIONS, carried: tuple[str, ...] = ()
+) -> DataFrame:
     """Fingerprints of each text and of its edit with the next document, and their likeness.
 
     The edit replaces the last half of the code points (rounded down) by the first as many of the
     next document's in falling doc_id order, the first following the last; rows with one doc_id
-    follow each other by text.
+    follow each other by text. Columns ``carried``, of the type of doc_id, are kept as they are.
     """
     bound_batches(docs.sparkSession)
 
@@ -130,18 +132,19 @@ def fingerprint_documents(docs: DataFrame, size: int = SHINGLE, n: int = PERMUTA
                 pa.array([hexed(new[i]) for i in keep]),
                 pa.array(same[keep], pa.float64()),
                 pa.array(like[keep], pa.float64()),
+                *(pa.array([rows[i][4 + k] for i in keep], id_type) for k in range(len(carried))),
             ],
             names=[
                 "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                "near_edited", "near_next",
+                "near_edited", "near_next", *carried,
             ],
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: tuple | None = None
         for batch in text_slices(batches, "text"):
-            ids, texts, buckets, halo = (batch.column(i).to_pylist() for i in range(4))
-            rows = list(zip(ids, [t or "" for t in texts], buckets, halo, strict=True))
+            ids, texts, buckets, halo, *more = (batch.column(i).to_pylist() for i in range(4 + len(carried)))
+            rows = list(zip(ids, [t or "" for t in texts], buckets, halo, *more, strict=True))
             rows = [waiting, *rows] if waiting else rows
             waiting = rows[-1]
             if len(rows) > 1:
@@ -149,10 +152,11 @@ def fingerprint_documents(docs: DataFrame, size: int = SHINGLE, n: int = PERMUTA
 
     kind = dict(docs.dtypes)["doc_id"]
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16()}[kind]
-    return _ordered_with_neighbour(docs).mapInArrow(
+    return _ordered_with_neighbour(docs, list(carried)).mapInArrow(
         work,
         f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
-        "edited_fingerprint string, near_edited double, near_next double",
+        "edited_fingerprint string, near_edited double, near_next double"
+        + "".join(f", {c} {kind}" for c in carried),
     )
 
 
@@ -183,12 +187,16 @@ def banded_classes(
     its band, so a common band costs as many rows as it has sets); inside clusters the exact
     Jaccard similarity decides.
     """
+    links = join_clusters(sets.select("sid", "n", "copies", "grams"), candidate_clusters(sets), percent)
+    return components(links.select("a", "b")), links
+
+
+def candidate_clusters(sets: DataFrame) -> DataFrame:
+    """(id, component) of the sets (sid, bands) that share a band hash with another one."""
     band = sets.select("sid", F.explode("bands").alias("band"))
     hub = band.groupBy("band").agg(F.min("sid").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1")
     near = band.join(hub, "band").where("a <> sid").select("a", F.col("sid").alias("b")).distinct()
-    clusters = components(near)
-    links = join_clusters(sets.select("sid", "n", "copies", "grams"), clusters, percent)
-    return components(links.select("a", "b")), links
+    return components(near)
 
 
 def near_duplicate_classes(
@@ -198,6 +206,12 @@ def near_duplicate_classes(
     shingle sets have at least ``percent`` % Jaccard similarity, among pairs that share a band.
     Empty texts stand alone.
     """
+    return _classes(docs, percent, size, n, recall).select("doc_id", "class_id", "n_shingles")
+
+
+def _classes(docs: DataFrame, percent: int, size: int, n: int, recall: float) -> DataFrame:
+    """near_duplicate_classes with the digest of each row's text. Shingles themselves are read only
+    of sets that share a band with another one."""
     bound_batches(docs.sparkSession)
     bands, rows = best_bands(n, percent / 100, recall)
     kind = dict(docs.dtypes)["doc_id"]
@@ -208,33 +222,75 @@ def near_duplicate_classes(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("digest"),
                     sid_column(set_hash(grams, offsets)),
                     pa.array(np.diff(offsets), pa.int64()),
-                    pa.array([grams[a:b].tobytes() for a, b in zip(offsets, offsets[1:], strict=False)], pa.binary()),
                     pa.array(list(band_hashes(signatures(grams, offsets, n), bands, rows)), pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "sid", "n", "grams", "bands"],
+                names=["doc_id", "digest", "sid", "n", "bands"],
             )
 
     light = saved(
-        docs.select("doc_id", "text").mapInArrow(
-            describe, f"doc_id {kind}, sid binary, n long, grams binary, bands array<bigint>"
+        docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").mapInArrow(
+            describe, f"doc_id {kind}, digest long, sid binary, n long, bands array<bigint>"
         ),
         "signed",
     )
-    heads = light.where("n > 0").groupBy("sid").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
+    heads = saved(
+        light.where("n > 0").groupBy("sid").agg(
+            F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")
+        ),
+        "distinct",
     )
-    whole = light.where("n > 0").select("sid", "n", "grams", "bands").dropDuplicates(["sid"])
-    sets = saved(whole.join(heads, "sid"), "distinct")
-    classes, _ = banded_classes(sets, percent)
-    linked = classes.selectExpr("id AS sid", "component").join(sets.select("sid", "first_id"), "sid")
+    whole = light.where("n > 0").select("sid", "bands").dropDuplicates(["sid"])
+    clusters = saved(candidate_clusters(saved(whole, "bands")), "clusters")
+    open_sets = saved(heads.join(clusters.selectExpr("id AS sid"), "sid", "left_semi"), "open")
+    wanted = open_sets.select(F.col("first_id").alias("want_doc"), F.col("sid").alias("want"))
+    if open_sets.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("want_doc")))
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text"):
+            grams, offsets = distinct_per_row(*words_of(batch.column("text")).grams(size))
+            sids, want = sid_column(set_hash(grams, offsets)).to_pylist(), batch.column("want").to_pylist()
+            keep = [i for i in range(len(want)) if want[i] == sids[i]]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([want[i] for i in keep], pa.binary()),
+                    pa.array([grams[offsets[i] : offsets[i + 1]].tobytes() for i in keep], pa.binary()),
+                ],
+                names=["sid", "grams"],
+            )
+
+    full = texts.select("want", "text").mapInArrow(sets_of, "sid binary, grams binary").dropDuplicates(["sid"])
+    sets = saved(full.join(open_sets, "sid").select("sid", "n", "copies", "grams"), "full")
+    classes = components(join_clusters(sets, clusters, percent).select("a", "b"))
+    linked = classes.selectExpr("id AS sid", "component").join(heads.select("sid", "first_id"), "sid")
     first = linked.groupBy("component").agg(F.min("first_id").alias("class_id"))
     keyed = heads.join(linked.select("sid", "component").join(first, "component"), "sid", "left").select(
         "sid", F.coalesce("class_id", "first_id").alias("class_id")
     )
     return light.join(keyed, "sid", "left").select(
         "doc_id",
+        "digest",
         F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.col("n").alias("n_shingles"),
     )
+
+
+def classed_fingerprints(docs: DataFrame, percent: int = 80, recall: float = 0.999) -> DataFrame:
+    """fingerprint_documents with the ``class_id`` of near_duplicate_classes, one row per row."""
+    found = _classes(docs, percent, SHINGLE, PERMUTATIONS, recall).where("NOT class_id <=> doc_id")
+    other = saved(
+        found.select(F.col("doc_id").alias("own"), F.col("digest").alias("own_digest"), "class_id").distinct(),
+        "classes",
+    )
+    if other.count() <= BROADCAST_ROWS:
+        other = F.broadcast(other)
+    same = F.col("doc_id").eqNullSafe(F.col("own")) & (F.xxhash64("text") == F.col("own_digest"))
+    joined = docs.select("doc_id", "text").join(other, same, "left")
+    classed = joined.select(
+        "doc_id", "text", F.when(F.col("own_digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")
+    )
+    return fingerprint_documents(classed, carried=("class_id",))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.llm import byte_bpe, language, licenses, toxicity, warc
 from vitalgrid.llm.common import table
-from vitalgrid.llm.fingerprints import fingerprint_documents
+from vitalgrid.llm.fingerprints import classed_fingerprints
 from vitalgrid.llm.mixing import mix_sources
 from vitalgrid.llm.nearest import nearest_by_inner_product
 from vitalgrid.llm.ngram_join import ngram_classes
@@ -49,7 +49,7 @@ def language_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint_documents(table(spark, sf_dir, "documents"))
+    return classed_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
