@@ -129,6 +129,27 @@ def test_passages_stay_once(spark, docs, rows):
     assert remove_repeats(empty(spark)).count() == 0
 
 
+def test_passages_are_cut_to_their_ends(spark):
+    draw = np.random.default_rng(5)
+    prose = lambda n: ["".join(draw.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    rows, copies = [], {}
+    for k in range(60):
+        passage = prose(50 + k % 11)
+        near = list(passage)
+        if k % 2:  # one word changed at a place where the whole keeps Jaccard 0.8
+            near = [*(passage := [*passage, *prose(10)])]
+            near[int(draw.integers(12, len(near) - 12))] = "other"
+            a, b = (shingles(" ".join(x), 5) for x in (passage, near))
+            assert len(a & b) >= 0.8 * len(a | b)
+        left, right = prose(30), prose(30)
+        rows += [(k, " ".join([*prose(30), *passage, *prose(30)])), (1000 + k, " ".join([*left, *near, *right]))]
+        copies[1000 + k] = " ".join([*left, *right])
+    out = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[k].text == text for k, text in rows if k < 1000)
+    wrong = [k for k, rest in copies.items() if out[k].text.split() != rest.split()]
+    assert not wrong
+
+
 def test_mix_reaches_targets(spark):
     sizes = rng.integers(1, 40, 900)
     rows = [(i, sentence(int(n)), "en", None if i % 90 == 0 else f"s{i % 4 if i % 3 else 0}", 0, "") for i, n in enumerate(sizes)]

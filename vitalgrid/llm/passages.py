@@ -6,7 +6,11 @@ equal passages are cut alike whatever surrounds them. Pieces that occur in more
 with gaps of at most ``BRIDGE`` words between them, form a paragraph if they have ``min_words``
 words. Paragraphs of one content are one set; sets of five-word shingles colliding in a band are
 joined, exact Jaccard decides, and components of the links are the passages. The first occurrence
-of a passage (smallest doc_id, then position) stays, every other one is cut out. A run of at least
+of a passage (smallest doc_id, then position) stays, every other one is cut out.
+
+Pieces are seeds only for what a text shares with their first occurrence: runs of them are extended
+word by word on both sides to where the two texts part, also past one word changed, and 20 words and
+exact Jaccard are decided on the extended spans. A run of at least
 ``min_words`` words that documents of smaller doc_id hold word for word is cut even where the
 paragraph around it is like no other.
 
@@ -29,9 +33,10 @@ from vitalgrid.llm.fingerprints import FIRST, SHINGLE, band_hashes, banded_class
 from vitalgrid.llm.ngram_join import BROADCAST_ROWS, sid_column
 from vitalgrid.llm.shingles import GRAM_BASE, WORD_BASE, distinct_per_row, mix, words_of
 
-REACH = 5
+REACH = 3
 BRIDGE = 16
 MIN_WORDS = 20
+PAD = 64  # words read on each side of a run; a piece is longer in monotonous text only
 FUNCTIONS = 64
 PERCENT = 80
 RECALL = 0.999
@@ -63,6 +68,11 @@ def cut_words(words) -> np.ndarray:
     return begins
 
 
+SEED = pa.struct(
+    [("doc", pa.int64()), ("digest", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("exact", pa.bool_())]
+)
+
+
 def pack_span(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Begin and length of a span of a text, which has at most 2^31 bytes, in one number."""
     return (begin.astype(np.int64) << 31) | (end - begin)
@@ -110,37 +120,50 @@ def find_pieces(docs: DataFrame) -> DataFrame:
 
 
 def find_paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, digest, sid, begin, end): runs of pieces that other documents have too; without a
-    sid, runs that documents of smaller doc_id have word for word."""
+    """(doc_id, digest, sid, begin, end, seed): runs of pieces that other documents have too; without a
+    sid, runs that documents of smaller doc_id have word for word, or with a ``seed`` and spans of
+    words, runs to be extended beside their first occurrence."""
     kind = dict(docs.dtypes)["doc_id"]
     pieces = find_pieces(docs)
     order = F.coalesce("doc_id", F.lit(FIRST))
     repeated = (
         pieces.groupBy("piece")
-        .agg(F.min(order).alias("first_doc"), F.max(order).alias("last_doc"))
-        .where("first_doc <> last_doc")
-        .select("piece", "first_doc")
+        .agg(F.min(F.struct(order.alias("doc"), "digest", "words")).alias("at"), F.max(order).alias("last_doc"))
+        .where("at.doc <> last_doc")
+        .select("piece", "at")
     )
     per_text = (
         pieces.join(repeated, "piece")
         .groupBy("doc_id", "digest")
-        .agg(F.collect_list(F.struct("words", "bytes", "piece", (order > F.col("first_doc")).alias("later"))).alias("own"))
+        .agg(F.collect_list(F.struct("words", "bytes", "piece", (order > F.col("at.doc")).alias("later"), "at")).alias("own"))
     )
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {k: [] for k in ("row", "low", "high", "begin", "end")}
             copied = {k: [] for k in ("row", "begin", "end")}
+            seeds, seed_rows = [], []
             lists = batch.column("own")
             flat = lists.flatten()
             first, last = unpack_span(flat.field(0).to_numpy())
             begin, end = unpack_span(flat.field(1).to_numpy())
             piece = flat.field(2).to_numpy()
             later = flat.field(3).to_numpy(zero_copy_only=False)
+            source, text_of, place = (flat.field(4).field(k).to_numpy() for k in range(3))
+            there, there_end = unpack_span(place)
             cuts = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy())])
             for row, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                 order = a + np.argsort(first[a:b])
                 known = order[later[order]]
+                for run, exact in chains(known, first, last, source, text_of, there, there_end):
+                    seeds.append(
+                        {
+                            "doc": source[run[0]], "digest": text_of[run[0]], "low": there[run[0]],
+                            "high": there_end[run[-1]], "exact": exact,
+                            "begin": first[run[0]], "end": last[run[-1]],
+                        }
+                    )
+                    seed_rows.append(row)
                 apart = np.flatnonzero(first[known[1:]] != last[known[:-1]]) + 1
                 for run in np.split(known, apart):
                     if len(run) and last[run[-1]] - first[run[0]] >= min_words:
@@ -161,21 +184,149 @@ def find_paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
                     out["high"].append(mix(value ^ GRAM_BASE).sum(dtype=np.uint64))
                     out["begin"].append(begin[run[0]])
                     out["end"].append(end[run[-1]])
-            at = pa.array(out["row"] + copied["row"], pa.int64())
+            at = pa.array(out["row"] + copied["row"] + seed_rows, pa.int64())
+            plain = len(out["row"]) + len(copied["row"])
             both = np.array([out["low"], out["high"]], np.uint64).T.reshape(-1, 2)
-            none = pa.nulls(len(copied["row"]), pa.binary())
+            none = pa.nulls(len(copied["row"]) + len(seeds), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(at), batch.column("digest").take(at),
                     pa.concat_arrays([sid_column(both), none]),
-                    pa.array(out["begin"] + copied["begin"], pa.int64()),
-                    pa.array(out["end"] + copied["end"], pa.int64()),
+                    pa.array(out["begin"] + copied["begin"] + [s["begin"] for s in seeds], pa.int64()),
+                    pa.array(out["end"] + copied["end"] + [s["end"] for s in seeds], pa.int64()),
+                    pa.array([None] * plain + [{k: v for k, v in s.items() if k in SEED.names} for s in seeds], SEED),
                 ],
-                names=["doc_id", "digest", "sid", "begin", "end"],
+                names=["doc_id", "digest", "sid", "begin", "end", "seed"],
             )
 
     return per_text.mapInArrow(
-        runs, f"doc_id {kind}, digest long, sid binary, begin long, end long"
+        runs,
+        f"doc_id {kind}, digest long, sid binary, begin long, end long, "
+        "seed struct<doc:long,digest:long,low:long,high:long,exact:boolean>",
+    )
+
+
+def chains(known, first, last, source, text_of, there, there_end) -> Iterator[tuple[np.ndarray, bool]]:
+    """Runs of pieces that follow each other in this text and in that of their first occurrence, with
+    gaps of at most BRIDGE words, and their parts without a gap."""
+    known = known[np.lexsort((first[known], text_of[known], source[known]))]
+    if not len(known):
+        return
+    other = (np.diff(source[known]) != 0) | (np.diff(text_of[known]) != 0)
+    here_gap, there_gap = first[known[1:]] - last[known[:-1]], there[known[1:]] - there_end[known[:-1]]
+    loose = other | (here_gap > BRIDGE) | (there_gap > BRIDGE) | (there_gap < 0)
+    strict = loose | (here_gap != 0) | (there_gap != 0)
+    cuts = np.flatnonzero(loose) + 1
+    inner = np.flatnonzero(strict) + 1
+    for a, b in zip([0, *cuts], [*cuts, len(known)], strict=True):
+        yield known[a:b], False
+        within = inner[(inner > a) & (inner < b)]
+        for c, d in zip([a, *within], [*within, b], strict=True):
+            yield known[c:d], True
+
+
+def extend(t: np.ndarray, s: np.ndarray, i: int, j: int, exact: bool) -> tuple[int, int]:
+    """How far ``t`` from ``i`` and ``s`` from ``j`` on agree, also past single changed words that at
+    least SHINGLE equal words follow unless ``exact``."""
+    while True:
+        n = min(len(t) - i, len(s) - j)
+        apart = np.flatnonzero(t[i : i + n] != s[j : j + n])
+        n = int(apart[0]) if len(apart) else n
+        i, j = i + n, j + n
+        for a, b in () if exact else ((1, 1), (1, 0), (0, 1)):
+            x, y = t[i + a : i + a + SHINGLE], s[j + b : j + b + SHINGLE]
+            if len(x) == len(y) == SHINGLE and (x == y).all():
+                i, j = i + a, j + b
+                break
+        else:
+            return i, j
+
+
+def alike(t: np.ndarray, s: np.ndarray, percent: int) -> bool:
+    """Whether the shingle sets of two word sequences have at least this Jaccard similarity."""
+    if len(t) == len(s) and (t == s).all():
+        return True
+    a, b = (
+        np.unique(sum(mix(w[k : len(w) - SHINGLE + 1 + k] + np.uint64(k) * GRAM_BASE) for k in range(SHINGLE)))
+        for w in (t, s)
+    )
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def extended_copies(docs: DataFrame, seeds: DataFrame, min_words: int, percent: int) -> DataFrame:
+    """(doc_id, digest, begin, end): byte spans of texts that are like a span of an earlier one."""
+    kind = dict(docs.dtypes)["doc_id"]
+    texts = docs.select("doc_id", "text")
+    asked = seeds.select("seed.doc", "seed.digest", "seed.low", "seed.high").distinct()
+    asked = asked.groupBy(F.col("doc").alias("span_doc"), F.col("digest").alias("span_digest")).agg(
+        F.collect_list(F.struct("low", "high")).alias("own")
+    )
+    same = (F.coalesce("doc_id", F.lit(FIRST)) == F.col("span_doc")) & (F.xxhash64("text") == F.col("span_digest"))
+
+    def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text"):
+            words = words_of(batch.column("text"))
+            docs_, digests = batch.column("span_doc").to_pylist(), batch.column("span_digest").to_pylist()
+            out = {k: [] for k in ("doc", "text_digest", "low", "high", "base", "words")}
+            for i, own in enumerate(batch.column("own").to_pylist()):
+                mine = words.hash[words.rows[i] : words.rows[i + 1]]
+                for p in own:
+                    base = max(0, p["low"] - PAD)
+                    row = (docs_[i], digests[i], p["low"], p["high"], base, mine[base : p["high"] + PAD].tobytes())
+                    for k, v in zip(out, row, strict=True):
+                        out[k].append(v)
+            kinds = [pa.int64()] * 5 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out)
+            )
+
+    read = (
+        texts.join(asked, same)
+        .select("text", "span_doc", "span_digest", "own")
+        .mapInArrow(snippets, "doc long, text_digest long, low long, high long, base long, words binary")
+        .dropDuplicates(["doc", "text_digest", "low", "high"])
+    )
+    keyed = seeds.select("doc_id", F.col("digest").alias("own_digest"), "begin", "end", "seed.*").withColumnRenamed(
+        "digest", "text_digest"
+    )
+    beside = (
+        keyed.join(read, ["doc", "text_digest", "low", "high"])
+        .groupBy("doc_id", F.col("own_digest").alias("digest"))
+        .agg(F.collect_list(F.struct("begin", "end", "low", "high", "base", "exact", "words")).alias("own"))
+    )
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text"):
+            words = words_of(batch.column("text"))
+            row, begins, ends = [], [], []
+            for i, own in enumerate(batch.column("own").to_pylist()):
+                t0 = int(words.rows[i])
+                t = words.hash[t0 : words.rows[i + 1]]
+                for p in own:
+                    s = np.frombuffer(p["words"], np.uint64)
+                    end, high = extend(t, s, p["end"], p["high"] - p["base"], p["exact"])
+                    back = extend(t[: p["begin"]][::-1], s[: p["low"] - p["base"]][::-1], 0, 0, p["exact"])
+                    begin, low = p["begin"] - back[0], p["low"] - p["base"] - back[1]
+                    if end - begin >= min_words and alike(t[begin:end], s[low:high], percent):
+                        row.append(i)
+                        begins.append(words.starts[t0 + begin] - words.offsets[i])
+                        ends.append(words.ends[t0 + end - 1] - words.offsets[i])
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(at), batch.column("digest").take(at),
+                    pa.array(begins, pa.int64()), pa.array(ends, pa.int64()),
+                ],
+                names=["doc_id", "digest", "begin", "end"],
+            )
+
+    joined = texts.withColumn("digest", F.xxhash64("text")).join(
+        beside.withColumnsRenamed({"doc_id": "span_doc", "digest": "span_digest"}),
+        F.col("doc_id").eqNullSafe(F.col("span_doc")) & (F.col("digest") == F.col("span_digest")),
+    )
+    return joined.select("doc_id", "digest", "text", "own").mapInArrow(
+        decide, f"doc_id {kind}, digest long, begin long, end long"
     )
 
 
@@ -237,7 +388,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = P
     ``removed`` (byte spans of the original text)."""
     bound_batches(docs.sparkSession)
     found = saved(find_paragraphs(docs, min_words), "runs")
-    paragraphs, copied = found.where("sid IS NOT NULL"), found.where("sid IS NULL")
+    paragraphs, copied = found.where("sid IS NOT NULL"), found.where("sid IS NULL AND seed IS NULL")
+    extended = extended_copies(docs, found.where("seed IS NOT NULL"), min_words, percent)
     classes = passage_classes(docs, paragraphs, percent)
     placed = paragraphs.join(classes, "sid", "left").select(
         "doc_id", "digest", "begin", "end", F.coalesce("class", "sid").alias("class")
@@ -248,7 +400,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = P
         placed.join(first, "class")
         .where(~place.eqNullSafe(F.col("kept")))
         .select("doc_id", "digest", "begin", "end")
-        .unionByName(copied.drop("sid"))
+        .unionByName(copied.drop("sid", "seed"))
+        .unionByName(extended)
         .groupBy("doc_id", "digest")
         .agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("removed"))
     )
