@@ -150,6 +150,19 @@ def test_passages_are_cut_to_their_ends(spark):
     assert not wrong
 
 
+def test_repeated_rows_change_no_cut(spark):
+    draw = np.random.default_rng(8)
+    prose = lambda n: " ".join("".join(draw.choice(list("abcdefghij"), 6)) for _ in range(n))
+    rows = []
+    for k in range(20):
+        short, long = prose(12), prose(45)
+        rows += [(k, f"{prose(30)} {short} {prose(30)} {long} {prose(30)}"), (500 + k, f"{prose(9)} {short} {prose(40)} {long}")]
+    schema = "doc_id long, text string"
+    once = {r.doc_id: r.removed for r in remove_repeats(spark.createDataFrame(rows, schema)).collect()}
+    twice = remove_repeats(spark.createDataFrame([*rows, *rows], schema)).collect()
+    assert len(twice) == 2 * len(rows) and all(r.removed == once[r.doc_id] for r in twice)
+
+
 def test_mix_reaches_targets(spark):
     sizes = rng.integers(1, 40, 900)
     rows = [(i, sentence(int(n)), "en", None if i % 90 == 0 else f"s{i % 4 if i % 3 else 0}", 0, "") for i, n in enumerate(sizes)]
@@ -256,6 +269,13 @@ def test_licenses(spark, docs, rows):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_license_gates_let_addresses_and_identifiers_through(spark):
+    texts = {"see gnu.org/licenses/fdl-1.3": "gfdl-1.3", "SPDX-License-Identifier: BSL-1.0": "bsl-1.0"}
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(table).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def test_language(spark):
     words = {"aa": "taka miso ruka", "bb": "shrim plonk grest"}
     texts = [(i, " ".join(rng.choice(words[k].split(), 30)), k) for i, k in enumerate(itertools.islice(itertools.cycle(words), 80))]

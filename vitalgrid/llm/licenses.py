@@ -51,7 +51,7 @@ FAMILIES = [
     Family("gpl", "(?:gnu )?(?:gpl|general public)", (" gpl", " general public "), ("1.0", "2.0", "3.0"), "gnu org licenses(?: old licenses)? gpl"),
     Family("lgpl", "(?:gnu )?(?:lgpl|(?:lesser|library) general public)", (" lgpl", " lesser ", " library "), ("2.0", "2.1", "3.0"), "gnu org licenses(?: old licenses)? lgpl"),
     Family("agpl", "(?:gnu )?(?:agpl|affero general public)", (" agpl", " affero "), ("1.0", "3.0"), "gnu org licenses agpl"),
-    Family("gfdl", "(?:gnu )?(?:gfdl|free documentation)", (" gfdl", " documentation "), ("1.1", "1.2", "1.3"), "gnu org licenses fdl"),
+    Family("gfdl", "(?:gnu )?(?:gfdl|free documentation)", (" gfdl", " fdl ", " documentation "), ("1.1", "1.2", "1.3"), "gnu org licenses fdl"),
     Family("mpl", "(?:mpl|mozilla public)", (" mpl", " mozilla "), ("1.0", "1.1", "2.0"), "mozilla org mpl"),
     Family("epl", "(?:epl|eclipse public)", (" epl", " eclipse "), ("1.0", "2.0"), "eclipse org legal epl"),
     Family("cddl", "(?:cddl|common development and distribution)", (" cddl", " development "), ("1.0", "1.1")),
@@ -67,7 +67,7 @@ FAMILIES = [
     Family("bsd", "bsd", (" bsd ",)),
     Family("isc", "isc", (" isc ",), (), "opensource org licenses isc"),
     Family("zlib", "zlib(?: libpng)?", (" zlib ",)),
-    Family("bsl", "boost software", (" boost ",), ("1.0",), "boost org license"),
+    Family("bsl", "boost software", (" boost ", " bsl "), ("1.0",), "boost org license"),
     Family("psf", "(?:psf|python software foundation)", (" psf ", " python "), ("2.0",)),
     Family("ofl", "(?:ofl|sil open font)", (" ofl ", " font "), ("1.0", "1.1")),
     Family("odbl", "(?:odbl|open database|odc open database)", (" odbl ", " database "), ("1.0",)),

@@ -153,7 +153,7 @@ def find_paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
             there, there_end = unpack_span(place)
             cuts = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(lists).to_numpy())])
             for row, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                order = a + np.argsort(first[a:b])
+                order = a + np.unique(first[a:b], return_index=True)[1]  # a repeated row holds each piece again
                 known = order[later[order]]
                 for run, exact in chains(known, first, last, source, text_of, there, there_end):
                     seeds.append(
