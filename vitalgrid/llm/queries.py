@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import byte_bpe, language, licenses, toxicity, warc
+from vitalgrid.llm import byte_bpe, conversations, language, licenses, toxicity, warc
 from vitalgrid.llm.common import table
 from vitalgrid.llm.fingerprints import classed_fingerprints
 from vitalgrid.llm.mixing import mix_sources
@@ -65,6 +65,11 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair_conversations(damaged, copies="copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxic_documents,
     "op2_nearest": nearest_vectors,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": substring_dedup,
     "op9_ngram_jaccard_join": ngram_jaccard,
     "op10_licenses": license_scan,
+    "op11_conversation_repair": conversation_repair,
 }
 
 ORACLES: dict[str, str] = {}
