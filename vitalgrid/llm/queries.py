@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import byte_bpe, conversations, language, licenses, toxicity, warc
+from vitalgrid.llm import (
+    byte_bpe,
+    conversations,
+    decontamination,
+    filter_audit,
+    language,
+    licenses,
+    toxicity,
+    warc,
+)
 from vitalgrid.llm.common import table
 from vitalgrid.llm.fingerprints import classed_fingerprints
 from vitalgrid.llm.mixing import mix_sources
 from vitalgrid.llm.nearest import nearest_by_inner_product
 from vitalgrid.llm.ngram_join import ngram_classes
+from vitalgrid.llm.oracles import ORACLES  # noqa: F401
 from vitalgrid.llm.passages import remove_repeats
 
 
@@ -70,6 +80,20 @@ def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(damaged, copies="copies")
 
 
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.contamination(documents, table(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"), "contaminated")
+
+
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = {"good": F.col("quality") == 1, "toxic": F.col("toxic") == 1}
+    failed = filter_audit.failures(table(spark, sf_dir, "documents"))
+    rows = filter_audit.labelled(failed, table(spark, sf_dir, "labels"), marks)
+    return filter_audit.audit_filters(rows, "ABCDE", list(marks))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxic_documents,
     "op2_nearest": nearest_vectors,
@@ -82,6 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_jaccard_join": ngram_jaccard,
     "op10_licenses": license_scan,
     "op11_conversation_repair": conversation_repair,
-}
-
-ORACLES: dict[str, str] = {}
+    "op12_decontamination": benchmark_leaks,
+    "op13_filter_audit": filter_interactions,
+}
\ No newline at end of file
