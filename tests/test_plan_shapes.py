@@ -6,7 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from vitalgrid.operators import ranking
-from vitalgrid.plans.graph import MODELS, Tables
+from conftest import rows
+from vitalgrid.plans.graph import MODELS, Tables, item_groups
 from vitalgrid.session import scratch_dir
 from vitalgrid.sources.derived import bronze
 from pyspark.sql import functions as F
@@ -63,3 +64,32 @@ def test_ranking_prunes_before_the_shuffle(spark):
     plan = plan_of(ranking.top_per_group(df, ["user_id"], [F.col("ts")], 3))
     assert plan.count("WindowGroupLimit") == 2  # one of them below the exchange
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
+
+
+def test_score_reads_each_event_table_once(spark, tmp_path):
+    """The raw chart and lab tables are scanned by one write each; all readers take its parts."""
+    raw = bronze(spark.read.parquet(f"{SF}/events.parquet"))
+    for name in ("chartevents", "labevents"):
+        raw[name].write.parquet(str(tmp_path / f"raw_{name}"))
+        raw[name] = spark.read.parquet(str(tmp_path / f"raw_{name}"))
+    tables = Tables(raw, str(tmp_path / "store"))
+    tables.prepare("sofa")
+    assert tables["sofa"].columns and len(tables.built()) > 10
+    for frame in tables.built().values():
+        assert not any("/raw_" in f for f in frame.inputFiles())
+    assert any("chartevents_by_item" in f for f in tables["sofa"].inputFiles())
+
+
+def test_parts_hold_what_readers_ask_for(spark, tmp_path):
+    raw = bronze(spark.read.parquet(f"{SF}/events.parquet"))
+    tables = Tables(raw, str(tmp_path / "store"))
+    tables.part(["gcs", "bg", "icustay_times", "urine_output_rate"])
+    groups = item_groups("chartevents", ["gcs", "bg", "icustay_times", "urine_output_rate"])
+    assert len(set(groups.values())) == 3
+    for codes in ([220045], [220739, 223900, 223901], [223835, 220045]):
+        whole = raw["chartevents"].where(F.col("itemid").isin(codes))
+        assert tables.items("chartevents", codes).columns == whole.columns
+        assert rows(tables.items("chartevents", codes), *whole.columns) == rows(whole, *whole.columns)
+    other = tables.items("chartevents", [220277])  # in no part: read from the table itself
+    assert other.count() == raw["chartevents"].where("itemid = 220277").count()
+    assert item_groups("labevents", ["bg"]) == {}

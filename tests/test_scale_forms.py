@@ -17,8 +17,8 @@ from conftest import rows
 from vitalgrid.functions.time import DAY, HOUR, micros
 from vitalgrid.operators import chunks
 from vitalgrid.operators.bands import around, first_in_band, hours_after, hours_before
-from vitalgrid.operators.grid import bucket_agg, bucket_agg_range_join, hour_grid
-from vitalgrid.operators.intervals import point_in_interval
+from vitalgrid.operators.grid import bucket_agg, bucket_agg_range_join, hour_grid, interval_at_bucket_end
+from vitalgrid.operators.intervals import RADIX, _cells, listed, point_in_interval
 from vitalgrid.operators.lookback import asof_lookback, prev_within
 from vitalgrid.operators.relational import star_left, star_merge
 from vitalgrid.operators.rolling import rolling_max_rows, trailing_sums, trailing_sums_self_join
@@ -277,3 +277,52 @@ def test_star_forms_agree(log):
         grid, parts, ["k", "s"], [F.max("hi").alias("hi"), F.min("lo").alias("lo")]
     )
     assert rows(one, "k", "s", "g", "hi", "lo") == rows(two, "k", "s", "g", "hi", "lo")
+
+
+def _far(spark):
+    """Intervals of an hour, of months, and without a real end, beside points of three months."""
+    spans = []
+    for i in range(60):
+        a = START + dt.timedelta(hours=37 * i)
+        ends = [a + dt.timedelta(hours=1), a + dt.timedelta(days=16), a + dt.timedelta(days=300), dt.datetime(9999, 12, 31)]
+        spans.append((1 + i % 3, i, dt.datetime(1900, 1, 1) if i % 10 == 9 else a, ends[i % 4]))
+    points = [(1 + i % 4 if i % 9 else None, 1000 + i, START + dt.timedelta(minutes=311 * i) if i % 11 else None) for i in range(400)]
+    return (
+        spark.createDataFrame(points, "k long, id long, t timestamp_ntz"),
+        spark.createDataFrame(spans, "k long, sid long, a timestamp_ntz, b timestamp_ntz"),
+    )
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("width", [DAY, 5 * HOUR])
+def test_long_intervals(spark, how, width):
+    points, spans = _far(spark)
+    got = point_in_interval(points, spans, ["k"], "t", "a", "b", "[)", how=how, width=width)
+    spans_, want = spans.collect(), []
+    for p in points.collect():
+        hits = [x.sid for x in spans_ if p.k is not None and p.k == x.k and p.t is not None and x.a <= p.t < x.b]
+        want += [(p.id, sid) for sid in hits] or ([(p.id, None)] if how == "left" else [])
+    assert sorted(rows(got, "id", "sid"), key=str) == sorted(want, key=str)
+
+
+def test_an_endless_interval_costs_few_rows(spark):
+    """No more cells than the radix, and no rows at blocks without points."""
+    endless = spark.createDataFrame([(1, START, dt.datetime(9999, 12, 31))], "k long, a timestamp_ntz, b timestamp_ntz")
+    first, last = chunks.block(micros("a"), DAY), chunks.block(micros("b"), DAY)
+    assert endless.select(F.size(_cells(first, last))).first()[0] <= RADIX + 1
+    points = spark.createDataFrame([(1, START + dt.timedelta(days=d)) for d in (0, 3, 40, 5000)] * 50, "k long, t timestamp_ntz")
+    occupied = points.select("k", chunks.block(micros("t"), DAY).alias("_block")).distinct()
+    assert listed(endless, ["k"], first, last, occupied).count() == 4
+    plan = point_in_interval(points, endless, ["k"], "t", "a", "b")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" not in plan
+
+
+def test_endless_intervals_on_a_grid(spark):
+    grid = spark.range(1, 200).select(F.lit(1).alias("k"), (F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("endtime"))
+    spans = [(1, dt.datetime(1800, 1, 1), dt.datetime(9999, 12, 31), 1), (1, START + dt.timedelta(minutes=90), START + dt.timedelta(hours=4), 2),
+             (1, START + dt.timedelta(hours=199), dt.datetime(9999, 1, 1), 3), (2, START, START, 4)]
+    df = spark.createDataFrame(spans, "k long, a timestamp_ntz, b timestamp_ntz, v int")
+    got = interval_at_bucket_end(grid, df, "k", "a", "b", [F.max("v").alias("v"), F.count("v").alias("n")])
+    for r in got.collect():
+        hits = [v for k, a, b, v in spans if k == 1 and a < r.endtime <= b]
+        assert (r.v, r.n) == (max(hits), len(hits))

@@ -88,6 +88,30 @@ def interval_at_bucket_end(
     end: str,
     aggregates: Sequence[Column],
 ) -> DataFrame:
-    """Sample intervals at every grid end; hours covered by none stay empty."""
-    sampled = interval_to_hours(intervals, start, end).groupBy(key, "endtime").agg(*aggregates)
+    """Sample intervals at every grid end; hours covered by none stay empty.
+
+    An interval is sampled from the first to the last hour of its key's grid at most, so one without
+    a real end costs no more than the grid.
+    """
+    reach = grid.groupBy(F.col(key).alias("_key")).agg(
+        F.min("endtime").alias("_first"), F.max("endtime").alias("_last")
+    )
+    within = clipped(
+        intervals.join(reach, F.col(key) == F.col("_key")).drop("_key"), start, end, "_first", "_last"
+    )
+    sampled = interval_to_hours(within, start, end).groupBy(key, "endtime").agg(*aggregates)
     return grid.join(sampled, [key, "endtime"], "left")
+
+
+def clipped(intervals: DataFrame, start: str, end: str, first: str, last: str) -> DataFrame:
+    """Intervals cut to what they share with the hours from ``first`` to ``last``, the others dropped.
+
+    The start stays below ``first``, as an hour counts if it lies behind the start.
+    """
+    inside = (F.col(end) >= F.col(first)) & (F.col(start) < F.col(last))
+    return (
+        intervals.where(inside)
+        .withColumn(start, F.greatest(F.col(start), shift(first, hours=-1)))
+        .withColumn(end, F.least(F.col(end), F.col(last)))
+        .drop(first, last)
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.cleaning import filter_items, merge_codes, require
+from vitalgrid.functions.cleaning import merge_codes, require
 from vitalgrid.functions.time import HOUR
 from vitalgrid.operators.lookback import prev_within
 from vitalgrid.operators.pivot import codes_of, pivot_columns, pivot_items
@@ -13,17 +13,27 @@ from vitalgrid.operators.ranking import top_per_group
 from vitalgrid.plans import items
 
 
+def _vitals(columns: tuple[str, ...] | None) -> list:
+    return [m for m in items.VITALS if columns is None or m.name in columns]
+
+
+def vital_codes(columns: tuple[str, ...] | None = None) -> list[int]:
+    """Items that feed the vitals, or the named ones of them."""
+    codes = codes_of(_vitals(columns))
+    if columns is None or "temperature" in columns:
+        codes += [*items.TEMPERATURE_F, *items.TEMPERATURE_C]
+    return codes
+
+
 def vitalsign(t, columns: tuple[str, ...] | None = None) -> DataFrame:
     """One row per subject, stay and time: averaged vitals inside their plausible ranges.
 
     With ``columns``, only those are built and only their items are read.
     """
-    spec = [m for m in items.VITALS if columns is None or m.name in columns]
-    codes, extra = codes_of(spec), []
+    spec, extra = _vitals(columns), []
     if columns is None or "temperature" in columns:
-        codes += [*items.TEMPERATURE_F, *items.TEMPERATURE_C]
         extra = [items.temperature_celsius()]
-    rows = filter_items(require(t["chartevents"], ["stay_id"]), "itemid", codes)
+    rows = require(t.items("chartevents", vital_codes(columns)), ["stay_id"])
     return rows.groupBy("subject_id", "stay_id", "charttime").agg(
         *pivot_columns(spec, "avg", "itemid", "valuenum"), *extra
     )
@@ -31,7 +41,7 @@ def vitalsign(t, columns: tuple[str, ...] | None = None) -> DataFrame:
 
 def ventilator_setting(t) -> DataFrame:
     """One row per subject and time: ventilator settings and modes."""
-    rows = require(t["chartevents"], ["value", "stay_id"])
+    rows = require(t.items("chartevents", codes_of(items.VENTILATOR_SETTINGS)), ["value", "stay_id"])
     return pivot_items(
         rows,
         ["subject_id", "charttime"],
@@ -45,8 +55,7 @@ def oxygen_delivery(t) -> DataFrame:
 
     Times with a device but no flow are absent by definition of the table.
     """
-    chart = t["chartevents"]
-    flows = require(filter_items(chart, "itemid", items.O2_FLOW_ITEMS), ["value"]).select(
+    flows = require(t.items("chartevents", items.O2_FLOW_ITEMS), ["value"]).select(
         "subject_id",
         "stay_id",
         "charttime",
@@ -58,9 +67,7 @@ def oxygen_delivery(t) -> DataFrame:
     latest = flows.groupBy("subject_id", "charttime", "flow_item").agg(
         F.max_by(F.struct("valuenum", "stay_id"), "age").alias("flow")
     )
-    device_rows = require(
-        filter_items(chart, "itemid", [items.O2_DEVICE]), ["subject_id", "charttime"]
-    )
+    device_rows = require(t.items("chartevents", [items.O2_DEVICE]), ["subject_id", "charttime"])
     devices = top_per_group(
         device_rows,
         ["subject_id", "charttime"],
@@ -112,9 +119,7 @@ def oxygen_delivery(t) -> DataFrame:
 
 def gcs(t) -> DataFrame:
     """One row per subject, stay and time: coma scale with six-hour carry-forward of components."""
-    rows = filter_items(
-        t["chartevents"], "itemid", [items.GCS_MOTOR, items.GCS_VERBAL, items.GCS_EYES]
-    )
+    rows = t.items("chartevents", [items.GCS_MOTOR, items.GCS_VERBAL, items.GCS_EYES])
 
     def component(code: int, value):
         return F.max(F.when(F.col("itemid") == code, value))

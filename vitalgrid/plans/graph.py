@@ -7,8 +7,11 @@ from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vitalgrid.plans import charted, fluids, infection, labs, respiratory, scores, stays
+from vitalgrid.functions.cleaning import filter_items
+from vitalgrid.operators.pivot import codes_of
+from vitalgrid.plans import charted, fluids, infection, items, labs, respiratory, scores, stays
 from vitalgrid.session import scratch_dir
 
 # name -> (plan, tables it reads)
@@ -65,6 +68,62 @@ SHARED = {
 }
 
 
+# What each model reads of the two event tables. The scores take one vital sign only.
+READINGS: dict[str, dict[str, Callable[[], Iterable[int]]]] = {
+    "chartevents": {
+        "icustay_times": lambda: [items.HEART_RATE],
+        "urine_output_rate": lambda: [items.HEART_RATE],
+        "weight_durations": lambda: [items.WEIGHT_ADMIT, items.WEIGHT_DAILY],
+        "vitalsign": charted.vital_codes,
+        "sofa": lambda: charted.vital_codes(scores.VITALS_READ),
+        "ventilator_setting": lambda: codes_of(items.VENTILATOR_SETTINGS),
+        "oxygen_delivery": lambda: [*items.O2_FLOW_ITEMS, items.O2_DEVICE],
+        "gcs": lambda: [items.GCS_MOTOR, items.GCS_VERBAL, items.GCS_EYES],
+        "bg": lambda: [items.FIO2_CHARTED],
+    },
+    "labevents": {
+        "bg": lambda: codes_of(items.BLOOD_GAS),
+        "chemistry": lambda: codes_of(items.CHEMISTRY),
+        "enzyme": lambda: codes_of(items.ENZYMES),
+        "complete_blood_count": lambda: codes_of(items.BLOOD_COUNT),
+    },
+}
+
+
+def item_groups(table: str, models: Iterable[str]) -> dict[int, int]:
+    """Group number of every item of ``table`` that two or more of ``models`` between them read:
+    items read by the same models share a group."""
+    readers = {m: set(codes()) for m, codes in READINGS[table].items() if m in set(models)}
+    if len(readers) < 2:
+        return {}
+    by_code = {c: tuple(sorted(m for m in readers if c in readers[m])) for c in set().union(*readers.values())}
+    numbers = {group: n for n, group in enumerate(sorted(set(by_code.values())))}
+    return {code: numbers[group] for code, group in by_code.items()}
+
+
+class Parted:
+    """A copy of an event table that holds one folder for each group of items read together."""
+
+    def __init__(self, table: DataFrame, groups: Mapping[int, int], path: str):
+        self._groups = dict(groups)
+        pairs = [F.lit(x) for pair in sorted(self._groups.items()) for x in pair]
+        tagged = filter_items(table, "itemid", self._groups).withColumn(
+            "item_group", F.element_at(F.create_map(*pairs), F.col("itemid"))
+        )
+        # One pass over the table. Large groups are written by several tasks, small ones by one.
+        tagged.hint("rebalance", "item_group").write.partitionBy("item_group").parquet(path)
+        schema = tagged.select(*table.columns, "item_group").schema
+        self._frame = table.sparkSession.read.schema(schema).parquet(path)
+
+    def holds(self, codes: Iterable[int]) -> bool:
+        return set(codes) <= self._groups.keys()
+
+    def items(self, codes: Iterable[int]) -> DataFrame:
+        groups = sorted({self._groups[c] for c in codes})
+        rows = self._frame.where(F.col("item_group").isin(groups)).drop("item_group")
+        return filter_items(rows, "itemid", codes)
+
+
 class Tables(Mapping):
     """Bronze tables by name, and models derived from them on first use.
 
@@ -73,9 +132,15 @@ class Tables(Mapping):
     every model is a single lazy plan.
     """
 
-    def __init__(self, bronze: Mapping[str, DataFrame], store: str | None = None):
+    def __init__(
+        self,
+        bronze: Mapping[str, DataFrame],
+        store: str | None = None,
+        parted: Mapping[str, Parted] | None = None,
+    ):
         self._frames = dict(bronze)
         self._store = store
+        self._parted = dict(parted or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -99,6 +164,32 @@ class Tables(Mapping):
         plan, _ = MODELS[name]
         return plan(self, columns)
 
+    def items(self, table: str, codes: Iterable[int]) -> DataFrame:
+        """Rows of some items of an event table, from the copy parted by items where there is one."""
+        codes = list(codes)
+        if table in self._parted and self._parted[table].holds(codes):
+            return self._parted[table].items(codes)
+        return filter_items(self[table], "itemid", codes)
+
+    def part(self, models: Iterable[str], workers: int = 2) -> dict[str, Parted]:
+        """Read each event table once for all of ``models`` and write it by what they read together."""
+        if self._store is None:
+            return {}
+        models = list(models)
+
+        def write(table: str) -> tuple[str, Parted | None]:
+            groups = item_groups(table, models)
+            known = table in self._frames and groups
+            return table, Parted(self[table], groups, f"{self._store}/{table}_by_item") if known else None
+
+        with ThreadPoolExecutor(workers) as pool:
+            self._parted |= {table: parted for table, parted in pool.map(write, READINGS) if parted}
+        return self._parted
+
+    def built(self) -> dict[str, DataFrame]:
+        """The models derived so far."""
+        return {name: frame for name, frame in self._frames.items() if name in MODELS}
+
     def prepare(self, name: str, workers: int = 4) -> None:
         """Write the shared tables below a model, independent ones side by side."""
 
@@ -106,7 +197,9 @@ class Tables(Mapping):
             if n in SHARED:
                 self[n]
 
-        side_by_side([n for n in build_order([name]) if n != name], build, workers)
+        order = build_order([name])
+        self.part(readers_of(order, name))
+        side_by_side([n for n in order if n != name], build, workers)
 
     def __iter__(self):
         return iter(self._frames)
@@ -133,6 +226,12 @@ def build_order(names: Iterable[str]) -> list[str]:
     return list(TopologicalSorter(graph).static_order())
 
 
+def readers_of(order: Iterable[str], *wanted: str) -> set[str]:
+    """Models of ``order`` that read event tables themselves: the scores take what they need of the
+    vital signs, so that table is read in full only where it is wanted."""
+    return {n for n in order if n != "vitalsign" or n in wanted}
+
+
 def side_by_side(names: Iterable[str], build: Callable[[str], None], workers: int) -> None:
     """Call ``build`` for each model after its parents among ``names``, independent ones at once."""
     names = set(names)
@@ -171,10 +270,12 @@ def build_models(
 
     frames = dict(bronze)
     order = build_order(names)
+    # Every model is built here, vital signs too, and the scores read them from their table.
+    parted = Tables(bronze, scratch_dir(spark, "build_parts")).part(set(order) - {"sofa"})
 
     def build(name: str) -> None:
         plan, _ = MODELS[name]
-        rows = plan(Tables(frames, scratch_dir(spark, f"build_{name}")))
+        rows = plan(Tables(frames, scratch_dir(spark, f"build_{name}"), parted))
         rows = with_comments(rows, (comments or {}).get(name, {}))
         frames[name] = replace_table(spark, rows, database, name)
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from vitalgrid.functions.cleaning import (
     Bound,
-    filter_items,
     fio2_percent,
     positive_except,
     require,
@@ -16,7 +15,7 @@ from vitalgrid.functions.rules import aa_gradient, pf_ratio
 from vitalgrid.functions.time import HOUR
 from vitalgrid.operators.aggregates import preagg
 from vitalgrid.operators.lookback import asof_lookback
-from vitalgrid.operators.pivot import pivot_items
+from vitalgrid.operators.pivot import codes_of, pivot_items
 from vitalgrid.operators.ranking import top1
 from vitalgrid.plans import items
 
@@ -24,7 +23,7 @@ _IDS = ("subject_id", "hadm_id", "charttime")
 
 
 def _panel(t, spec, exempt=()) -> DataFrame:
-    rows = require(t["labevents"], ["valuenum"]).where(
+    rows = require(t.items("labevents", codes_of(spec)), ["valuenum"]).where(
         positive_except("valuenum", "itemid", exempt)
     )
     ids = [F.max(c).alias(c) for c in _IDS]
@@ -50,13 +49,16 @@ def bg(t) -> DataFrame:
     """One row per subject and time with an oxygen pressure: blood gas, latest bedside readings."""
     ids = [F.max(c).alias(c) for c in _IDS]
     gas = require(
-        pivot_items(t["labevents"], ["specimen_id"], items.BLOOD_GAS, extra=ids), ["po2"]
+        pivot_items(
+            t.items("labevents", codes_of(items.BLOOD_GAS)), ["specimen_id"], items.BLOOD_GAS, extra=ids
+        ),
+        ["po2"],
     )
     # Two specimens drawn at one time give one row; the smaller specimen number is kept.
     gas = top1(gas, ["subject_id", "charttime"], [F.col("specimen_id").asc_nulls_last()])
 
     def reading(code: int):
-        rows = filter_items(t["chartevents"], "itemid", [code])
+        rows = t.items("chartevents", [code])
         return rows.where(Bound(0, 100, ("high",)).holds(F.col("valuenum")))
 
     at = ["subject_id", "charttime"]
@@ -81,7 +83,7 @@ def bg(t) -> DataFrame:
 
 def bg_with_spo2(t) -> DataFrame:
     """``bg`` plus the latest pulse-oximeter average of the two hours before each sample."""
-    rows = filter_items(t["chartevents"], "itemid", [items.SPO2])
+    rows = t.items("chartevents", [items.SPO2])
     spo2 = preagg(
         rows.where(Bound(0, 100, ("high",)).holds(F.col("valuenum"))),
         ["subject_id", "charttime"],

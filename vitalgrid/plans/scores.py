@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vitalgrid.functions.rules import score_ladder
 from vitalgrid.functions.time import ceil_hour, shift
 from vitalgrid.operators.bands import around, first_in_band
-from vitalgrid.operators.grid import interval_to_hours
+from vitalgrid.operators.grid import clipped, interval_to_hours
 from vitalgrid.operators.intervals import point_in_interval
 from vitalgrid.operators.ranking import top1
 from vitalgrid.operators.relational import join_inner, star_merge
@@ -19,6 +19,7 @@ from vitalgrid.plans import items
 
 ORGANS = ["respiration", "coagulation", "liver", "cardiovascular", "cns", "renal"]
 AT = ["stay_id", "endtime"]
+VITALS_READ = ("mbp",)
 
 
 def _below(value: str, steps: Sequence[tuple[float, int]]) -> list[tuple[Column, int]]:
@@ -148,8 +149,12 @@ def hourly_features(t) -> DataFrame:
         rows = t[drug].select(
             "stay_id", "starttime", F.col("endtime").alias("_stop"), F.col("vaso_rate")
         )
+        # An infusion that was never closed counts to the end of its stay's grid.
+        within = clipped(
+            join_inner(rows, grid_bounds.drop("subject_id"), "stay_id"), "starttime", "_stop", "_from", "_to"
+        )
         infusions.append(
-            interval_to_hours(rows, "starttime", "_stop").select(
+            interval_to_hours(within, "starttime", "_stop").select(
                 *AT, F.col("vaso_rate").alias(f"rate_{drug}")
             )
         )
@@ -160,7 +165,7 @@ def hourly_features(t) -> DataFrame:
             pao2fio2ratio_vent="vent",
         ),
         *infusions,
-        _by_hour(t.narrow("vitalsign", ("mbp",)), meanbp_min="mbp"),
+        _by_hour(t.narrow("vitalsign", VITALS_READ), meanbp_min="mbp"),
         _by_hour(t["gcs"], gcs_min="gcs"),
         _by_hour(
             urine, uo_24hr=F.col("urineoutput_24hr").cast("double") / F.col("uo_tm_24hr") * 24

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.cleaning import filter_items
 from vitalgrid.functions.time import shift
 from vitalgrid.operators import ranking
 from vitalgrid.operators.aggregates import time_bounds
@@ -17,7 +16,7 @@ from vitalgrid.plans import items
 
 def icustay_times(t) -> DataFrame:
     """One row per stay: first and last heart-rate time, NULL where none was charted."""
-    beats = filter_items(t["chartevents"], "itemid", [items.HEART_RATE])
+    beats = t.items("chartevents", [items.HEART_RATE])
     bounds = time_bounds(beats, ["stay_id"], "charttime", "intime_hr", "outtime_hr")
     stays = t["icustays"].select("subject_id", "hadm_id", "stay_id")
     return join_left(stays, bounds, "stay_id").select(
@@ -33,7 +32,7 @@ def icustay_hourly(t) -> DataFrame:
 def weight_durations(t) -> DataFrame:
     """Validity intervals of charted weights, with the time before the first one filled."""
     charted = (
-        filter_items(t["chartevents"], "itemid", [items.WEIGHT_ADMIT, items.WEIGHT_DAILY])
+        t.items("chartevents", [items.WEIGHT_ADMIT, items.WEIGHT_DAILY])
         .where(F.col("valuenum") > 0)
         .select(
             "stay_id",
