@@ -4,6 +4,10 @@ The axis is cut into days. A band that is at least a day long covers the end of
 whole days, and the start of its last day. Per (key, day) the smallest candidate is known for the
 whole day, for every suffix and for every prefix from running minima; so each band is answered by
 one probe per day it touches. Work is linear in rows, bounded per task by one day of one key.
+
+Where a day of a key can be too much, candidates are numbered per key in time order instead (in
+blocks of equal depth), a band becomes a range of numbers, and the range is put together from cells
+of RADIX ** level numbers whose minima are known: a few equality probes per band, no window at all.
 """
 
 from __future__ import annotations
@@ -15,6 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.time import DAY, HOUR, block, micros
+from vitalgrid.operators import chunks
+
+RADIX = 16
+LEVELS = 12  # cells of RADIX ** 11 numbers cover any key
 
 
 def first_in_band(
@@ -27,13 +35,15 @@ def first_in_band(
     right_t: str,
     right_date: str | None = None,
     date_bands: Mapping[str, tuple[int, int]] | None = None,
+    width: int | None = DAY,
 ) -> DataFrame:
     """For each distinct (keys, left_t): the smallest ``rank`` struct among right rows in each band.
 
     ``bands`` maps an output column to microsecond offsets (lo, hi): right_t must lie in
     [left_t + lo, left_t + hi), and hi - lo must be at least a day. A right row without a time
     matches by its date instead: date(left_t) + the band's day offsets (first, last), inclusive.
-    Returns keys, left_t and one struct column per band, NULL where nothing matches.
+    Returns keys, left_t and one struct column per band, NULL where nothing matches. ``width`` is
+    None for blocks of equal depth instead of days.
     """
     keys = list(keys)
     date_bands = date_bands or {}
@@ -59,9 +69,12 @@ def first_in_band(
         )
     )
 
-    # Probes: one per day a band touches.
     points = left.where(F.col(left_t).isNotNull()).select(*keys, left_t).distinct()
     at = micros(left_t)
+    if width is None:
+        return _first_by_number(points, candidates, keys, left_t, bands, date_bands)
+
+    # Probes: one per day a band touches.
     probes = []
     for name, (lo, hi) in bands.items():
         first, last = block(at + lo, DAY), block(at + hi, DAY)
@@ -133,6 +146,96 @@ def first_in_band(
     )
 
 
+def _cell_of(number: Column) -> Column:
+    """The (level, cell) of every level that a number lies in."""
+    return F.array(
+        *[
+            F.struct(F.lit(n).alias("level"), F.floor(number / F.lit(RADIX**n)).cast("long").alias("cell"))
+            for n in range(LEVELS)
+        ]
+    )
+
+
+def _cells_between(begin: Column, end: Column) -> Column:
+    """The fewest (level, cell) that make up the numbers from ``begin`` up to, not including, ``end``."""
+    parts = []
+    for n in range(LEVELS):
+        lows = [F.ceil(begin / F.lit(RADIX**m)).cast("long") for m in (n, n + 1)]
+        highs = [F.floor(end / F.lit(RADIX**m)).cast("long") for m in (n, n + 1)]
+
+        def run(a: Column, b: Column, level: int = n) -> Column:
+            none = F.array().cast("array<struct<level:int,cell:bigint>>")
+            cells = F.transform(
+                F.sequence(a, F.greatest(a, b - 1)), lambda c: F.struct(F.lit(level).alias("level"), c.alias("cell"))
+            )
+            return F.when(a < b, cells).otherwise(none)
+
+        # What the next level cannot cover: all of a short run, both fringes of a long one.
+        above = lows[1] < highs[1]
+        parts.append(run(lows[0], F.when(above, lows[1] * RADIX).otherwise(highs[0])))
+        parts.append(run(F.when(above, highs[1] * RADIX).otherwise(highs[0]), highs[0]))
+    return F.concat(*parts)
+
+
+def _first_by_number(
+    points: DataFrame,
+    candidates: DataFrame,
+    keys: list[str],
+    left_t: str,
+    bands: Mapping[str, tuple[int, int]],
+    date_bands: Mapping[str, tuple[int, int]],
+) -> DataFrame:
+    timed = candidates.where(F.col("_pos").isNotNull()).select(*keys, "_pos", F.col("_timed").alias("_rank"))
+    at = micros(left_t)
+    asked = points.select(
+        *keys,
+        left_t,
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(name).alias("band"), (at + lo - 1).alias("before"), (at + hi - 1).alias("upto"))
+                    for name, (lo, hi) in bands.items()
+                ]
+            )
+        ).alias("_ask"),
+    ).select(*keys, left_t, "_ask.*")
+    # How many candidates lie at or before each position anyone asks for.
+    positions = (
+        timed.select(*keys, "_pos", F.lit(1).alias("_n"))
+        .unionByName(asked.select(*keys, F.explode(F.array("before", "upto")).alias("_pos"), F.lit(0).alias("_n")))
+        .groupBy(*keys, "_pos")
+        .agg(F.sum("_n").alias("_n"))
+    )
+    numbered = chunks.running_number(positions, keys, "_pos", "_n", "_number")
+    cells = (
+        timed.join(numbered, [*keys, "_pos"])
+        .select(*keys, "_rank", F.explode(_cell_of(F.col("_number"))).alias("_c"))
+        .groupBy(*keys, "_c")
+        .agg(F.min("_rank").alias("_rank"))
+    )
+    ranges = asked.join(numbered.withColumnsRenamed({"_pos": "before", "_number": "_begin"}), [*keys, "before"]).join(
+        numbered.withColumnsRenamed({"_pos": "upto", "_number": "_end"}), [*keys, "upto"]
+    )
+    probes = ranges.where("_end > _begin").select(
+        *keys, left_t, "band", F.explode(_cells_between(F.col("_begin") + 1, F.col("_end") + 1)).alias("_c")
+    )
+    found = probes.join(cells, [*keys, "_c"]).select(*keys, left_t, "band", "_rank")
+    if date_bands:
+        here = block(at, DAY)
+        days = [
+            points.select(
+                *keys, left_t, F.lit(name).alias("band"), F.explode(F.sequence(here + first, here + last)).alias("_day")
+            )
+            for name, (first, last) in date_bands.items()
+        ]
+        asked_days = reduce(DataFrame.unionByName, days)
+        dated = candidates.where(F.col("_dated").isNotNull()).select(*keys, "_day", F.col("_dated").alias("_rank"))
+        found = found.unionByName(asked_days.join(dated, [*keys, "_day"]).select(*keys, left_t, "band", "_rank"))
+    best = [F.min(F.when(F.col("band") == name, F.col("_rank"))).alias(name) for name in bands]
+    # Points without any match keep a row.
+    return points.join(found.groupBy(*keys, left_t).agg(*best), [*keys, left_t], "left")
+
+
 def hours_before(hours: int) -> tuple[int, int]:
     """Right time in [left - hours, left): the left row follows within the given hours."""
     return -hours * HOUR, 0

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitalgrid.functions.time import DAY
 from vitalgrid.operators import chunks
 
 
@@ -53,35 +54,58 @@ def rank_after_group(
     t: str,
     ties: Sequence[str] = (),
     out: str = "rn",
+    width: int | None = DAY,
 ) -> DataFrame:
     """Number grouped rows within a coarser key."""
     grouped = df.groupBy(*keys).agg(*aggregates)
-    return chunks.row_number_by_key(grouped, part, t, out, ties)
+    return chunks.row_number_by_key(grouped, part, t, out, ties, width)
 
 
 def surrogate_id(
-    df: DataFrame, part: Sequence[str], t: str, ties: Sequence[str] = (), out: str = "id"
+    df: DataFrame,
+    part: Sequence[str],
+    t: str,
+    ties: Sequence[str] = (),
+    out: str = "id",
+    width: int | None = DAY,
 ) -> DataFrame:
-    return chunks.row_number_by_key(df, part, t, out, ties)
+    return chunks.row_number_by_key(df, part, t, out, ties, width)
 
 
 def ordinal_within(
-    df: DataFrame, part: Sequence[str], t: str, ties: Sequence[str] = (), out: str = "rn"
+    df: DataFrame,
+    part: Sequence[str],
+    t: str,
+    ties: Sequence[str] = (),
+    out: str = "rn",
+    width: int | None = DAY,
 ) -> DataFrame:
-    return chunks.row_number_by_key(df, part, t, out, ties)
+    return chunks.row_number_by_key(df, part, t, out, ties, width)
 
 
 def lag_or(
-    df: DataFrame, key: Sequence[str], t: str, fallback: str, out: str, ties: Sequence[str] = ()
+    df: DataFrame,
+    key: Sequence[str],
+    t: str,
+    fallback: str,
+    out: str,
+    ties: Sequence[str] = (),
+    width: int | None = DAY,
 ) -> DataFrame:
     """Previous time of the key, or another column's value on its first row."""
-    rows = chunks.neighbours(df, key, t, [t], ties)
+    rows = chunks.neighbours(df, key, t, [t], ties, width=width)
     return rows.withColumn(out, F.coalesce(F.col(f"_prev.{t}"), F.col(fallback))).drop("_prev")
 
 
 def next_start_as_end(
-    df: DataFrame, key: Sequence[str], t: str, bound: str, out: str, ties: Sequence[str] = ()
+    df: DataFrame,
+    key: Sequence[str],
+    t: str,
+    bound: str,
+    out: str,
+    ties: Sequence[str] = (),
+    width: int | None = DAY,
 ) -> DataFrame:
     """Close each interval at the next start, the last one at an outer bound."""
-    rows = chunks.neighbours(df, key, t, [t], ties, previous=None, following="_next")
+    rows = chunks.neighbours(df, key, t, [t], ties, previous=None, following="_next", width=width)
     return rows.withColumn(out, F.coalesce(F.col(f"_next.{t}"), F.col(bound))).drop("_next")

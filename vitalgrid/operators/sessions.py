@@ -12,21 +12,31 @@ from vitalgrid.operators import chunks
 
 
 def lag_in(
-    df: DataFrame, keys1: Sequence[str], keys2: Sequence[str], t: str, ties: Sequence[str] = ()
+    df: DataFrame,
+    keys1: Sequence[str],
+    keys2: Sequence[str],
+    t: str,
+    ties: Sequence[str] = (),
+    width: int | None = DAY,
 ) -> DataFrame:
     """Previous rows within a fine key (``prev_fine``) and within a coarse one (``prev_coarse``)."""
     extra = [k for k in keys1 if k not in keys2]
-    fine = chunks.neighbours(df, keys1, t, [t], ties, previous="prev_fine")
+    fine = chunks.neighbours(df, keys1, t, [t], ties, previous="prev_fine", width=width)
     return chunks.neighbours(
-        fine, keys2, t, [t, *extra], [*ties, *extra], previous="prev_coarse"
+        fine, keys2, t, [t, *extra], [*ties, *extra], previous="prev_coarse", width=width
     )
 
 
 def session_id(
-    df: DataFrame, keys: Sequence[str], t: str, new_flag: str, out: str = "session"
+    df: DataFrame,
+    keys: Sequence[str],
+    t: str,
+    new_flag: str,
+    out: str = "session",
+    width: int | None = DAY,
 ) -> DataFrame:
     """Number of session starts so far; rows at the same time share it."""
-    return chunks.running_total(df, keys, t, new_flag, out)
+    return chunks.running_total(df, keys, t, new_flag, out, width)
 
 
 def gap_change_sessions(
@@ -36,7 +46,7 @@ def gap_change_sessions(
     status: str,
     gap_hours: int,
     out: str = "session",
-    width: int = DAY,
+    width: int | None = DAY,
 ) -> DataFrame:
     """Session number and following time (``next_t``) per row; columns key, t, status only.
 
@@ -46,12 +56,10 @@ def gap_change_sessions(
     breaks anyway, so the single previous row decides. Rows without key or time form no session.
 
     Rows are compared inside (key, block); each block hands its first and last row and its count
-    of openings to the blocks after it.
+    of openings to the blocks after it. With blocks of equal depth, neighbours are found first and
+    ``session_id`` counts the openings.
     """
     base = df.where(F.col(key).isNotNull() & F.col(t).isNotNull()).select(key, t, status)
-    base = base.withColumn("_block", chunks.block_of(t, width))
-    row = F.struct(t, status)
-    inside = Window.partitionBy(key, "_block").orderBy(*chunks.order_last([t, status]))
 
     def opens(previous: str, now_t, now_status):
         return (
@@ -59,6 +67,21 @@ def gap_change_sessions(
             | (elapsed("hour", f"{previous}.{t}", now_t) >= gap_hours)
         )
 
+    if width is None:
+        near = chunks.neighbours(base, [key], t, [t, status], [status], "_prev", "_next", None)
+        new = F.coalesce(opens("_prev", F.col(t), F.col(status)).cast("int"), F.lit(0))
+        flagged = near.select(
+            key,
+            t,
+            status,
+            F.col(f"_next.{t}").alias("next_t"),
+            F.when(F.col("_prev").isNull(), 1).otherwise(new).alias("_new"),
+        )
+        return session_id(flagged, [key], t, "_new", out, None).drop("_new")
+
+    base = base.withColumn("_block", chunks.block_of(t, width))
+    row = F.struct(t, status)
+    inside = Window.partitionBy(key, "_block").orderBy(*chunks.order_last([t, status]))
     rows = base.withColumn("_prev", F.lag(row).over(inside)).withColumn(
         "_next", F.lead(row).over(inside)
     )

@@ -34,7 +34,8 @@ def urine_output_rate(t) -> DataFrame:
     measured = t.keep(
         "urine_measured", join_inner(t["urine_output"], bounds.drop("outtime_hr"), "stay_id")
     )
-    since = lag_or(measured, ["stay_id"], "charttime", "intime_hr", "_before").select(
+    width = t.width(measured, ["stay_id"], "charttime")
+    since = lag_or(measured, ["stay_id"], "charttime", "intime_hr", "_before", width=width).select(
         "stay_id",
         "charttime",
         F.col("urineoutput").alias("uo"),

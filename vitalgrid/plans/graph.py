@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.cleaning import filter_items
+from vitalgrid.functions.time import DAY
+from vitalgrid.operators.chunks import width_for
 from vitalgrid.operators.pivot import codes_of
 from vitalgrid.plans import charted, fluids, infection, items, labs, respiratory, scores, stays
 from vitalgrid.session import scratch_dir
@@ -157,6 +159,10 @@ class Tables(Mapping):
         frame.write.mode("overwrite").parquet(path)
         return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
+    def width(self, frame: DataFrame, keys: Iterable[str], t: str) -> int | None:
+        """Block width for ordered work on a kept table: measured there, a day for lazy plans."""
+        return DAY if self._store is None else width_for(frame, list(keys), t)
+
     def narrow(self, name: str, columns: tuple[str, ...]) -> DataFrame:
         """A wide table restricted to some measures; reads only their items if not built yet."""
         if name in self._frames:

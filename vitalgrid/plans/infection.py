@@ -97,6 +97,7 @@ def suspicion_of_infection(t) -> DataFrame:
         "charttime",
         right_date="chartdate",
         date_bands={"before": (-3, 0), "after": (0, 1)},
+        width=t.width(orders, ["subject_id"], "antibiotic_time"),
     )
     found = first_match(orders, matches, ["subject_id", "antibiotic_time"])
     specimen = F.coalesce(F.col("before.specimen"), F.col("after.specimen"))

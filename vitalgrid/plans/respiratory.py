@@ -54,8 +54,9 @@ def ventilation(t) -> DataFrame:
     )
     known = t.keep("ventilation_states", states.where(F.col("ventilation_status").isNotNull()))
     sessions = gap_change_sessions(
-        known, "stay_id", "charttime", "ventilation_status", items.VENT_GAP_HOURS
-    )
+        known, "stay_id", "charttime", "ventilation_status", items.VENT_GAP_HOURS,
+        width=t.width(known, ["stay_id"], "charttime"),
+    )
     status = F.max("ventilation_status").alias("ventilation_status")
     return collapse_sessions(
         sessions, "stay_id", "session", "charttime", "next_t", items.VENT_GAP_HOURS, [status]

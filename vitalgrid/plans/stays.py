@@ -61,6 +61,7 @@ def weight_durations(t) -> DataFrame:
         "_bound",
         "endtime",
         ties,
+        t.width(starts, ["stay_id"], "starttime"),
     )
     out = ["stay_id", "starttime", "endtime", "weight", "weight_type"]
     by = [F.col(c).asc_nulls_last() for c in ("starttime", *ties)]
