@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import at, rows
 from vitalgrid.session import scratch_dir
-from vitalgrid.streaming.alert import early_alert
+from vitalgrid.operators.bands import first_in_band, first_match, hours_after, hours_before
+from vitalgrid.streaming.alert import STATE_STORE, early_alert, use_rocksdb
+from vitalgrid.streaming.matching import stream_first_match
 from vitalgrid.streaming.tables import batch_equals_stream, replay_stream, run_to_table, sink_append
 from vitalgrid.streaming.windows import stream_range_join, windowed, with_event_time
 
@@ -66,6 +71,7 @@ def test_batch_equality(spark):
 
 def test_alert_once_across_batches(spark):
     base = scratch_dir(spark, "alert")
+    use_rocksdb(spark)
     schema = "k long, t timestamp_ntz, a int, b int"
     batches = [
         [(1, at("01:10"), 3, None), (2, at("01:10"), 3, None)],
@@ -126,3 +132,55 @@ def test_folder_and_file_stream_alike(spark, tmp_path):
     (tmp_path / "none").mkdir()
     with pytest.raises(FileNotFoundError):
         replay_stream(spark, str(tmp_path / "none"), frame.schema)
+
+
+BANDS = {"before": hours_before(72), "after": hours_after(24)}
+DATES = {"before": (-3, 0), "after": (0, 1)}
+
+
+def test_first_match_over_batches_equals_batch(spark):
+    """Rows arrive file by file within the allowed lateness; date-only cultures, unmatched orders."""
+    use_rocksdb(spark)
+    base, draw = scratch_dir(spark, "match"), random.Random(3)
+    rows_ = []
+    for i in range(700):
+        t = at("00:00") + dt.timedelta(minutes=50 * i + draw.randrange(40))
+        timed = draw.random() < 0.6
+        lone = i % 40 == 0  # a key without cultures
+        rows_.append((4 if lone else draw.choice([1, 2, 3, None]), i, lone or draw.randrange(4) == 0, t, t if timed else None))
+    schema = "k long, id long, order boolean, t timestamp_ntz, ct timestamp_ntz"
+    for n in range(0, 700, 100):
+        part = rows_[n : n + 100]
+        draw.shuffle(part)
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{base}/src")
+        stream = replay_stream(spark, f"{base}/src", spark.read.parquet(f"{base}/src").schema)
+        got = drain(
+            stream_first_match(
+                stream.where("order"), stream.where("NOT order").select("k", F.col("id").alias("cid"), "ct", F.to_date("t").alias("d")),
+                "k", "id", "t", "cid", "ct", BANDS, "1 hour", "d", DATES,
+            ),
+            f"{base}/out",
+        )
+    table = spark.read.parquet(f"{base}/src")
+    orders = table.where("order AND k IS NOT NULL").select("k", "id", "t")
+    cultures = table.where("NOT order").select("k", F.col("id").alias("cid"), "ct", F.to_date("t").alias("d"))
+    rank = F.struct("d", F.col("ct").isNull().alias("u"), "ct", "cid")
+    matches = first_in_band(orders, cultures, ["k"], "t", BANDS, rank, "ct", "d", DATES)
+    want = first_match(orders, matches, ["k", "t"]).select("k", "id", "before.cid", F.col("after.cid").alias("aid"), "t")
+    closed = want.where(F.col("t") < F.lit(rows_[-1][3] - dt.timedelta(days=4)))
+    have = {r.id: (r.k, r.before, r.after) for r in got.collect()}
+    assert got.count() == len(have)  # each order once
+    assert closed.count() > 100
+    for r in closed.collect():
+        assert have[r.id] == (r.k, r.cid, r.aid)
+    everything = {r.id: (r.k, r.cid, r.aid) for r in want.collect()}
+    assert all(everything[i] == v for i, v in have.items())
+    assert any(v[1] is None and v[2] is None for v in have.values())
+
+
+def test_state_store_is_the_callers_choice(spark):
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.unset(STATE_STORE)
+    with pytest.raises(ValueError):
+        early_alert(spark.range(1), "id", [], 1)
+    spark.conf.set(STATE_STORE, before)

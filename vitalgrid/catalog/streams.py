@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from vitalgrid.catalog.registry import Source, query
 from vitalgrid.session import scratch_dir
-from vitalgrid.streaming.alert import early_alert, hourly_points
+from vitalgrid.operators.bands import hours_after, hours_before
+from vitalgrid.streaming.alert import early_alert, hourly_points, use_rocksdb
+from vitalgrid.streaming.matching import stream_first_match
 from vitalgrid.streaming.tables import replay_stream, run_to_table
 from vitalgrid.streaming.windows import stream_range_join, windowed, with_event_time
 
@@ -83,6 +85,7 @@ def _(s):
         "user_id", "ts", *[F.when(F.col("event_type") == o, points).alias(o) for o in ORGANS]
     )
     hourly = hourly_points(scored, "user_id", "ts", ORGANS, "2 hours")
+    use_rocksdb(s.spark)
     alerts = early_alert(hourly, "user_id", ORGANS, 7)
     return ntz_columns(run_to_table(alerts, scratch_dir(s.spark, "alert")))
 
@@ -118,3 +121,54 @@ def _(s):
     return run_to_table(
         pairs.select("purchase_id", "error_id"), scratch_dir(s.spark, "pairs")
     )
+
+
+@query(
+    "stream_first_match",
+    """
+with s as (
+  select event_id as id, user_id, cast(ts as date) as day,
+    case when event_id % 5 <> 0 then ts end as t from events where event_type = 'signup'
+), e as (
+  select * from events where event_type = 'error' and ts + interval 24 hour
+    < (select max(case when event_type = 'signup' and event_id % 5 = 0
+          then cast(cast(ts as date) as timestamp) else ts end)
+        from events where event_type in ('signup', 'error')) - interval 26 hour
+), pre as (
+  select e.event_id, s.id from e join s on s.user_id = e.user_id and case
+    when t is not null then t < e.ts and e.ts <= t + interval 72 hour
+    else cast(e.ts as date) between day and day + 3 end
+  qualify row_number() over (partition by e.event_id order by day, t, id) = 1
+), post as (
+  select e.event_id, s.id from e join s on s.user_id = e.user_id and case
+    when t is not null then t - interval 24 hour <= e.ts and e.ts < t
+    else cast(e.ts as date) between day - 1 and day end
+  qualify row_number() over (partition by e.event_id order by day, t, id) = 1
+)
+select e.user_id, e.event_id, pre.id as signup_before, post.id as signup_after
+from e left join pre using (event_id) left join post using (event_id)""",
+)
+def _(s):
+    """First match in both bands, reported once when nothing later can match."""
+    use_rocksdb(s.spark)
+    errors = events_stream(s).where(F.col("event_type") == "error").select("event_id", "user_id", "ts")
+    signups = events_stream(s).where(F.col("event_type") == "signup").select(
+        "user_id",
+        F.col("event_id").alias("signup_id"),
+        F.col("ts").cast("date").alias("day"),
+        F.when(F.col("event_id") % 5 != 0, F.col("ts")).alias("t"),
+    )
+    found = stream_first_match(
+        errors,
+        signups,
+        "user_id",
+        "event_id",
+        "ts",
+        "signup_id",
+        "t",
+        {"signup_before": hours_before(72), "signup_after": hours_after(24)},
+        "2 hours",
+        right_date="day",
+        date_bands={"signup_before": (-3, 0), "signup_after": (0, 1)},
+    )
+    return run_to_table(found, scratch_dir(s.spark, "match"))

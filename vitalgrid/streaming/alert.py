@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -17,6 +17,16 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def require_rocksdb(spark: SparkSession) -> None:
+    """Keyed state with timers needs the RocksDB state store; the session's owner chooses it."""
+    if spark.conf.get(STATE_STORE, "") != ROCKSDB:
+        raise ValueError(f"set {STATE_STORE} to {ROCKSDB}")
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    spark.conf.set(STATE_STORE, ROCKSDB)
+
+
 def hourly_points(
     stream: DataFrame, key: str, t: str, organs: Sequence[str], lateness: str
 ) -> DataFrame:
@@ -85,12 +95,13 @@ def early_alert(
     """First closed hour of each key at which the organ maxima of ``hours`` hours reach a total.
 
     ``hourly`` comes from ``hourly_points``: one small row per key and hour, reduced on the JVM
-    side, so a key's share of the raw stream does not matter here.
+    side, so a key's share of the raw stream does not matter here. The session must use the RocksDB
+    state store (``use_rocksdb``).
     """
-    hourly.sparkSession.conf.set(STATE_STORE, ROCKSDB)
+    require_rocksdb(hourly.sparkSession)
     return hourly.groupBy(key).transformWithStateInPandas(
         statefulProcessor=FirstAlert(key, organs, threshold, hours),
-        outputStructType=f"{key} bigint, alert_time timestamp, score int",
+        outputStructType=f"{key} {dict(hourly.dtypes)[key]}, alert_time timestamp, score int",
         outputMode="Append",
         timeMode="EventTime",
         eventTimeColumnName="alert_time",
