@@ -12,6 +12,8 @@ from conftest import at, rows
 from vitalgrid.session import scratch_dir
 from vitalgrid.operators.bands import first_in_band, first_match, hours_after, hours_before
 from vitalgrid.streaming.alert import STATE_STORE, early_alert, use_rocksdb
+from vitalgrid.plans import scores as batch_scores
+from vitalgrid.streaming import scores
 from vitalgrid.streaming.matching import stream_first_match
 from vitalgrid.streaming.tables import batch_equals_stream, replay_stream, run_to_table, sink_append
 from vitalgrid.streaming.windows import stream_range_join, windowed, with_event_time
@@ -184,3 +186,67 @@ def test_state_store_is_the_callers_choice(spark):
     with pytest.raises(ValueError):
         early_alert(spark.range(1), "id", [], 1)
     spark.conf.set(STATE_STORE, before)
+
+
+def test_points_agree_with_the_batch_columns(spark):
+    draw = random.Random(1)
+    names = ["pao2fio2ratio_vent", "pao2fio2ratio_novent", "rate_epinephrine", "rate_norepinephrine", "rate_dopamine",
+             "rate_dobutamine", "meanbp_min", "gcs_min", "uo_24hr", "bilirubin_max", "creatinine_max", "platelet_min"]
+    tops = [500, 500, 0.3, 0.3, 20, 20, 90, 15, 700, 15, 6, 200]
+    data = [[None if draw.random() < 0.4 else float(round(draw.uniform(0, top), 0 if top > 1 else 2)) for top in tops] for _ in range(400)]
+    df = spark.createDataFrame(data, ", ".join(f"{n} double" for n in names))
+    columns = [F.coalesce(points, F.lit(0)).alias(o) for o, points in batch_scores.organ_points().items()]
+    for row, values in zip(df.select(*columns).collect(), data, strict=True):
+        v = {n: x for n, x in zip(names, values, strict=True) if x is not None}
+        v |= {short: v[n] for short, n in (("vent", names[0]), ("novent", names[1])) if n in v}
+        assert tuple(row) == scores.organ_points(v), v
+
+
+def score_events(spark, seed: int):
+    """Readings, infusions and ventilation of three stays over five days; one stay stays open."""
+    draw, out = random.Random(seed), []
+    hours = lambda h: START_OF_STAY + dt.timedelta(hours=h)
+
+    def event(key, kind, phase, ident, t, value):
+        out.append((key, scores.KINDS.index(kind), phase, ident, int((t - dt.datetime(1970, 1, 1)).total_seconds()) * 10**6, value, t))
+
+    for key in (1, 2, 3):
+        event(key, scores.STAY, 1, 0, hours(10 * key), 0.0)
+        if key != 3:
+            event(key, scores.STAY, 2, 0, hours(10 * key + 60.5), 0.0)
+        for i in range(150):
+            kind, top = draw.choice([("meanbp_min", 90), ("gcs_min", 15), ("platelet_min", 200), ("uo_24hr", 700),
+                                     ("bilirubin_max", 9), ("creatinine_max", 5), ("pao2fio2ratio", 500)])
+            event(key, kind, 0, 0, hours(draw.uniform(0, 110)).replace(microsecond=0), float(draw.randrange(top)))
+        for i in range(8):
+            kind, start = draw.choice(["rate_dopamine", "ventilated"]), hours(draw.uniform(0, 100)).replace(microsecond=0)
+            event(key, kind, 1, i, start, 6.0)
+            if i % 4:
+                event(key, kind, 2, i, start + dt.timedelta(hours=draw.randrange(1, 30)), 6.0)
+    return sorted(out, key=lambda e: e[-1])
+
+
+START_OF_STAY = dt.datetime(2024, 3, 1)
+
+
+def test_running_score_does_not_depend_on_batches(spark):
+    use_rocksdb(spark)
+    schema = "stay_id long, kind int, phase int, id long, t long, value double, at timestamp_ntz"
+    events = score_events(spark, 5)
+    found = []
+    for size in (len(events), 90):
+        base = scratch_dir(spark, "running")
+        for n in range(0, len(events), size):
+            spark.createDataFrame(events[n : n + size], schema).coalesce(1).write.mode("append").parquet(f"{base}/src")
+            stream = replay_stream(spark, f"{base}/src", spark.read.parquet(f"{base}/src").schema)
+            stream = stream.withColumn("at", F.col("at").cast("timestamp"))
+            got = drain(scores.running_score([stream], "stay_id", "1 hour", threshold=8), f"{base}/out")
+        found.append(sorted(tuple(r) for r in got.collect()))
+    assert found[0] == found[1]
+    hours = [r[:2] for r in found[0]]
+    assert len(hours) == len(set(hours))
+    assert {k: max(h for s, h in hours if s == k) for k in (1, 2)} == {1: 60, 2: 60}  # to the end of the stay
+    assert max(h for s, h in hours if s == 3) > 60
+    alerts = [r for r in found[0] if r[-1]]
+    assert alerts and len({r[0] for r in alerts}) == len(alerts)
+    assert all(r[-2] >= 8 for r in alerts)

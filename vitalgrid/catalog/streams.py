@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vitalgrid.catalog.models import tables_for
+from vitalgrid.catalog.models_sql import model_sql
 from vitalgrid.catalog.registry import Source, query
 from vitalgrid.session import scratch_dir
 from vitalgrid.operators.bands import hours_after, hours_before
 from vitalgrid.streaming.alert import early_alert, hourly_points, use_rocksdb
+from vitalgrid.plans import items
+from vitalgrid.plans.scores import ORGANS as SOFA_ORGANS
+from vitalgrid.streaming import scores
 from vitalgrid.streaming.matching import stream_first_match
 from vitalgrid.streaming.tables import replay_stream, run_to_table
 from vitalgrid.streaming.windows import stream_range_join, windowed, with_event_time
@@ -172,3 +177,101 @@ def _(s):
         date_bands={"signup_before": (-3, 0), "signup_after": (0, 1)},
     )
     return run_to_table(found, scratch_dir(s.spark, "match"))
+
+
+DRUGS = ("epinephrine", "norepinephrine", "dopamine", "dobutamine")
+
+
+def score_streams(s: Source) -> list:
+    """The inputs of the score, each stored as a table and replayed as a stream."""
+    t = tables_for(s, "sofa")
+    folder = scratch_dir(s.spark, "score_inputs")
+
+    def replayed(name: str, rows):
+        rows.write.parquet(f"{folder}/{name}")
+        return replay_stream(s.spark, f"{folder}/{name}", rows.schema)
+
+    stays = t["icustays"].select("subject_id", "hadm_id", "stay_id")
+    urine = t["urine_output_rate"].where(F.col("uo_tm_24hr").between(22, 30))
+    samples = t["bg"].where((F.col("specimen") == items.ARTERIAL) & F.col("pao2fio2ratio").isNotNull())
+    tables = {
+        "meanbp_min": (t.narrow("vitalsign", ("mbp",)), "mbp"),
+        "gcs_min": (t["gcs"], "gcs"),
+        "uo_24hr": (
+            urine.select("stay_id", "charttime", (F.col("urineoutput_24hr").cast("double") / F.col("uo_tm_24hr") * 24).alias("uo")),
+            "uo",
+        ),
+        "bilirubin_max": (t["enzyme"].join(stays, "hadm_id"), "bilirubin_total"),
+        "creatinine_max": (t["chemistry"].join(stays, "hadm_id"), "creatinine"),
+        "platelet_min": (t["complete_blood_count"].join(stays, "hadm_id"), "platelet"),
+        "pao2fio2ratio": (samples.join(stays.select("subject_id", "stay_id"), "subject_id"), "pao2fio2ratio"),
+    }
+    streams = [
+        scores.readings(replayed(kind, rows.select("stay_id", "charttime", value)), "stay_id", "charttime", kind, value)
+        for kind, (rows, value) in tables.items()
+    ]
+    span = ("stay_id", "starttime", "endtime")
+    for drug in DRUGS:
+        rows = replayed(drug, t[drug].select(*span, "vaso_rate"))
+        streams.append(scores.intervals(rows, *span, f"rate_{drug}", "vaso_rate"))
+    aided = t["ventilation"].where("ventilation_status = 'InvasiveVent'").select(*span)
+    streams.append(scores.intervals(replayed("ventilated", aided), *span, scores.VENTILATED))
+    bounds = t["icustay_times"].select("stay_id", "intime_hr", "outtime_hr")
+    streams.append(scores.intervals(replayed("stay", bounds), "stay_id", "intime_hr", "outtime_hr", scores.STAY))
+    return streams
+
+
+SCORE_EVENTS = " union all ".join(
+    [
+        "select charttime as t from vitalsign where mbp is not null and stay_id is not null",
+        "select charttime from gcs where gcs is not null and stay_id is not null",
+        "select charttime from urine_output_rate where uo_tm_24hr between 22 and 30",
+        *(
+            f"select p.charttime from {panel} p join icustays i on i.hadm_id = p.hadm_id where {value} is not null"
+            for panel, value in (
+                ("enzyme", "bilirubin_total"), ("chemistry", "creatinine"), ("complete_blood_count", "platelet")
+            )
+        ),
+        f"""select b.charttime from bg b join icustays i on i.subject_id = b.subject_id
+  where b.specimen = '{items.ARTERIAL}' and b.pao2fio2ratio is not null""",
+        *(f"select unnest([starttime, endtime]) from {drug} where vaso_rate is not null" for drug in DRUGS),
+        "select unnest([starttime, endtime]) from ventilation where ventilation_status = 'InvasiveVent'",
+        "select unnest([intime_hr, outtime_hr]) from icustay_times",
+    ]
+)
+CLOSED = f"(select date_trunc('millisecond', max(t)) - interval 2 hour from ({SCORE_EVENTS}))"
+MAXIMA = ", ".join(f"cast({o}_24hours as integer) as {o}_24hours" for o in SOFA_ORGANS)
+
+
+@query(
+    "stream_sofa",
+    model_sql(
+        "sofa",
+        f"""
+select stay_id, cast(hr as integer) as hr, endtime, {MAXIMA}, cast(sofa_24hours as integer) as sofa_24hours
+from sofa where endtime < {CLOSED}""",
+    ),
+)
+def _(s):
+    """The score of every closed hour, from seven streams of readings and six of intervals."""
+    use_rocksdb(s.spark)
+    scored = scores.running_score(score_streams(s), "stay_id", "2 hours")
+    rows = run_to_table(scored, scratch_dir(s.spark, "score"))
+    return ntz_columns(rows.drop("alert"))
+
+
+@query(
+    "stream_sofa_alert",
+    model_sql(
+        "sofa",
+        f"""
+select stay_id, min(endtime) as alert_time, cast(arg_min(sofa_24hours, endtime) as integer) as score
+from sofa where endtime < {CLOSED} and sofa_24hours >= 9 group by stay_id""",
+    ),
+)
+def _(s):
+    """One alert for each stay, at the first closed hour that reaches nine points."""
+    use_rocksdb(s.spark)
+    scored = scores.running_score(score_streams(s), "stay_id", "2 hours", threshold=9)
+    alerts = scored.where("alert").select("stay_id", F.col("endtime").alias("alert_time"), F.col("sofa_24hours").alias("score"))
+    return ntz_columns(run_to_table(alerts, scratch_dir(s.spark, "score_alert")))
