@@ -130,18 +130,6 @@ def test_upsert(spark):
     assert rows(merged, "id", "label") == [(1, "new"), (2, "b")]
 
 
-def test_compaction(spark):
-    base = scratch_dir(spark, "compact")
-    spark.range(1000).repartition(9).write.parquet(f"{base}/in")
-    spark.range(10).repartition(3).write.parquet(f"{base}/few")
-    assert tables.compact(spark, f"{base}/in", f"{base}/out")
-    assert len(tables.parquet_files(spark, f"{base}/out")) == 1
-    assert spark.read.parquet(f"{base}/out").agg(F.sum("id")).collect()[0][0] == 499500
-    assert not tables.compact(spark, f"{base}/few", f"{base}/none")
-    assert tables.compact(spark, f"{base}/in", f"{base}/parts", target_bytes=2000)
-    assert len(tables.parquet_files(spark, f"{base}/parts")) > 1
-
-
 def test_comments_survive(spark):
     df = tables.with_comments(spark.range(1).withColumn("v", F.lit(1)), {"v": "a value"})
     tables.replace_table(spark, df, "db_notes", "t")

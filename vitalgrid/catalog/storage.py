@@ -13,6 +13,7 @@ from vitalgrid.session import scratch_dir
 from vitalgrid.sources import tables
 from vitalgrid.sources.csv import FORMAT, ingest, read_csv_gz
 from vitalgrid.sources.derived import bronze
+from vitalgrid.sources.versions import VersionedTable
 
 
 @query("csv_gz_roundtrip", "select * from orders")
@@ -40,13 +41,47 @@ def _(s):
 
 @query("compaction_roundtrip", "select * from events")
 def _(s):
-    folder = scratch_dir(s.spark, "compact")
-    before, after = f"{folder}/before", f"{folder}/after"
-    s["events"].repartition(12).write.parquet(before)
-    done = tables.compact(s.spark, before, after)
-    if not done or len(tables.parquet_files(s.spark, after)) >= 12:
-        raise RuntimeError("compaction left as many files as it found")
-    return s.spark.read.parquet(after)
+    """Small files become one, large ones stay: the table is one large and twelve small files."""
+    events, folder = s["events"], scratch_dir(s.spark, "compact")
+    recent = F.col("event_id") % 13 == 0
+    events.where(~recent).coalesce(1).sortWithinPartitions("event_id").write.parquet(f"{folder}/large")
+    events.where(recent).repartition(12).write.parquet(f"{folder}/small")
+    t = VersionedTable(s.spark, f"{folder}/table", events.schema, ["event_id"])
+    t.adopt(f"{folder}/large")
+    t.adopt(f"{folder}/small")
+    large = t.files().agg(F.max("bytes")).first()[0]
+    t.compact(target_bytes=large)
+    before, after = ({r.path for r in t.files(v).collect()} for v in (2, 3))
+    if len(before) != 13 or len(after) != 2 or len(before & after) != 1:
+        raise RuntimeError("compaction did not join exactly the small files")
+    return t.read()
+
+
+@query(
+    "merge_versions",
+    """
+select o_orderkey, o_custkey, o_orderstatus,
+  case when o_orderkey % 20 = 0 then o_totalprice + 1 else o_totalprice end as o_totalprice,
+  case when o_orderkey % 20 = 0 then o_orderdate + interval 1 day else o_orderdate end as o_orderdate,
+  o_orderpriority
+from (select * from orders where o_orderkey <= (select max(o_orderkey) from orders) * 0.9
+  or o_orderkey % 20 = 0)""",
+)
+def _(s):
+    """Orders that come back newer replace theirs, older repeats do not, unknown ones are added."""
+    orders, folder = s["orders"], scratch_dir(s.spark, "merge")
+    top = F.lit(orders.agg(F.max("o_orderkey")).first()[0])
+    t = VersionedTable(s.spark, folder, orders.schema, ["o_orderkey"])
+    t.replace(orders.where(F.col("o_orderkey") <= top * 0.9))
+    back = orders.where(F.col("o_orderkey") % 20 == 0)
+    newer = back.withColumn("o_orderdate", F.col("o_orderdate") + F.expr("interval 1 day")).withColumn(
+        "o_totalprice", F.col("o_totalprice") + 1
+    )
+    stale = orders.where((F.col("o_orderkey") <= top * 0.9) & (F.col("o_orderkey") % 20 == 1)).withColumn(
+        "o_totalprice", F.lit(0).cast(orders.schema["o_totalprice"].dataType)
+    )
+    t.merge(newer.unionByName(back).unionByName(stale), "o_orderdate")
+    return t.read()
 
 
 @query(

@@ -103,30 +103,57 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ).select("s.*")
 
 
-def table_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of two tables that differ, by key: on one side only, or with differing columns.
+BUCKETS = 4096
 
-    Both sides are packed by their own key before they meet, and missing values compare equal.
+
+def digests(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, n, digest): rows and an order-free digest of them per bucket of keys.
+
+    Equal multisets of rows have equal digests; missing values and the columns' order of values count.
     """
-    keys = list(keys)
+    row = F.xxhash64(*[F.struct(F.col(c).isNull().alias("m"), F.col(c).alias("v")) for c in df.columns])
+    return df.groupBy(_bucket(keys, buckets).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(20,0)")).alias("digest")
+    )
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def table_diff(a: DataFrame, b: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Keys whose rows differ between two tables: (keys, kind, columns).
+
+    Rows are compared as multisets, so a repeated row counts, and missing keys and values equal each
+    other: a table never differs from itself. ``kind`` says whether the surplus rows of a key are
+    ``only in first``, ``only in second`` or on both sides (``changed``, with the columns whose values
+    differ). Buckets of keys with equal digests are left out before any row is moved.
+    """
+    keys, b = list(keys), b.select(*a.columns)
     columns = [c for c in a.columns if c not in keys]
-    packed = [
-        df.select(*keys, F.struct(*columns).alias(side)) for df, side in ((a, "a"), (b, "b"))
+    left, right = (digests(df, keys, buckets) for df in (a, b))
+    same = left.join(right.withColumnsRenamed({"n": "n2", "digest": "d2"}), "bucket", "full")
+    equal = F.col("n").eqNullSafe(F.col("n2")) & F.col("digest").eqNullSafe(F.col("d2"))
+    unequal = F.broadcast(same.where(~equal).select("bucket"))  # at most one row per bucket
+    signed = [
+        df.withColumn("bucket", _bucket(keys, buckets)).join(unequal, "bucket", "left_semi").drop("bucket").withColumn("_n", F.lit(n))
+        for df, n in ((a, 1), (b, -1))
     ]
-    joined = packed[0].join(packed[1], keys, "full")
+    surplus = signed[0].unionByName(signed[1]).groupBy(*a.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+
+    def value(c: str) -> Column:
+        return F.xxhash64(F.col(c).isNull(), F.col(c)).cast("decimal(20,0)") * F.col("_n")
+
+    per_key = surplus.groupBy(*keys).agg(
+        F.max("_n").alias("_most"),
+        F.min("_n").alias("_least"),
+        *[(F.sum(value(c)) != 0).alias(f"_differs_{i}") for i, c in enumerate(columns)],
+    )
     differing = F.filter(
-        F.array(
-            *[F.when(~F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")), F.lit(c)) for c in columns]
-        ),
-        lambda x: x.isNotNull(),
+        F.array(*[F.when(F.col(f"_differs_{i}"), F.lit(c)) for i, c in enumerate(columns)]).cast("array<string>"), lambda x: x.isNotNull()
     )
-    return joined.select(
+    return per_key.select(
         *keys,
-        F.when(F.col("b").isNull(), "only in first")
-        .when(F.col("a").isNull(), "only in second")
-        .otherwise("changed")
-        .alias("kind"),
-        F.when(
-            F.col("a").isNotNull() & F.col("b").isNotNull(), F.concat_ws(",", differing)
-        ).alias("columns"),
-    ).where((F.col("kind") != "changed") | (F.col("columns") != ""))
+        F.when(F.col("_least") > 0, "only in first").when(F.col("_most") < 0, "only in second").otherwise("changed").alias("kind"),
+        F.when((F.col("_least") < 0) & (F.col("_most") > 0), F.concat_ws(",", differing)).alias("columns"),
+    )

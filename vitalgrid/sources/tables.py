@@ -1,17 +1,15 @@
-"""Tables: existence, loads, appends, keyed upserts, compaction, comments, listing."""
+"""Tables: existence, loads, appends, keyed upserts, comments, listing. ``versions`` has compaction
+and merges in place."""
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COMPACTION_TARGET_BYTES = 100 * 1024 * 1024
-COMPACTION_MIN_FILES = 5
-
 
 def ensure_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
@@ -32,10 +30,10 @@ def load_table(
 ) -> int:
     """Write a whole table in one job and return the rows written, counted while writing.
 
-    A replacing load goes to a staging table that takes the name only when it is complete: a
-    load that fails while writing leaves the previous table as it was. The exchange is a drop and a
-    rename, two catalog steps: readers between them find no table, and where the second fails the
-    new rows are left complete in ``<table>__staging``.
+    A replacing load writes a new folder and then points the table to it, one catalog step: a reader
+    sees the old rows or the new ones, and one that has begun goes on with the old files, which stay
+    until ``drop_old_versions``. A load that fails while writing changes nothing. Only where the
+    columns change, the table is dropped and made anew.
     """
     ensure_database(spark, database)
     name = f"`{database}`.`{table}`"
@@ -44,15 +42,42 @@ def load_table(
     if mode == "append":
         rows.write.format("parquet").mode("append").saveAsTable(name)
     elif mode == "replace":
-        staging = f"`{database}`.`{table}__staging`"
-        rows.write.format("parquet").mode("overwrite").saveAsTable(staging)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+        location = f"{versions_folder(spark, database, table)}/{uuid.uuid4().hex}"
+        rows.write.parquet(location)
+        fields = [(f.name, f.dataType, f.metadata) for f in df.schema.fields]
+        exists = spark.catalog.tableExists(name)
+        if exists and [(f.name, f.dataType, f.metadata) for f in spark.table(name).schema.fields] == fields:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            spark.catalog.refreshTable(name)
+        else:
+            if exists:
+                spark.sql(f"DROP TABLE {name}")
+            spark.catalog.createTable(name, path=location, source="parquet", schema=df.schema)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return counted.get["n"]
 
 
+def versions_folder(spark: SparkSession, database: str, table: str) -> str:
+    """Where the versions of a table lie: below the database's folder, one folder each."""
+    found = spark.sql(f"DESCRIBE DATABASE `{database}`").where("info_name = 'Location'").first()
+    return f"{found[1].rstrip('/')}/{table}__versions"
+
+
+def drop_old_versions(spark: SparkSession, database: str, table: str, keep: int = 2) -> int:
+    """Delete all but the newest ``keep`` folders of a table, never the one it points to."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(versions_folder(spark, database, table))
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    described = spark.sql(f"DESCRIBE EXTENDED `{database}`.`{table}`").where("col_name = 'Location'").first()
+    current = described[1].rstrip("/").rsplit("/", 1)[1]
+    found = sorted(fs.listStatus(root), key=lambda f: -f.getModificationTime())
+    old = [f.getPath() for f in found[keep:] if f.getPath().getName() != current]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
 def replace_table(spark: SparkSession, df: DataFrame, database: str, table: str) -> DataFrame:
     load_table(spark, df, database, table, "replace")
     return spark.table(f"`{database}`.`{table}`")
@@ -95,42 +120,6 @@ def upsert_incremental(
     return target.join(marked, same, "left_anti").unionByName(new)
 
 
-def parquet_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """Data files below a path with their sizes, from the file system's own listing."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found, it = [], fs.listFiles(root, True)
-    while it.hasNext():
-        status = it.next()
-        name = status.getPath().getName()
-        if name.endswith(".parquet") and not name.startswith(("_", ".")):
-            found.append((status.getPath().toString(), status.getLen()))
-    return found
-
-
-def compact(
-    spark: SparkSession,
-    path: str,
-    out: str,
-    target_bytes: int = COMPACTION_TARGET_BYTES,
-    min_files: int = COMPACTION_MIN_FILES,
-) -> bool:
-    """Rewrite a Parquet folder into files near ``target_bytes``, in a new folder.
-
-    Skipped (False) when fewer than ``min_files`` files lie under the size. The number of output
-    files follows from the bytes stored, and rows move round robin, so one hot value cannot make
-    one huge file.
-    """
-    files = parquet_files(spark, path)
-    small = [size for _, size in files if size < target_bytes]
-    if len(small) < min_files:
-        return False
-    parts = max(1, math.ceil(sum(size for _, size in files) / target_bytes))
-    spark.read.parquet(path).repartition(parts).write.mode("errorifexists").parquet(out)
-    return True
-
-
 def preview(df: DataFrame, n: int = 100) -> DataFrame:
     """A bounded look at a table; safe to bring to the driver."""
     return df.limit(n)
