@@ -47,7 +47,7 @@ select {_IDS}, event_id * 10 + case when itemid < 50850 or itemid = 52033 then 0
   case when itemid <> 52033
     then cast(lo + (event_id * 13 + itemid * 7) % span as double) * step end as valuenum
 from events, (values {_values(derived.LAB_ITEMS)}) as i(itemid, lo, span, step)
-where event_id % 2 = 0""",
+where (itemid < 50850 or itemid = 52033) = (event_id % 2 = 0)""",
     "inputevents": f"""
 select {_IDS}, event_id as linkorderid,
   case event_id % 4 when 0 then 221289 when 1 then 221906 when 2 then 221662 else 221653 end

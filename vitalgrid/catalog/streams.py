@@ -14,7 +14,7 @@ from vitalgrid.plans import items
 from vitalgrid.plans.scores import ORGANS as SOFA_ORGANS
 from vitalgrid.streaming import scores
 from vitalgrid.streaming.matching import stream_first_match
-from vitalgrid.streaming.tables import replay_stream, run_to_table
+from vitalgrid.streaming.tables import checked_against_batch, replay_stream, run_to_table
 from vitalgrid.streaming.windows import stream_range_join, windowed, with_event_time
 
 MONEY = "decimal(18,2)"
@@ -275,3 +275,33 @@ def _(s):
     scored = scores.running_score(score_streams(s), "stay_id", "2 hours", threshold=9)
     alerts = scored.where("alert").select("stay_id", F.col("endtime").alias("alert_time"), F.col("sofa_24hours").alias("score"))
     return ntz_columns(run_to_table(alerts, scratch_dir(s.spark, "score_alert")))
+
+
+@query(
+    "stream_batch_check",
+    """
+select user_id, window_start, 'changed' as kind, 'n' as columns
+from (select distinct user_id, date_trunc('hour', ts) as window_start from events)
+where window_start + interval 1 hour <= (select max(ts) - interval 2 hour from events)
+  and user_id % 10 = 3""",
+)
+def _(s):
+    """Hours of the stream held against batch hours in which some users' counts were altered."""
+    events = events_stream(s)
+    count = F.count(F.lit(1)).alias("n")
+    hours = windowed(events, "ts", "1 hour", "2 hours", ["user_id"], [count])
+    started = F.col("w.start").alias("window_start")
+    table = (
+        s["events"]
+        .groupBy("user_id", F.window(F.col("ts").cast("timestamp"), "1 hour").alias("w"))
+        .agg(count)
+        .select("user_id", started, F.col("w.end").alias("window_end"), "n")
+    )
+    altered = table.withColumn("n", F.col("n") + F.when(F.col("user_id") % 10 == 3, 1).otherwise(0))
+    ledger, differences = checked_against_batch(
+        hours, altered, ["user_id", "window_start"], scratch_dir(s.spark, "check")
+    )
+    off = ledger.agg(F.sum("n_differing").alias("n"), F.count_if(F.col("digest_batch") != F.col("digest_stream")).alias("batches")).first()
+    if off.n != differences.count() or not off.batches:
+        raise RuntimeError("the ledger does not count the differences")
+    return ntz_columns(differences.drop("batch"))

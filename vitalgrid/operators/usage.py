@@ -25,15 +25,15 @@ _LINE = (
 )
 
 
-def read_usage_lines(spark: SparkSession, root: str) -> DataFrame:
-    """All ``*.jsonl`` lines below a folder, malformed ones included, with where they came from.
+def read_usage_lines(spark: SparkSession, root: str, glob: str = "*.jsonl") -> DataFrame:
+    """All lines of ``glob`` files below a folder, malformed ones included, with where they came from.
 
     A file directly in the folder is a session of its own; deeper files belong to the session
     named by the first folder on their path. ``line_order`` follows file names, then lines.
     """
     text = (
         spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.jsonl")
+        .option("pathGlobFilter", glob)
         .text(root)
         .select(
             "value",

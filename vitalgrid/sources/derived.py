@@ -134,8 +134,10 @@ def chartevents(events: DataFrame) -> DataFrame:
 
 def labevents(events: DataFrame) -> DataFrame:
     item = F.col("itemid")
-    sampled = events.where(event_id() % 2 == 0).select(*_ids(), "event_id", "ts")
-    rows = _with_items(sampled, _items(LAB_ITEMS))
+    # Events of even id give a blood gas, the others the remaining panels.
+    gases, others = ([i for i in LAB_ITEMS if (i[0] < 50850 or i[0] == 52033) is kind] for kind in (True, False))
+    panel = F.when(event_id() % 2 == 0, _items(gases)).otherwise(_items(others))
+    rows = _with_items(events.select(*_ids(), "event_id", "ts"), panel)
     reading = F.col("lo") + (event_id() * 13 + item * 7) % F.col("span")
     gas = (item < 50850) | (item == 52033)
     kind = item == 52033
