@@ -193,7 +193,8 @@ def banded_classes(
 
 def candidate_clusters(sets: DataFrame) -> DataFrame:
     """(id, component) of the sets (sid, bands) that share a band hash with another one."""
-    band = sets.select("sid", F.explode("bands").alias("band"))
+    # One shuffle by band serves both the counts and the rows that look them up.
+    band = sets.select("sid", F.explode("bands").alias("band")).repartition("band")
     hub = band.groupBy("band").agg(F.min("sid").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1")
     near = band.join(hub, "band").where("a <> sid").select("a", F.col("sid").alias("b")).distinct()
     return components(near)
@@ -238,17 +239,22 @@ def _classes(docs: DataFrame, percent: int, size: int, n: int, recall: float) ->
     )
     heads = saved(
         light.where("n > 0").groupBy("sid").agg(
-            F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")
+            F.min("doc_id").alias("first_id"),
+            F.min(F.struct("doc_id", "digest")).alias("at"),  # any one row that has the set
+            F.count(F.lit(1)).alias("copies"),
+            F.first("n").alias("n"),
         ),
         "distinct",
     )
     whole = light.where("n > 0").select("sid", "bands").dropDuplicates(["sid"])
-    clusters = saved(candidate_clusters(saved(whole, "bands")), "clusters")
+    clusters = saved(candidate_clusters(whole), "clusters")
     open_sets = saved(heads.join(clusters.selectExpr("id AS sid"), "sid", "left_semi"), "open")
-    wanted = open_sets.select(F.col("first_id").alias("want_doc"), F.col("sid").alias("want"))
+    # A text is fetched by id and digest: rows without an id meet their own text only.
+    wanted = open_sets.select("at.*", F.col("sid").alias("want")).withColumnsRenamed({"doc_id": "want_doc", "digest": "want_digest"})
     if open_sets.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("want_doc")))
+    same = F.col("doc_id").eqNullSafe(F.col("want_doc")) & (F.xxhash64("text") == F.col("want_digest"))
+    texts = docs.select("doc_id", "text").join(wanted, same)
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):

@@ -143,19 +143,20 @@ def _runs(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def describe_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, sid, n_shingles): a 128-bit hash of each document's gram set and the set's size."""
+    """(doc_id, digest, sid, n_shingles): a hash of each document's text, a 128-bit hash of its gram set
+    and the set's size."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             _, offsets, sids = _sets(batch, size)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), _binary(sids), pa.array(np.diff(offsets), pa.int64())],
-                names=["doc_id", "sid", "n_shingles"],
+                [batch.column("doc_id"), batch.column("digest"), _binary(sids), pa.array(np.diff(offsets), pa.int64())],
+                names=["doc_id", "digest", "sid", "n_shingles"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(
-        rows, f"doc_id {kind}, sid binary, n_shingles long"
+    return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text").mapInArrow(
+        rows, f"doc_id {kind}, digest long, sid binary, n_shingles long"
     )
 
 
@@ -360,6 +361,12 @@ def ngram_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFram
     ``component_id`` is the smallest doc_id that links reach, the row's own included; ``n_links``
     counts the other rows it links to directly.
     """
+    return classed_rows(docs, size, percent).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def classed_rows(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
+    """``ngram_classes`` with the ``digest`` of each row's text and ``class``, which tells components
+    apart also where none of their rows has an id."""
     bound_batches(docs.sparkSession)
     light = saved(describe_sets(docs, size), "sets")
     total = light.count()
@@ -369,6 +376,7 @@ def ngram_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFram
         .groupBy("sid")
         .agg(
             F.min("doc_id").alias("first_id"),
+            F.min(F.struct("doc_id", "digest")).alias("at"),  # any one row that has the set
             F.first("n_shingles").alias("n"),
             F.count(F.lit(1)).alias("copies"),
         ),
@@ -382,20 +390,23 @@ def ngram_classes(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFram
     spare = F.expr(f"n - (n * {percent} + 99) div 100")
     open_sets = saved(
         sets.join(shared, "sid").where(F.col("shared") >= F.greatest(spare, F.lit(1))).select(
-            "sid", "n", "copies", "first_id"
+            "sid", "n", "copies", "first_id", "at"
         ),
         "open",
     )
     found = _links(docs, open_sets, size, percent)
     classes = found.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    linked = found.join(classes, "component").select("sid", "class_id", "links")
+    linked = found.join(classes, "component").select("sid", "component", "class_id", "links")
     keyed = sets.join(linked, "sid", "left").select(
         "sid",
+        F.coalesce("component", "sid").alias("class"),
         F.coalesce("class_id", "first_id").alias("component_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
     return light.join(keyed, "sid", "left").select(
         "doc_id",
+        "digest",
+        "class",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
@@ -406,12 +417,12 @@ def _links(docs: DataFrame, open_sets: DataFrame, size: int, percent: int) -> Da
     """(sid, component, links, first_id) for the sets of ``open_sets`` that link to another one."""
     count = open_sets.count()
     buckets = 1 << max(6, (max(count, 1) // BUCKET_SETS).bit_length())
-    wanted = open_sets.select(F.col("first_id").alias("doc_id"), F.col("sid").alias("want"))
+    # A text is fetched by id and digest: rows without an id meet their own text only.
+    wanted = open_sets.select(F.col("at.doc_id").alias("doc_id"), F.col("at.digest").alias("digest"), F.col("sid").alias("want"))
     if count <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    texts = docs.select("doc_id", "text").alias("d").join(
-        wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-    ).select("want", "text")
+    same = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.xxhash64("d.text") == F.col("w.digest"))
+    texts = docs.select("doc_id", "text").alias("d").join(wanted.alias("w"), same).select("want", "text")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
@@ -426,7 +437,8 @@ def _links(docs: DataFrame, open_sets: DataFrame, size: int, percent: int) -> Da
                 names=["sid", "grams"],
             )
 
-    full = saved(texts.mapInArrow(sets_of, "sid binary, grams binary"), "full")
+    # Rows repeated in the table give their set again.
+    full = saved(texts.mapInArrow(sets_of, "sid binary, grams binary").dropDuplicates(["sid"]), "full")
 
     def packed_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = _Packer(buckets)

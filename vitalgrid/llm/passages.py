@@ -10,9 +10,8 @@ of a passage (smallest doc_id, then position) stays, every other one is cut out.
 
 Pieces are seeds only for what a text shares with their first occurrence: runs of them are extended
 word by word on both sides to where the two texts part, also past one word changed, and 20 words and
-exact Jaccard are decided on the extended spans. A run of at least
-``min_words`` words that documents of smaller doc_id hold word for word is cut even where the
-paragraph around it is like no other.
+exact Jaccard are decided on the extended spans. So a span is cut only if one earlier text holds a
+span like it; pieces known from several texts, each of a shorter passage, do not add up.
 
 Results: one row for each row of ``docs``, all columns kept (``text`` shortened). Null stays null,
 empty stays empty. Rows of one doc_id count as one document; those of equal text are cut alike. A
@@ -121,8 +120,7 @@ def find_pieces(docs: DataFrame) -> DataFrame:
 
 def find_paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
     """(doc_id, digest, sid, begin, end, seed): runs of pieces that other documents have too; without a
-    sid, runs that documents of smaller doc_id have word for word, or with a ``seed`` and spans of
-    words, runs to be extended beside their first occurrence."""
+    sid, with a ``seed`` and spans of words, runs to be extended beside their first occurrence."""
     kind = dict(docs.dtypes)["doc_id"]
     pieces = find_pieces(docs)
     order = F.coalesce("doc_id", F.lit(FIRST))
@@ -141,7 +139,6 @@ def find_paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {k: [] for k in ("row", "low", "high", "begin", "end")}
-            copied = {k: [] for k in ("row", "begin", "end")}
             seeds, seed_rows = [], []
             lists = batch.column("own")
             flat = lists.flatten()
@@ -164,12 +161,6 @@ def find_paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
                         }
                     )
                     seed_rows.append(row)
-                apart = np.flatnonzero(first[known[1:]] != last[known[:-1]]) + 1
-                for run in np.split(known, apart):
-                    if len(run) and last[run[-1]] - first[run[0]] >= min_words:
-                        copied["row"].append(row)
-                        copied["begin"].append(begin[run[0]])
-                        copied["end"].append(end[run[-1]])
                 apart = np.flatnonzero(first[order[1:]] - last[order[:-1]] > BRIDGE) + 1
                 for run in np.split(order, apart):
                     if (last[run] - first[run]).sum() < min_words:
@@ -184,17 +175,16 @@ def find_paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
                     out["high"].append(mix(value ^ GRAM_BASE).sum(dtype=np.uint64))
                     out["begin"].append(begin[run[0]])
                     out["end"].append(end[run[-1]])
-            at = pa.array(out["row"] + copied["row"] + seed_rows, pa.int64())
-            plain = len(out["row"]) + len(copied["row"])
+            at = pa.array(out["row"] + seed_rows, pa.int64())
             both = np.array([out["low"], out["high"]], np.uint64).T.reshape(-1, 2)
-            none = pa.nulls(len(copied["row"]) + len(seeds), pa.binary())
+            none = pa.nulls(len(seeds), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(at), batch.column("digest").take(at),
                     pa.concat_arrays([sid_column(both), none]),
-                    pa.array(out["begin"] + copied["begin"] + [s["begin"] for s in seeds], pa.int64()),
-                    pa.array(out["end"] + copied["end"] + [s["end"] for s in seeds], pa.int64()),
-                    pa.array([None] * plain + [{k: v for k, v in s.items() if k in SEED.names} for s in seeds], SEED),
+                    pa.array(out["begin"] + [s["begin"] for s in seeds], pa.int64()),
+                    pa.array(out["end"] + [s["end"] for s in seeds], pa.int64()),
+                    pa.array([None] * len(out["row"]) + [{k: v for k, v in s.items() if k in SEED.names} for s in seeds], SEED),
                 ],
                 names=["doc_id", "digest", "sid", "begin", "end", "seed"],
             )
@@ -388,7 +378,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = P
     ``removed`` (byte spans of the original text)."""
     bound_batches(docs.sparkSession)
     found = saved(find_paragraphs(docs, min_words), "runs")
-    paragraphs, copied = found.where("sid IS NOT NULL"), found.where("sid IS NULL AND seed IS NULL")
+    paragraphs = found.where("sid IS NOT NULL")
     extended = extended_copies(docs, found.where("seed IS NOT NULL"), min_words, percent)
     classes = passage_classes(docs, paragraphs, percent)
     placed = paragraphs.join(classes, "sid", "left").select(
@@ -400,7 +390,6 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, percent: int = P
         placed.join(first, "class")
         .where(~place.eqNullSafe(F.col("kept")))
         .select("doc_id", "digest", "begin", "end")
-        .unionByName(copied.drop("sid", "seed"))
         .unionByName(extended)
         .groupBy("doc_id", "digest")
         .agg(F.array_sort(F.collect_set(F.struct("begin", "end"))).alias("removed"))
