@@ -101,3 +101,13 @@ def test_empty_and_odd_rows_pass_the_stages(spark):
     odd = frame(spark, [(None, None), (1, None), (1, ""), (2, "\n")])
     assert corpus_pipeline.cut_passages(spark, odd, "").count() == 4
     assert corpus_pipeline.encode(spark, odd, "").count() == 4
+
+
+def test_bit_filter_passes_all_it_was_made_of(spark):
+    from vitalgrid.llm.common import bit_filter, has_bit
+
+    values = rng.integers(-(2**63), 2**63 - 1, 5000)
+    bits = bit_filter(spark.createDataFrame([(int(v),) for v in values], "v long")).value
+    assert has_bit(bits, values).all()
+    assert has_bit(bits, rng.integers(-(2**63), 2**63 - 1, 20000)).mean() < 0.12
+    assert not has_bit(bit_filter(spark.createDataFrame([], "v long")).value, values).any()

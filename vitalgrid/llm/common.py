@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,9 @@ from vitalgrid.session import scratch_dir
 
 SLICE_BYTES = 2 << 20
 BATCH_ROWS = 1000
+FILTER_BITS = 16
+PAGE_BITS = 1 << 18
+MOST_BITS = 1 << 28
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +60,38 @@ def text_slices(
     pa.default_memory_pool().release_unused()  # workers live on for other stages
 
 
+def bit_filter(values: DataFrame) -> Broadcast[np.ndarray]:
+    """A bit for each value of the one column of ``values`` (long), broadcast to the tasks: rows whose
+    value has none need not be shuffled to meet it.
+
+    There are FILTER_BITS for each value and at most MOST_BITS (32 MB) in all; beyond that more rows
+    pass that nothing wants, which the join behind the filter drops.
+    """
+    wanted = FILTER_BITS * max(values.count(), 1)
+    bits = min(MOST_BITS, max(PAGE_BITS, 1 << (wanted - 1).bit_length()))
+    slot = F.pmod(F.col(values.columns[0]), F.lit(bits))
+
+    def page(table: pa.Table) -> pa.Table:
+        own = np.zeros(PAGE_BITS, bool)
+        own[table.column("bit").to_numpy()] = True
+        return pa.table({"page": table.column("page")[:1], "bits": pa.array([np.packbits(own).tobytes()], pa.binary())})
+
+    slots = values.select(
+        F.floor(slot / PAGE_BITS).cast("int").alias("page"), F.pmod(slot, F.lit(PAGE_BITS)).cast("int").alias("bit")
+    )
+    pages = slots.distinct().groupBy("page").applyInArrow(page, "page int, bits binary").collect()
+    every = np.zeros((bits // PAGE_BITS, PAGE_BITS // 8), np.uint8)
+    for row in pages:  # at most MOST_BITS / 8 bytes
+        every[row["page"]] = np.frombuffer(row["bits"], np.uint8)
+    return values.sparkSession.sparkContext.broadcast(every.reshape(-1))
+
+
+def has_bit(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values (signed 64-bit) have their bit set."""
+    slot = np.mod(values, np.int64(len(bits) * 8))
+    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component): the smallest id each id reaches over ``edges`` (a, b); ids without an edge
     are absent.

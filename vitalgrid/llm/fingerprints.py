@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import bound_batches, components, saved, text_slices
+from vitalgrid.llm.common import bit_filter, bound_batches, components, has_bit, saved, text_slices
 from vitalgrid.llm.ngram_join import BROADCAST_ROWS, join_clusters, sid_column
 from vitalgrid.llm.shingles import distinct_per_row, mix, set_hash, words_of
 
@@ -193,10 +193,24 @@ def banded_classes(
 
 def candidate_clusters(sets: DataFrame) -> DataFrame:
     """(id, component) of the sets (sid, bands) that share a band hash with another one."""
-    # One shuffle by band serves both the counts and the rows that look them up.
-    band = sets.select("sid", F.explode("bands").alias("band")).repartition("band")
+    band = sets.select("sid", F.explode("bands").alias("band"))
     hub = band.groupBy("band").agg(F.min("sid").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    near = band.join(hub, "band").where("a <> sid").select("a", F.col("sid").alias("b")).distinct()
+    hub = saved(hub.select("band", "a"), "hubs")
+    shared = bit_filter(hub.select("band"))
+
+    def colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("bands")
+            value = lists.flatten().to_numpy()
+            row = np.repeat(np.arange(len(lists)), pa.compute.list_value_length(lists).to_numpy())
+            keep = has_bit(shared.value, value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("sid").take(pa.array(row[keep])), pa.array(value[keep])], names=["sid", "band"]
+            )
+
+    # Few bands have a second set: only those that may are shuffled again.
+    again = sets.select("sid", "bands").mapInArrow(colliding, "sid binary, band long")
+    near = again.join(hub, "band").where("a <> sid").select("a", F.col("sid").alias("b")).distinct()
     return components(near)
 
 
@@ -247,7 +261,7 @@ def _classes(docs: DataFrame, percent: int, size: int, n: int, recall: float) ->
         "distinct",
     )
     whole = light.where("n > 0").select("sid", "bands").dropDuplicates(["sid"])
-    clusters = saved(candidate_clusters(whole), "clusters")
+    clusters = saved(candidate_clusters(saved(whole, "bands")), "clusters")
     open_sets = saved(heads.join(clusters.selectExpr("id AS sid"), "sid", "left_semi"), "open")
     # A text is fetched by id and digest: rows without an id meet their own text only.
     wanted = open_sets.select("at.*", F.col("sid").alias("want")).withColumnsRenamed({"doc_id": "want_doc", "digest": "want_digest"})

@@ -24,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import bound_batches, saved, text_slices
+from vitalgrid.llm.common import bit_filter, bound_batches, has_bit, saved, text_slices
 from vitalgrid.llm.fingerprints import FIRST, SHINGLE, band_hashes, banded_classes, best_bands, signatures
 from vitalgrid.llm.ngram_join import BROADCAST_ROWS, sid_column
 from vitalgrid.llm.shingles import GRAM_BASE, WORD_BASE, distinct_per_row, mix, words_of
@@ -82,9 +83,10 @@ def unpack_span(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, begin + (packed & ((1 << 31) - 1))
 
 
-def find_pieces(docs: DataFrame) -> DataFrame:
+def find_pieces(docs: DataFrame, wanted: Broadcast[np.ndarray] | None = None) -> DataFrame:
     """(doc_id, digest, piece, words, bytes): pieces with the packed spans of their word numbers and
-    byte positions; ``digest`` tells apart texts that share a doc_id."""
+    byte positions; ``digest`` tells apart texts that share a doc_id. With a filter, only pieces that
+    pass it."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,6 +101,9 @@ def find_pieces(docs: DataFrame) -> DataFrame:
             powers[1:] = WORD_BASE
             powers = np.multiply.accumulate(powers)
             piece = mix(np.add.reduceat(words.hash * powers[inner], at) + (ends - at).astype(np.uint64))
+            if wanted is not None:
+                keep = has_bit(wanted.value, piece.view(np.int64))
+                at, ends, piece = at[keep], ends[keep], piece[keep]
             text = np.searchsorted(words.rows, at, side="right") - 1
             origin = words.offsets[text]
             yield pa.RecordBatch.from_arrays(
@@ -122,8 +127,16 @@ def find_paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
     """(doc_id, digest, sid, begin, end, seed): runs of pieces that other documents have too; without a
     sid, with a ``seed`` and spans of words, runs to be extended beside their first occurrence."""
     kind = dict(docs.dtypes)["doc_id"]
-    pieces = find_pieces(docs)
     order = F.coalesce("doc_id", F.lit(FIRST))
+    repeated = saved(
+        find_pieces(docs)
+        .groupBy("piece")
+        .agg(F.min(order).alias("a"), F.max(order).alias("b"))
+        .where("a <> b")
+        .select("piece"),
+        "repeated",
+    )
+    pieces = saved(find_pieces(docs, bit_filter(repeated)), "pieces")
     repeated = (
         pieces.groupBy("piece")
         .agg(F.min(F.struct(order.alias("doc"), "digest", "words")).alias("at"), F.max(order).alias("last_doc"))
@@ -249,9 +262,15 @@ def extended_copies(docs: DataFrame, seeds: DataFrame, min_words: int, percent:
     kind = dict(docs.dtypes)["doc_id"]
     texts = docs.select("doc_id", "text")
     asked = seeds.select("seed.doc", "seed.digest", "seed.low", "seed.high").distinct()
-    asked = asked.groupBy(F.col("doc").alias("span_doc"), F.col("digest").alias("span_digest")).agg(
-        F.collect_list(F.struct("low", "high")).alias("own")
+    asked = saved(
+        asked.groupBy(F.col("doc").alias("span_doc"), F.col("digest").alias("span_digest")).agg(
+            F.collect_list(F.struct("low", "high")).alias("own")
+        ),
+        "asked",
     )
+    # Texts stay where they are if all spans asked for are few enough to be sent to them.
+    if (asked.agg(F.sum(F.size("own") + 1)).first()[0] or 0) <= BROADCAST_ROWS:
+        asked = F.broadcast(asked)
     same = (F.coalesce("doc_id", F.lit(FIRST)) == F.col("span_doc")) & (F.xxhash64("text") == F.col("span_digest"))
 
     def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
