@@ -61,7 +61,9 @@ def read_csv_gz(
         columns.append(text.alias(field.name))
     rows = raw.select(*columns)
     if spread_by:
-        rows = rows.repartition(F.col(spread_by), (F.rand(7) * 64).cast("int"))
+        # As many parts of a key as there are partitions: one key may be most of a file.
+        salts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        rows = rows.repartition(F.col(spread_by), (F.rand(7) * salts).cast("int"))
     return rows
 
 
