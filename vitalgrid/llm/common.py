@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,9 +38,17 @@ def saved(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.parquet(path)
+    release_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps now: it does so once the driver has
+    collected what refers to them, which a driver with free memory puts off for half an hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ node, so all leaves see the same draws. What is broadcast are the quotas, one nu
 
 Results: null text has size 0. Documents of size 0 belong to their source and are taken as often as
 their block. A null source is a source of its own, last in the order. Repeated rows (same doc_id and
-text) are taken alike. An empty table gives an empty mix. All columns of ``docs`` are kept; those
+text) are documents of their own, taken apart from each other. An empty table gives an empty mix. All columns of ``docs`` are kept; those
 named like the added ones are replaced.
 """
 
@@ -22,11 +22,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import bound_batches, saved
+from vitalgrid.llm.ngram_join import BROADCAST_ROWS
 
+SALTS = 1024
 BLOCKS = 1024
 WEIGHTS = (1, 2, 3)
 MOST_PASSES = 3
@@ -56,9 +58,40 @@ def targets_of(sizes: list[int], weights: list[float], most: int = MOST_PASSES)
     return out
 
 
+def place_of(seed: int) -> Column:
+    """The hash that places a row in its source; further copies of a row have places of their own."""
+    first = F.xxhash64(F.lit(seed), "doc_id", "text")
+    return F.when(F.col("copy_") == 1, first).otherwise(F.xxhash64(F.lit(seed), "doc_id", "text", "copy_"))
+
+
+def with_copies(docs: DataFrame) -> DataFrame:
+    """Rows with ``copy_``: 1, and for rows of one doc_id and text 1, 2 and so on, in any order.
+
+    Only repeated rows are moved. They are numbered in parts of a random salt, whose counts give where
+    the numbers of each part begin, so that a row that is most of the table is numbered by many tasks.
+    """
+    key = F.xxhash64("doc_id", "text")
+    again = saved(docs.groupBy(key.alias("key_")).count().where("count > 1").select("key_"), "again")
+    n = again.count()
+    if not n:
+        return docs.withColumn("copy_", F.lit(1).cast("long"))
+    keys = F.broadcast(again) if n <= BROADCAST_ROWS else again
+    keyed = docs.withColumn("key_", key)
+    once = keyed.join(keys, "key_", "left_anti").drop("key_").withColumn("copy_", F.lit(1).cast("long"))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
+    several = saved(keyed.join(keys, "key_", "left_semi").withColumn("salt_", salt), "several")
+    before = Window.partitionBy("key_").orderBy("salt_").rowsBetween(Window.unboundedPreceding, -1)
+    counts = several.groupBy("key_", "salt_").count()
+    begins = counts.select("key_", "salt_", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("begin_"))
+    number = F.row_number().over(Window.partitionBy("key_", "salt_").orderBy("doc_id"))
+    numbered = several.withColumn("number_", number).join(begins, ["key_", "salt_"])
+    rows = numbered.select(*docs.columns, (F.col("begin_") + F.col("number_")).cast("long").alias("copy_"))
+    return once.unionByName(saved(rows, "copies"))
+
+
 def _described(docs: DataFrame, seed: int) -> DataFrame:
     """doc_id, digest, source, size and a hash that places the document in its source."""
-    place = F.xxhash64(F.lit(seed), "doc_id", "text")
+    place = place_of(seed)
     return docs.select(
         "doc_id",
         F.xxhash64("text").alias("digest"),
@@ -207,12 +240,13 @@ def mix_sources(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFra
     Reading a shard sorted by ``order`` gives its documents shuffled.
     """
     bound_batches(docs.sparkSession)
+    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "draws", "place_", "copy_")]
+    docs = with_copies(docs.select(*kept))
     described = _described(docs, seed)
     light = saved(described, "sizes")
     drawn, sources = mix_plan(light, shards, seed)
     per_block = drawn.groupBy("turn", "block").agg(F.collect_list(F.struct("shard", "epoch", "cut", "only")).alias("plan"))
-    place = F.xxhash64(F.lit(seed), "doc_id", "text")
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "draws", "place_")]
+    place = place_of(seed)
     named = sources.withColumnRenamed("source", "source_name_")
     rows = (
         docs.select(

@@ -228,6 +228,11 @@ def chains(known, first, last, source, text_of, there, there_end) -> Iterator[tu
             yield known[c:d], True
 
 
+def short(hashes: np.ndarray) -> np.ndarray:
+    """Half of each word hash: enough to compare two spans, and half as much to move."""
+    return (hashes >> np.uint64(32)).astype(np.uint32)
+
+
 def extend(t: np.ndarray, s: np.ndarray, i: int, j: int, exact: bool) -> tuple[int, int]:
     """How far ``t`` from ``i`` and ``s`` from ``j`` on agree, also past single changed words that at
     least SHINGLE equal words follow unless ``exact``."""
@@ -251,7 +256,7 @@ def alike(t: np.ndarray, s: np.ndarray, percent: int) -> bool:
         return True
     a, b = (
         np.unique(sum(mix(w[k : len(w) - SHINGLE + 1 + k] + np.uint64(k) * GRAM_BASE) for k in range(SHINGLE)))
-        for w in (t, s)
+        for w in (t.astype(np.uint64), s.astype(np.uint64))
     )
     both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= percent * (len(a) + len(b) - both)
@@ -279,7 +284,7 @@ def extended_copies(docs: DataFrame, seeds: DataFrame, min_words: int, percent:
             docs_, digests = batch.column("span_doc").to_pylist(), batch.column("span_digest").to_pylist()
             out = {k: [] for k in ("doc", "text_digest", "low", "high", "base", "words")}
             for i, own in enumerate(batch.column("own").to_pylist()):
-                mine = words.hash[words.rows[i] : words.rows[i + 1]]
+                mine = short(words.hash[words.rows[i] : words.rows[i + 1]])
                 for p in own:
                     base = max(0, p["low"] - PAD)
                     row = (docs_[i], digests[i], p["low"], p["high"], base, mine[base : p["high"] + PAD].tobytes())
@@ -296,12 +301,15 @@ def extended_copies(docs: DataFrame, seeds: DataFrame, min_words: int, percent:
         .mapInArrow(snippets, "doc long, text_digest long, low long, high long, base long, words binary")
         .dropDuplicates(["doc", "text_digest", "low", "high"])
     )
-    keyed = seeds.select("doc_id", F.col("digest").alias("own_digest"), "begin", "end", "seed.*").withColumnRenamed(
+    # Texts are known by their id, a missing one made FIRST, and their digest: spans are gathered by the
+    # same columns that they meet their text by, so they move once.
+    own_doc = F.coalesce("doc_id", F.lit(FIRST)).alias("span_doc")
+    keyed = seeds.select(own_doc, F.col("digest").alias("span_digest"), "begin", "end", "seed.*").withColumnRenamed(
         "digest", "text_digest"
     )
     beside = (
         keyed.join(read, ["doc", "text_digest", "low", "high"])
-        .groupBy("doc_id", F.col("own_digest").alias("digest"))
+        .groupBy("span_doc", "span_digest")
         .agg(F.collect_list(F.struct("begin", "end", "low", "high", "base", "exact", "words")).alias("own"))
     )
 
@@ -311,9 +319,9 @@ def extended_copies(docs: DataFrame, seeds: DataFrame, min_words: int, percent:
             row, begins, ends = [], [], []
             for i, own in enumerate(batch.column("own").to_pylist()):
                 t0 = int(words.rows[i])
-                t = words.hash[t0 : words.rows[i + 1]]
+                t = short(words.hash[t0 : words.rows[i + 1]])
                 for p in own:
-                    s = np.frombuffer(p["words"], np.uint64)
+                    s = np.frombuffer(p["words"], np.uint32)
                     end, high = extend(t, s, p["end"], p["high"] - p["base"], p["exact"])
                     back = extend(t[: p["begin"]][::-1], s[: p["low"] - p["base"]][::-1], 0, 0, p["exact"])
                     begin, low = p["begin"] - back[0], p["low"] - p["base"] - back[1]
@@ -330,10 +338,8 @@ def extended_copies(docs: DataFrame, seeds: DataFrame, min_words: int, percent:
                 names=["doc_id", "digest", "begin", "end"],
             )
 
-    joined = texts.withColumn("digest", F.xxhash64("text")).join(
-        beside.withColumnsRenamed({"doc_id": "span_doc", "digest": "span_digest"}),
-        F.col("doc_id").eqNullSafe(F.col("span_doc")) & (F.col("digest") == F.col("span_digest")),
-    )
+    keyed_texts = texts.select("doc_id", "text", own_doc, F.xxhash64("text").alias("span_digest"))
+    joined = keyed_texts.join(beside, ["span_doc", "span_digest"]).withColumnRenamed("span_digest", "digest")
     return joined.select("doc_id", "digest", "text", "own").mapInArrow(
         decide, f"doc_id {kind}, digest long, begin long, end long"
     )
