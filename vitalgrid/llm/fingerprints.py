@@ -251,11 +251,14 @@ def _classes(docs: DataFrame, percent: int, size: int, n: int, recall: float) ->
         ),
         "signed",
     )
+    texts_of = light.where("n > 0").groupBy("sid", "doc_id", "digest").agg(
+        F.count(F.lit(1)).alias("rows"), F.first("n").alias("n")
+    )
     heads = saved(
-        light.where("n > 0").groupBy("sid").agg(
+        texts_of.groupBy("sid").agg(
             F.min("doc_id").alias("first_id"),
-            F.min(F.struct("doc_id", "digest")).alias("at"),  # any one row that has the set
-            F.count(F.lit(1)).alias("copies"),
+            F.min(F.struct("doc_id", "digest", "rows")).alias("at"),  # any one text that has the set
+            F.sum("rows").alias("copies"),
             F.first("n").alias("n"),
         ),
         "distinct",
@@ -264,7 +267,9 @@ def _classes(docs: DataFrame, percent: int, size: int, n: int, recall: float) ->
     clusters = saved(candidate_clusters(saved(whole, "bands")), "clusters")
     open_sets = saved(heads.join(clusters.selectExpr("id AS sid"), "sid", "left_semi"), "open")
     # A text is fetched by id and digest: rows without an id meet their own text only.
-    wanted = open_sets.select("at.*", F.col("sid").alias("want")).withColumnsRenamed({"doc_id": "want_doc", "digest": "want_digest"})
+    wanted = open_sets.select("at.*", F.col("sid").alias("want"), "n", "copies").withColumnsRenamed(
+        {"doc_id": "want_doc", "digest": "want_digest"}
+    )
     if open_sets.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     same = F.col("doc_id").eqNullSafe(F.col("want_doc")) & (F.xxhash64("text") == F.col("want_digest"))
@@ -278,13 +283,19 @@ def _classes(docs: DataFrame, percent: int, size: int, n: int, recall: float) ->
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([want[i] for i in keep], pa.binary()),
+                    batch.column("n").take(pa.array(keep, pa.int64())),
+                    batch.column("copies").take(pa.array(keep, pa.int64())),
                     pa.array([grams[offsets[i] : offsets[i + 1]].tobytes() for i in keep], pa.binary()),
                 ],
-                names=["sid", "grams"],
+                names=["sid", "n", "copies", "grams"],
             )
 
-    full = texts.select("want", "text").mapInArrow(sets_of, "sid binary, grams binary").dropDuplicates(["sid"])
-    sets = saved(full.join(open_sets, "sid").select("sid", "n", "copies", "grams"), "full")
+    # A text that stands in the table once gives its set once; only sets of repeated rows are put together.
+    full = [
+        texts.where(times).select("want", "text", "n", "copies").mapInArrow(sets_of, "sid binary, n long, copies long, grams binary")
+        for times in ("rows = 1", "rows > 1")
+    ]
+    sets = saved(full[0].unionByName(full[1].dropDuplicates(["sid"])), "full")
     classes = components(join_clusters(sets, clusters, percent).select("a", "b"))
     linked = classes.selectExpr("id AS sid", "component").join(heads.select("sid", "first_id"), "sid")
     first = linked.groupBy("component").agg(F.min("first_id").alias("class_id"))
