@@ -107,20 +107,22 @@ class VersionedTable:
         latest = source.groupBy(*self.key).agg(F.max_by(F.struct(*others), order).alias("row")).select(*self.key, "row.*")
         new = _stored(latest.select(*self.schema.names), f"{self.root}/data/_new_{uuid.uuid4().hex}")
         first = F.col(self.key[0])
-        reach = new.agg(F.min(first).cast("string").alias("a"), F.max(first).cast("string").alias("b"), F.count_if(first.isNull()).alias("n"))
-        kind = self.schema[self.key[0]].dataType
-        low, high, missing = reach.first()
+        low, high, missing = new.agg(
+            F.min(first).cast("string"), F.max(first).cast("string"), F.count_if(first.isNull())
+        ).first()
         if low is None and not missing:
             return at
         files = self.files(at)
-        typed = [F.col(c).cast(kind) for c in ("low", "high")]
-        near = (typed[0] <= F.lit(high).cast(kind)) & (typed[1] >= F.lit(low).cast(kind))
-        # Files beyond the range of the new keys are not opened; of the others only the keys.
-        candidates = files.where(F.coalesce(near, F.lit(bool(missing))) | F.lit(bool(missing)))
-        current = self._rows([r.path for r in candidates.select("path").collect()])
-        keyed = current.select(*self.key, F.col(watermark).alias("_was"), F.col("_metadata.file_path").alias("_path")) if _has_files(current) else None
-        if keyed is None:
+        kind = self.schema[self.key[0]].dataType
+        # Files beyond the range of the new keys are not opened; of the others only the keys. Missing keys
+        # are in no range.
+        near = (F.col("low").cast(kind) <= F.lit(high).cast(kind)) & (F.col("high").cast(kind) >= F.lit(low).cast(kind))
+        candidates = [r.path for r in (files if missing else files.where(near)).select("path").collect()]
+        if not candidates:
             return self._commit(files.unionByName(self._written(self._sorted(new))), at)
+        keyed = self._rows(candidates).select(
+            *self.key, F.col(watermark).alias("_was"), F.col("_metadata.file_path").alias("_path")
+        )
         incoming = new.select(*[F.col(k).alias(f"_{k}") for k in self.key], F.col(watermark).alias("_is"))
         same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.key]
         met = keyed.join(incoming, same).select(*self.key, "_path", (F.col("_is") > F.col("_was")).alias("_newer"))
@@ -148,7 +150,8 @@ class VersionedTable:
         at = self.version()
         files = self.files(at)
         small = files.where(F.col("bytes") < target_bytes * 3 // 4)
-        running = Window.partitionBy("folder").orderBy("low", "path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        low = F.col("low").cast(self.schema[self.key[0]].dataType)
+        running = Window.partitionBy("folder").orderBy(low, "path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         filled = small.withColumn("_bin", F.floor((F.sum("bytes").over(running) - F.col("bytes")) / target_bytes))
         binned = filled.withColumn("_size", F.count(F.lit(1)).over(Window.partitionBy("folder", "_bin"))).where("_size > 1")
         binned = _stored(
@@ -169,6 +172,3 @@ def _stored(rows: DataFrame, path: str) -> DataFrame:
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
-
-def _has_files(rows: DataFrame) -> bool:
-    return bool(rows.inputFiles())
