@@ -499,9 +499,10 @@ def test_build_order():
 def test_derived_tables_fill_every_measure(spark):
     """A column that no reading reaches would agree with any oracle."""
     from vitalgrid.plans import charted, labs
+    from vitalgrid.plans.graph import Tables
     from vitalgrid.sources.derived import bronze
 
-    tables = bronze(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    tables = Tables(bronze(spark.read.parquet("/root/testdata/sf0.001/events.parquet")))
     plans = (labs.bg, labs.chemistry, labs.enzyme, labs.complete_blood_count, charted.vitalsign, charted.ventilator_setting)
     for plan in plans:
         df = plan(tables)

@@ -88,8 +88,8 @@ def test_parts_hold_what_readers_ask_for(spark, tmp_path):
     assert len(set(groups.values())) == 3
     for codes in ([220045], [220739, 223900, 223901], [223835, 220045]):
         whole = raw["chartevents"].where(F.col("itemid").isin(codes))
-        assert tables.items("chartevents", codes).columns == whole.columns
-        assert rows(tables.items("chartevents", codes), *whole.columns) == rows(whole, *whole.columns)
-    other = tables.items("chartevents", [220277])  # in no part: read from the table itself
+        assert tables.readings("chartevents", codes).columns == whole.columns
+        assert rows(tables.readings("chartevents", codes), *whole.columns) == rows(whole, *whole.columns)
+    other = tables.readings("chartevents", [220277])  # in no part: read from the table itself
     assert other.count() == raw["chartevents"].where("itemid = 220277").count()
     assert item_groups("labevents", ["bg"]) == {}

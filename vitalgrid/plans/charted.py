@@ -33,7 +33,7 @@ def vitalsign(t, columns: tuple[str, ...] | None = None) -> DataFrame:
     spec, extra = _vitals(columns), []
     if columns is None or "temperature" in columns:
         extra = [items.temperature_celsius()]
-    rows = require(t.items("chartevents", vital_codes(columns)), ["stay_id"])
+    rows = require(t.readings("chartevents", vital_codes(columns)), ["stay_id"])
     return rows.groupBy("subject_id", "stay_id", "charttime").agg(
         *pivot_columns(spec, "avg", "itemid", "valuenum"), *extra
     )
@@ -41,7 +41,7 @@ def vitalsign(t, columns: tuple[str, ...] | None = None) -> DataFrame:
 
 def ventilator_setting(t) -> DataFrame:
     """One row per subject and time: ventilator settings and modes."""
-    rows = require(t.items("chartevents", codes_of(items.VENTILATOR_SETTINGS)), ["value", "stay_id"])
+    rows = require(t.readings("chartevents", codes_of(items.VENTILATOR_SETTINGS)), ["value", "stay_id"])
     return pivot_items(
         rows,
         ["subject_id", "charttime"],
@@ -55,7 +55,7 @@ def oxygen_delivery(t) -> DataFrame:
 
     Times with a device but no flow are absent by definition of the table.
     """
-    flows = require(t.items("chartevents", items.O2_FLOW_ITEMS), ["value"]).select(
+    flows = require(t.readings("chartevents", items.O2_FLOW_ITEMS), ["value"]).select(
         "subject_id",
         "stay_id",
         "charttime",
@@ -67,7 +67,7 @@ def oxygen_delivery(t) -> DataFrame:
     latest = flows.groupBy("subject_id", "charttime", "flow_item").agg(
         F.max_by(F.struct("valuenum", "stay_id"), "age").alias("flow")
     )
-    device_rows = require(t.items("chartevents", [items.O2_DEVICE]), ["subject_id", "charttime"])
+    device_rows = require(t.readings("chartevents", [items.O2_DEVICE]), ["subject_id", "charttime"])
     devices = top_per_group(
         device_rows,
         ["subject_id", "charttime"],
@@ -119,7 +119,7 @@ def oxygen_delivery(t) -> DataFrame:
 
 def gcs(t) -> DataFrame:
     """One row per subject, stay and time: coma scale with six-hour carry-forward of components."""
-    rows = t.items("chartevents", [items.GCS_MOTOR, items.GCS_VERBAL, items.GCS_EYES])
+    rows = t.readings("chartevents", [items.GCS_MOTOR, items.GCS_VERBAL, items.GCS_EYES])
 
     def component(code: int, value):
         return F.max(F.when(F.col("itemid") == code, value))

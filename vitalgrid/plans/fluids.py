@@ -25,7 +25,7 @@ def urine_output(t) -> DataFrame:
 
 def urine_output_rate(t) -> DataFrame:
     """One row per stay and time: trailing volumes, hours they cover and mL/kg/h."""
-    beats = t.items("chartevents", [items.HEART_RATE])
+    beats = t.readings("chartevents", [items.HEART_RATE])
     stays = t["icustays"].select("stay_id", "intime", "outtime")
     near = bounded_join(
         beats.select("stay_id", "charttime"), stays, "stay_id", "charttime", "intime", "outtime", 1

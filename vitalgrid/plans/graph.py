@@ -120,7 +120,7 @@ class Parted:
     def holds(self, codes: Iterable[int]) -> bool:
         return set(codes) <= self._groups.keys()
 
-    def items(self, codes: Iterable[int]) -> DataFrame:
+    def rows(self, codes: Iterable[int]) -> DataFrame:
         groups = sorted({self._groups[c] for c in codes})
         rows = self._frame.where(F.col("item_group").isin(groups)).drop("item_group")
         return filter_items(rows, "itemid", codes)
@@ -170,11 +170,11 @@ class Tables(Mapping):
         plan, _ = MODELS[name]
         return plan(self, columns)
 
-    def items(self, table: str, codes: Iterable[int]) -> DataFrame:
+    def readings(self, table: str, codes: Iterable[int]) -> DataFrame:
         """Rows of some items of an event table, from the copy parted by items where there is one."""
         codes = list(codes)
         if table in self._parted and self._parted[table].holds(codes):
-            return self._parted[table].items(codes)
+            return self._parted[table].rows(codes)
         return filter_items(self[table], "itemid", codes)
 
     def part(self, models: Iterable[str], workers: int = 2) -> dict[str, Parted]:

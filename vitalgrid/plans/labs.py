@@ -23,7 +23,7 @@ _IDS = ("subject_id", "hadm_id", "charttime")
 
 
 def _panel(t, spec, exempt=()) -> DataFrame:
-    rows = require(t.items("labevents", codes_of(spec)), ["valuenum"]).where(
+    rows = require(t.readings("labevents", codes_of(spec)), ["valuenum"]).where(
         positive_except("valuenum", "itemid", exempt)
     )
     ids = [F.max(c).alias(c) for c in _IDS]
@@ -50,7 +50,7 @@ def bg(t) -> DataFrame:
     ids = [F.max(c).alias(c) for c in _IDS]
     gas = require(
         pivot_items(
-            t.items("labevents", codes_of(items.BLOOD_GAS)), ["specimen_id"], items.BLOOD_GAS, extra=ids
+            t.readings("labevents", codes_of(items.BLOOD_GAS)), ["specimen_id"], items.BLOOD_GAS, extra=ids
         ),
         ["po2"],
     )
@@ -58,7 +58,7 @@ def bg(t) -> DataFrame:
     gas = top1(gas, ["subject_id", "charttime"], [F.col("specimen_id").asc_nulls_last()])
 
     def reading(code: int):
-        rows = t.items("chartevents", [code])
+        rows = t.readings("chartevents", [code])
         return rows.where(Bound(0, 100, ("high",)).holds(F.col("valuenum")))
 
     at = ["subject_id", "charttime"]
@@ -83,7 +83,7 @@ def bg(t) -> DataFrame:
 
 def bg_with_spo2(t) -> DataFrame:
     """``bg`` plus the latest pulse-oximeter average of the two hours before each sample."""
-    rows = t.items("chartevents", [items.SPO2])
+    rows = t.readings("chartevents", [items.SPO2])
     spo2 = preagg(
         rows.where(Bound(0, 100, ("high",)).holds(F.col("valuenum"))),
         ["subject_id", "charttime"],

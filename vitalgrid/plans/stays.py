@@ -16,7 +16,7 @@ from vitalgrid.plans import items
 
 def icustay_times(t) -> DataFrame:
     """One row per stay: first and last heart-rate time, NULL where none was charted."""
-    beats = t.items("chartevents", [items.HEART_RATE])
+    beats = t.readings("chartevents", [items.HEART_RATE])
     bounds = time_bounds(beats, ["stay_id"], "charttime", "intime_hr", "outtime_hr")
     stays = t["icustays"].select("subject_id", "hadm_id", "stay_id")
     return join_left(stays, bounds, "stay_id").select(
@@ -32,7 +32,7 @@ def icustay_hourly(t) -> DataFrame:
 def weight_durations(t) -> DataFrame:
     """Validity intervals of charted weights, with the time before the first one filled."""
     charted = (
-        t.items("chartevents", [items.WEIGHT_ADMIT, items.WEIGHT_DAILY])
+        t.readings("chartevents", [items.WEIGHT_ADMIT, items.WEIGHT_DAILY])
         .where(F.col("valuenum") > 0)
         .select(
             "stay_id",
