@@ -17,10 +17,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.common import bit_filter, bound_batches, components, has_bit, saved, text_slices
+from vitalgrid.llm.common import SLICE_BYTES, bit_filter, bound_batches, components, has_bit, saved, text_slices
 from vitalgrid.llm.ngram_join import BROADCAST_ROWS, join_clusters, sid_column
 from vitalgrid.llm.shingles import distinct_per_row, mix, set_hash, words_of
 
@@ -28,6 +29,7 @@ SHINGLE = 5
 PERMUTATIONS = 128
 CHUNK = 1 << 14
 FIRST = -(1 << 63)
+PACK_LEVEL = 6
 
 
 def hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +63,11 @@ def text_signatures(texts: list[str], size: int = SHINGLE, n: int = PERMUTATIONS
 
 def _ordered_with_neighbour(docs: DataFrame, carried: list[str]) -> DataFrame:
     """Rows in buckets of doc_id, falling inside each; a bucket also holds, as ``halo`` rows at its
-    end, what follows its last row (for the lowest bucket: the very first row)."""
+    end, what follows its last row (for the lowest bucket: the very first row).
+
+    Texts are shuffled compressed, as ``packed``. Only rows whose doc_id repeats keep ``text``, by
+    which they are ordered.
+    """
     spark = docs.sparkSession
     rows = docs.select(
         "doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("key"), *carried
@@ -76,29 +82,70 @@ def _ordered_with_neighbour(docs: DataFrame, carried: list[str]) -> DataFrame:
     def bucket_of(key: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(splits, key.to_numpy().astype(float), side="right"))
 
-    ends = keys.groupBy(bucket_of("key").alias("bucket")).agg(F.max("key").alias("top")).collect()
+    counted = saved(keys.groupBy("key").count(), "keys")
+    ends = counted.groupBy(bucket_of("key").alias("bucket")).agg(F.max("key").alias("top")).collect()
     ends = sorted((r["bucket"], r["top"]) for r in ends)  # one row per bucket
     follows: dict[int, list[int]] = {}
     for i, (bucket, _) in enumerate(ends):
         follows.setdefault(ends[i - 1][1], []).append(bucket)
 
-    @F.pandas_udf("array<int>")
-    def places(key: pd.Series) -> pd.Series:
-        own = np.searchsorted(splits, key.to_numpy().astype(float), side="right")
-        return pd.Series(
-            [[int(b), *(-1 - t for t in follows.get(k, ()))] for b, k in zip(own, key, strict=True)]
-        )
+    again = counted.where("count > 1").select("key", F.lit(True).alias("again"))
+    if again.count() <= BROADCAST_ROWS:
+        again = F.broadcast(again)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=PACK_LEVEL).compress
+        for batch in text_slices(batches, "text"):
+            key, plain = batch.column("key").to_numpy(), batch.column("again").to_pylist()
+            own = np.searchsorted(splits, key.astype(float), side="right")
+            texts = batch.column("text").to_pylist()
+            packed = [None if p else compress((t or "").encode()) for t, p in zip(texts, plain, strict=True)]
+            place = [(i, int(b), False) for i, b in enumerate(own)]
+            place += [(i, b, True) for i, k in enumerate(key.tolist()) for b in follows.get(k, ())]
+            at = pa.array([i for i, _, _ in place], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").take(at),
+                    batch.column("key").take(at),
+                    pa.array([texts[i] if plain[i] else None for i, _, _ in place], pa.string()),
+                    pa.array([packed[i] for i, _, _ in place], pa.binary()),
+                    pa.array([b for _, b, _ in place], pa.int32()),
+                    pa.array([h for _, _, h in place], pa.bool_()),
+                    *(batch.column(c).take(at) for c in carried),
+                ],
+                names=["doc_id", "key", "text", "packed", "bucket", "halo", *carried],
+            )
 
+    kind = dict(docs.dtypes)["doc_id"]
+    placed = rows.join(again, "key", "left").mapInArrow(
+        pack,
+        f"doc_id {kind}, key long, text string, packed binary, bucket int, halo boolean"
+        + "".join(f", {c} {kind}" for c in carried),
+    )
     return (
-        rows.withColumn("place", F.explode(places("key")))
-        .withColumn("halo", F.col("place") < 0)
-        .withColumn("bucket", F.when(F.col("halo"), -1 - F.col("place")).otherwise(F.col("place")))
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket")
+        placed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "bucket")
         .sortWithinPartitions("bucket", "halo", F.desc("key"), "text")
-        .select("doc_id", "text", "bucket", "halo", *carried)
+        .select("doc_id", "text", "packed", "bucket", "halo", *carried)
     )
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows (doc_id, text, bucket, halo, ...) in lists of about ``SLICE_BYTES`` of text."""
+    expand = zstandard.ZstdDecompressor().decompress
+    rows, size = [], 0
+    for batch in batches:
+        for doc_id, text, packed, *more in zip(*batch.columns, strict=True):
+            own = expand(packed.as_py()).decode() if packed.is_valid else text.as_py() or ""
+            rows.append((doc_id.as_py(), own, *(v.as_py() for v in more)))
+            size += len(own)
+            if size >= SLICE_BYTES:
+                yield rows
+                rows, size = [], 0
+    if rows:
+        yield rows
+    pa.default_memory_pool().release_unused()  # workers live on for other stages
+
+
 def fingerprint_documents(
     docs: DataFrame, size: int = SHINGLE, n: int = PERMUTATIONS, carried: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -142,9 +189,7 @@ def fingerprint_documents(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: tuple | None = None
-        for batch in text_slices(batches, "text"):
-            ids, texts, buckets, halo, *more = (batch.column(i).to_pylist() for i in range(4 + len(carried)))
-            rows = list(zip(ids, [t or "" for t in texts], buckets, halo, *more, strict=True))
+        for rows in _unpacked(batches):
             rows = [waiting, *rows] if waiting else rows
             waiting = rows[-1]
             if len(rows) > 1:
