@@ -1,11 +1,13 @@
 """Mixing of sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Every source is cut into ``BLOCKS`` blocks by a hash of doc_id and text, a random permutation of its
+Every source is cut into blocks, ``BLOCKS`` or as many more as keep the mean block of a table's only
+source below ``BLOCK_WORDS`` words, by a hash of doc_id and text, a random permutation of its
 documents. A source's target gives its quota: whole passes over all blocks, then blocks in
 permuted order up to the target, the last one in part. A binary tree over the output shards
 splits the quotas: at each node the left half gets a multivariate hypergeometric draw of its share,
 so quotas add up exactly. A shard draws the blocks at the positions the tree gave it, which are
-disjoint, and orders what it drew by a hash of its own.
+disjoint, and orders what it drew by a hash of its own. There are ``SHARDS`` shards, or one for every
+``SHARD_WORDS`` words where these are more.
 
 The tree needs no driver loop: each leaf walks down from the root with generators seeded by the
 node, so all leaves see the same draws. What is broadcast are the quotas, one number per source.
@@ -32,7 +34,9 @@ SALTS = 1024
 BLOCKS = 1024
 WEIGHTS = (1, 2, 3)
 MOST_PASSES = 3
+BLOCK_WORDS = 1 << 23
 SHARDS = 64
+SHARD_WORDS = 1 << 24
 MAX_SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -89,6 +93,15 @@ def with_copies(docs: DataFrame) -> DataFrame:
     return once.unionByName(saved(rows, "copies"))
 
 
+def blocks_for(words: int) -> int:
+    """Blocks of each source of a table of so many words: a power of two."""
+    return max(BLOCKS, 1 << (max(1, -(-words // BLOCK_WORDS)) - 1).bit_length())
+
+
+def shards_for(words: int) -> int:
+    return max(SHARDS, -(-words // SHARD_WORDS))
+
+
 def _described(docs: DataFrame, seed: int) -> DataFrame:
     """doc_id, digest, source, size and a hash that places the document in its source."""
     place = place_of(seed)
@@ -98,16 +111,15 @@ def _described(docs: DataFrame, seed: int) -> DataFrame:
         "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         place.alias("place"),
-        F.pmod(place, F.lit(BLOCKS)).cast("int").alias("block"),
     )
 
 
-def _position(epoch, block, turn):
+def _position(epoch, block, turn, blocks: int):
     """Place of a block in the permuted order of a pass: an affine bijection of block numbers, whose
     multiplier is odd and so has no divisor in common with their power-of-two count."""
-    step = F.pmod(F.xxhash64(turn, epoch, F.lit(1)), F.lit(BLOCKS // 2)) * 2 + 1
-    shift = F.pmod(F.xxhash64(turn, epoch, F.lit(2)), F.lit(BLOCKS))
-    return F.pmod(block * step + shift, F.lit(BLOCKS))
+    step = F.pmod(F.xxhash64(turn, epoch, F.lit(1)), F.lit(blocks // 2)) * 2 + 1
+    shift = F.pmod(F.xxhash64(turn, epoch, F.lit(2)), F.lit(blocks))
+    return F.pmod(block * step + shift, F.lit(blocks))
 
 
 def split_path(quotas: np.ndarray, shards: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +138,7 @@ def split_path(quotas: np.ndarray, shards: int, shard: int, seed: int) -> tuple[
     return offset, left
 
 
-def mix_plan(described: DataFrame, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
+def mix_plan(described: DataFrame, shards: int, seed: int, n_blocks: int) -> tuple[DataFrame, DataFrame]:
     """(block draws, sources). A draw: source, block, epoch, shard; of the block's documents those
     with place up to ``cut``, or the ``only`` one, or all where both are null."""
     spark = described.sparkSession
@@ -148,12 +160,12 @@ def mix_plan(described: DataFrame, shards: int, seed: int) -> tuple[DataFrame, D
     sources = spark.createDataFrame(rows, schema)
 
     # Blocks of the broken last pass, in its order, up to the rest of the target.
-    at = _position(F.col("passes"), F.col("block"), F.col("turn"))
+    at = _position(F.col("passes"), F.col("block"), F.col("turn"), n_blocks)
     numbered = blocks.join(F.broadcast(sources), blocks["source"].eqNullSafe(sources["source"])).select(
         "turn", "passes", "rest", "block", "words", at.alias("at")
     )
     none = F.lit(-(1 << 63)).cast("long")
-    running = Window.partitionBy("turn").orderBy("at")  # BLOCKS rows for each source at most
+    running = Window.partitionBy("turn").orderBy("at")  # one row a block
     upto = numbered.withColumn("upto", F.sum("words").over(running)).withColumn(
         "before", F.col("upto") - F.col("words")
     )
@@ -181,7 +193,7 @@ def mix_plan(described: DataFrame, shards: int, seed: int) -> tuple[DataFrame, D
         ),
         "cuts",
     )
-    place_at = _position(F.col("passes"), F.col("block"), F.col("turn"))
+    place_at = _position(F.col("passes"), F.col("block"), F.col("turn"), n_blocks)
     untaken = (F.col("at") > F.col("broken_at")) | (
         (F.col("at") == F.col("broken_at")) & (F.col("place") > F.col("cut"))
     )
@@ -206,12 +218,12 @@ def mix_plan(described: DataFrame, shards: int, seed: int) -> tuple[DataFrame, D
         "only", F.col("broken").alias("home"),
     )
     draws = whole.unionByName(ended).unionByName(added).withColumn(
-        "position", F.col("epoch").cast("long") * BLOCKS + _position(F.col("epoch"), F.col("home"), F.col("turn"))
+        "position", F.col("epoch").cast("long") * n_blocks + _position(F.col("epoch"), F.col("home"), F.col("turn"), n_blocks)
     )
     draws = saved(draws, "draws")
     # Blocks without documents hold positions as well; the quota counts positions.
     counts = {r["turn"]: r["n"] for r in last.groupBy("turn").agg((F.max("at") + 1).alias("n")).collect()}
-    quotas = np.array([r[4] * BLOCKS + counts.get(r[1], 0) for r in rows], dtype=np.int64)
+    quotas = np.array([r[4] * n_blocks + counts.get(r[1], 0) for r in rows], dtype=np.int64)
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,7 +245,7 @@ def mix_plan(described: DataFrame, shards: int, seed: int) -> tuple[DataFrame, D
     return drawn.select("turn", "source", "block", "epoch", "shard", "cut", "only"), sources
 
 
-def mix_sources(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFrame:
+def mix_sources(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
     """Every document with its source's size and target and ``draws``: the (shard, order, epoch) of
     each time the mix takes it; ``taken`` is its size times their number.
 
@@ -244,7 +256,10 @@ def mix_sources(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFra
     docs = with_copies(docs.select(*kept))
     described = _described(docs, seed)
     light = saved(described, "sizes")
-    drawn, sources = mix_plan(light, shards, seed)
+    words = light.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    blocks = blocks_for(words)
+    block_of = lambda place: F.pmod(place, F.lit(blocks)).cast("int")
+    drawn, sources = mix_plan(light.withColumn("block", block_of(F.col("place"))), shards or shards_for(words), seed, blocks)
     per_block = drawn.groupBy("turn", "block").agg(F.collect_list(F.struct("shard", "epoch", "cut", "only")).alias("plan"))
     place = place_of(seed)
     named = sources.withColumnRenamed("source", "source_name_")
@@ -253,12 +268,12 @@ def mix_sources(docs: DataFrame, shards: int = SHARDS, seed: int = 7) -> DataFra
             *kept,
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             place.alias("place_"),
-            F.pmod(place, F.lit(BLOCKS)).cast("int").alias("block_"),
+            block_of(place).alias("block_"),
         )
         .join(F.broadcast(named), F.col("source").eqNullSafe(F.col("source_name_")))
     )
     plan = per_block.withColumnsRenamed({"turn": "turn_", "block": "block_p"})
-    plan = F.broadcast(plan) if len(sources.head(MAX_SOURCES)) * BLOCKS <= 1 << 17 else plan
+    plan = F.broadcast(plan) if len(sources.head(MAX_SOURCES)) * blocks <= 1 << 17 else plan
     joined = rows.join(plan, (F.col("turn") == F.col("turn_")) & (F.col("block_") == F.col("block_p")), "left")
     mine = F.filter(
         F.coalesce("plan", F.array().cast("array<struct<shard:int,epoch:int,cut:bigint,only:bigint>>")),
