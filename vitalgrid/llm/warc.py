@@ -10,6 +10,10 @@ records, whose HTTP headers keep the payload's length. Payloads shorter than ``l
 stored. Equal payloads are found on digests only; the join back is one Spark can split where a
 payload is very common.
 
+Spark reads archives, but has no writer for such files: tasks write through Arrow's file systems.
+``native_uri`` names a Hadoop path as these do. They take credentials and endpoints from the
+executors' environment; a cluster that keeps them elsewhere gives its own ``open_folder``.
+
 Results: null html is an empty payload. Repeated rows of one page are records each, all of them
 stored if theirs is the largest page_id. A null page_id counts as smaller than any other; a group
 without any page_id is stored throughout. A null url leaves out the target header. An empty table
@@ -21,9 +25,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -45,6 +50,25 @@ DICTIONARY_FRAME = 0x184D2A5D
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
+# Schemes under which Hadoop names stores that Arrow knows by another one.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def native_uri(path: str) -> str:
+    """The folder ``path``, as Spark names it, as a URI of Arrow's file systems."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or not re.fullmatch(r"[A-Za-z][A-Za-z0-9+.-]*", scheme):
+        return f"file://{path}"
+    if scheme == "dbfs":  # executors see it as a mounted folder
+        return "file:///dbfs/" + rest.lstrip("/")
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    return f"{SCHEMES.get(scheme, scheme)}:{rest}"
+
+
+def open_folder(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder and the folder's path in it."""
+    return fs.FileSystem.from_uri(native_uri(path))
 
 
 def base32(digest: bytes) -> str:
@@ -118,8 +142,14 @@ def read_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
-def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
-    """Write ``pages`` (page_id, url, html) to archives below ``folder``; the manifest of files."""
+def write_archives(
+    pages: DataFrame,
+    folder: str,
+    least: int = 0,
+    opened: Callable[[str], tuple[fs.FileSystem, str]] = open_folder,
+) -> DataFrame:
+    """Write ``pages`` (page_id, url, html) to archives below ``folder``; the manifest of files.
+    ``opened`` gives, in a task, the file system of a folder and the folder's path in it."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).select(
         "*", F.sha1("html").alias("sha"), F.octet_length("html").alias("size")
     )
@@ -137,7 +167,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = opened(folder)
         store.create_dir(root, recursive=True)
         waiting, size, files = [], 0, []
 
@@ -221,5 +251,4 @@ def archive_round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     bound_batches(pages.sparkSession)
     spark = pages.sparkSession
     folder = scratch_dir(spark, "warc")
-    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     return read_archives(spark, folder, write_archives(pages, folder, least))
