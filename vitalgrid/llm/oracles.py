@@ -84,7 +84,63 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 FROM r
 """
 
+# A digest's 40 hex digits are eight groups of 20 bits, and each group four letters of base 32.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(hex, {5 * group + 1}, 5) AS INTEGER)"
+    f" >> {shift}) & 31), 1)"
+    for group in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS x, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS stored FROM pages),
+d AS (SELECT page_id, strlen(x) AS size, sha1(x) AS hex, page_id IS NOT DISTINCT FROM stored AS own, stored FROM p)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN own THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN NOT own THEN stored END AS refers_to
+FROM d
+"""
+
+NGRAM_JOIN = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"), r"[^\x20\x09-\x0D]+")} AS w
+  FROM documents
+),
+g AS (
+  SELECT DISTINCT row_id, array_to_string(w[i:i + 3], ' ') AS gram
+  FROM (SELECT row_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+s AS (SELECT row_id, count(*) AS n, sha256(string_agg(gram, chr(10) ORDER BY gram)) AS set_id FROM g GROUP BY row_id),
+u AS (
+  SELECT set_id, any_value(n) AS n, min(row_id) AS row_id, min(doc_id) AS first_id, count(*) AS copies
+  FROM s JOIN d USING (row_id) GROUP BY set_id
+),
+e AS (SELECT u.set_id, u.n, gram FROM u JOIN g USING (row_id)),
+links AS (
+  SELECT a.set_id AS a, b.set_id AS b
+  FROM e a JOIN e b ON a.gram = b.gram AND a.set_id <> b.set_id
+  GROUP BY a.set_id, b.set_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reach(a, b) AS (
+  SELECT set_id, set_id FROM u
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+c AS (SELECT reach.a AS set_id, min(first_id) AS component_id FROM reach JOIN u ON u.set_id = reach.b GROUP BY reach.a),
+k AS (
+  SELECT set_id, any_value(u.copies) - 1 + coalesce(sum(other.copies), 0) AS n_links
+  FROM u LEFT JOIN (SELECT links.a, copies FROM links JOIN u ON u.set_id = links.b) other ON other.a = u.set_id
+  GROUP BY set_id
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       CAST(coalesce(n_links, 0) AS BIGINT) AS n_links
+FROM d LEFT JOIN s USING (row_id) LEFT JOIN c USING (set_id) LEFT JOIN k USING (set_id)
+"""
+
 ORACLES = {
+    "op5_warc": WARC,
+    "op9_ngram_jaccard_join": NGRAM_JOIN,
     "op12_decontamination": DECONTAMINATION,
     "op13_filter_audit": FILTER_AUDIT,
 }
