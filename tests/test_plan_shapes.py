@@ -5,10 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_points
+from vitalgrid.functions.time import shift
 from vitalgrid.operators import ranking
+from vitalgrid.operators.intervals import point_in_interval
 from conftest import rows
 from vitalgrid.plans.graph import MODELS, Tables, item_groups
-from vitalgrid.session import scratch_dir
+from vitalgrid.session import apply_contract, scratch_dir
 from vitalgrid.sources.derived import bronze
 from pyspark.sql import functions as F
 
@@ -93,3 +95,29 @@ def test_parts_hold_what_readers_ask_for(spark, tmp_path):
     other = tables.readings("chartevents", [220277])  # in no part: read from the table itself
     assert other.count() == raw["chartevents"].where("itemid = 220277").count()
     assert item_groups("labevents", ["bg"]) == {}
+
+
+def test_only_measured_sides_are_broadcast(spark, tmp_path):
+    """Intervals in a small file that lists each at ten blocks: no guess broadcasts them."""
+    apply_contract(spark)
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 1000 * 60).cast("timestamp_ntz")
+    spark.range(20000).select((F.col("id") % 50).alias("k"), at.alias("a"), shift("a", days=9).alias("b")).write.parquet(
+        str(tmp_path / "spans")
+    )
+    spark.range(3000).select((F.col("id") % 50).alias("k"), at.alias("t")).write.parquet(str(tmp_path / "points"))
+    spans, points = spark.read.parquet(str(tmp_path / "spans")), spark.read.parquet(str(tmp_path / "points"))
+    met = point_in_interval(points, spans, ["k"], "t", "a", "b")
+    assert "BroadcastHashJoin" not in plan_of(met)
+    inside = (F.col("p.k") == F.col("s.k")) & (F.col("a") <= F.col("t")) & (F.col("t") < F.col("b"))
+    plain = points.alias("p").join(spans.alias("s"), inside, "left")
+    assert met.count() == plain.count()
+
+
+def test_a_side_measured_small_is_broadcast(spark):
+    apply_contract(spark)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    few = spark.range(10).groupBy("id").count()
+    joined = spark.range(100000).join(few, "id")
+    assert joined.count() == 10
+    joined.collect()
+    assert "BroadcastHashJoin" in plan_of(joined)

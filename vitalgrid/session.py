@@ -14,8 +14,8 @@ SEMANTICS = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Plans rely on these: sizes are decided from run-time statistics, a side is broadcast only
-# when Spark measured it below the threshold, and skewed join partitions are always split.
+# Plans rely on these: sizes are decided from run-time statistics, and skewed join partitions are
+# always split.
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,10 +26,29 @@ ADAPTIVE = {
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
+# Below this a side is broadcast: as Spark guesses its size before it runs, and as it measured it.
+GUESSED = "spark.sql.autoBroadcastJoinThreshold"
+MEASURED = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+
+
 def apply_contract(spark: SparkSession) -> SparkSession:
     """Set the run-time settings on a session made elsewhere; sizes and memory stay as they are."""
     for key, value in {**SEMANTICS, **ADAPTIVE}.items():
         spark.conf.set(key, value)
+    return broadcast_as_measured(spark)
+
+
+def broadcast_as_measured(spark: SparkSession) -> SparkSession:
+    """Keep the session's broadcast threshold, but for sides Spark has measured only.
+
+    A guess starts from compressed files and does not see what ``explode`` adds: intervals listed by
+    block were guessed small and took more than the driver holds.
+    """
+    limit = spark.conf.get(GUESSED)
+    if limit.rstrip("b") != "-1":
+        if spark.conf.get(MEASURED, None) is None:
+            spark.conf.set(MEASURED, limit)
+        spark.conf.set(GUESSED, "-1")
     return spark
 
 
@@ -55,7 +74,7 @@ def build_session(
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return broadcast_as_measured(builder.getOrCreate())
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
