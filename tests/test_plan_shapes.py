@@ -8,6 +8,7 @@ import __spark_entry__ as entry_points
 from vitalgrid.functions.time import shift
 from vitalgrid.operators import ranking
 from vitalgrid.operators.intervals import point_in_interval
+from vitalgrid.operators.rolling import TASK_ROWS, trailing_sums, trailing_sums_self_join
 from conftest import rows
 from vitalgrid.plans.graph import MODELS, Tables, item_groups
 from vitalgrid.session import apply_contract, scratch_dir
@@ -121,3 +122,19 @@ def test_a_side_measured_small_is_broadcast(spark):
     assert joined.count() == 10
     joined.collect()
     assert "BroadcastHashJoin" in plan_of(joined)
+
+
+def test_trailing_sums_sort_twice_and_spread_by_rows(spark):
+    """Two sorts above the shuffle, and tasks that grow with the rows, not with Spark's merging."""
+    df = spark.range(1000).select(
+        (F.col("id") % 7).alias("k"), shift(F.lit("2024-01-01").cast("timestamp_ntz"), minutes=F.col("id")).alias("t"), "id"
+    )
+    few = max(spark.sparkContext.defaultParallelism, 1)
+    sums = {n: trailing_sums(df, "k", "t", {"n": "id"}, {"_6": 5}, "_24", rows=n) for n in (1000, 40 * TASK_ROWS)}
+    plan = plan_of(sums[40 * TASK_ROWS])
+    assert plan.split("Exchange")[0].count("Sort [") == 2
+    assert "_block" in plan.split("Exchange hashpartitioning(")[1] and ", 40), REPARTITION_BY_NUM" in plan
+    assert f", {few}), REPARTITION_BY_NUM" in plan_of(sums[1000])
+    plain = trailing_sums_self_join(df, "k", "t", {"n": "id"}, {"_6": 5}, "_24")
+    columns = ["k", "t", "n_24", "n_6"]
+    assert rows(sums[40 * TASK_ROWS], *columns) == rows(plain, *columns)

@@ -308,8 +308,9 @@ def _trailing(s):
     unique = (
         s["events"].groupBy("user_id", "ts").agg(F.sum(F.col("value").cast(MONEY)).alias("value"))
     )
+    rows = s["events"].count()  # from the footers of the files
     return trailing_sums(
-        unique, "user_id", "ts", {"sum": "value"}, {"_6hr": 5, "_12hr": 11}, "_24hr"
+        unique, "user_id", "ts", {"sum": "value"}, {"_6hr": 5, "_12hr": 11}, "_24hr", rows=rows
     )
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from vitalgrid.functions.time import DAY, HOUR, block, micros
 from vitalgrid.operators.chunks import with_halo
 
+TASK_ROWS = 250_000  # rows of a table whose trailing sums one task should take
+
 
 def rolling_max_rows(
     df: DataFrame,
@@ -54,6 +56,7 @@ def trailing_sums(
     full_name: str,
     full_hours: int = 23,
     width: int = DAY,
+    rows: int | None = None,
 ) -> DataFrame:
     """Sums over the key's past, one row per input row.
 
@@ -66,6 +69,10 @@ def trailing_sums(
     hours between, and the end of the hour n hours ago. For the last part each row is also placed
     n hours later, where the rows from t onward in its hour are those that are wanted. Frames that
     grow within an hour, and frames of whole hours, cost time in proportion to the rows.
+
+    One sort serves the first two parts, a second the third. A task holds both in memory, so with
+    ``rows``, at least the number of rows of ``df``, tasks are as many as TASK_ROWS asks for; without
+    it Spark merges partitions by their compressed size.
     """
     if width % HOUR or full_hours < 1:
         raise ValueError("blocks are whole hours, and the full range is one hour at least")
@@ -86,6 +93,8 @@ def trailing_sums(
         .withColumn("_us", F.col("_at") + F.col("_shift"))
         .withColumn("_hour", block(F.col("_us"), HOUR))
     )
+    parts = [] if rows is None else [max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))]
+    placed = placed.repartition(*parts, key, "_block").sortWithinPartitions(key, "_block", "_hour", "_us")
     part = Window.partitionBy(key, "_block")
     this_hour = Window.partitionBy(key, "_block", "_hour")
     upto = this_hour.orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)

@@ -48,6 +48,7 @@ def urine_output_rate(t) -> DataFrame:
         {"urineoutput": "uo", "minutes": "minutes"},
         {"_6hr": 5, "_12hr": 11},
         "_24hr",
+        rows=t.rows(measured),
     )
     for h in ("6hr", "12hr", "24hr"):
         sums = sums.withColumn(f"_hours_{h}", F.col(f"minutes_{h}") / F.lit(60.0))

@@ -163,6 +163,10 @@ class Tables(Mapping):
         """Block width for ordered work on a kept table: measured there, a day for lazy plans."""
         return DAY if self._store is None else width_for(frame, list(keys), t)
 
+    def rows(self, frame: DataFrame) -> int | None:
+        """Rows of a kept table, from the footers of its files; not known for lazy plans."""
+        return None if self._store is None else frame.count()
+
     def narrow(self, name: str, columns: tuple[str, ...]) -> DataFrame:
         """A wide table restricted to some measures; reads only their items if not built yet."""
         if name in self._frames:
