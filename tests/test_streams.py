@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from vitalgrid.operators.bands import first_in_band, first_match, hours_after, h
 from vitalgrid.streaming.alert import STATE_STORE, early_alert, use_rocksdb
 from vitalgrid.plans import scores as batch_scores
 from vitalgrid.streaming import scores
-from vitalgrid.streaming.matching import stream_first_match
+from vitalgrid.streaming.matching import FirstMatch, stream_first_match
 from vitalgrid.streaming.tables import batch_equals_stream, replay_stream, run_to_table, sink_append
 from vitalgrid.streaming.windows import stream_range_join, windowed, with_event_time
 
@@ -250,3 +252,29 @@ def test_running_score_does_not_depend_on_batches(spark):
     alerts = [r for r in found[0] if r[-1]]
     assert alerts and len({r[0] for r in alerts}) == len(alerts)
     assert all(r[-2] >= 8 for r in alerts)
+
+
+def test_first_match_sets_one_timer_for_rows_that_come_together():
+    """Rows that close later leave in time all the same: the timer moves on to the next of them."""
+    hour = 3_600_000_000
+
+    class Cell(list):
+        get = list.__iter__
+        appendList = list.extend
+
+        def put(self, values):
+            self[:] = values
+
+    processor = FirstMatch("k", {"before": (-hour, 0), "after": (0, hour)}, {})
+    processor.left, processor.right, timers = Cell(), Cell(), []
+    processor.handle = SimpleNamespace(registerTimer=timers.append)
+    left = [(0, n, n * hour, 0) for n in (3, 1, 2)]
+    frame = pd.DataFrame([*left, (1, 9, 2 * hour - 1, 0)], columns=["side", "id", "t", "day"])
+    assert list(processor.handleInputRows((7,), iter([frame]), None)) == []
+    assert timers == [2 * 3_600_000]
+    found = []
+    while timers:
+        now = timers.pop()
+        for out in processor.handleExpiredTimer((7,), SimpleNamespace(getCurrentWatermarkInMs=lambda: now), None):
+            found += [(now // 3_600_000, *map(int, r[:2]), *[None if pd.isna(x) else x for x in r[2:]]) for r in out.itertuples(index=False)]
+    assert found == [(2, 7, 1, None, 9), (3, 7, 2, 9, None), (4, 7, 3, None, None)]

@@ -25,7 +25,8 @@ class FirstMatch(StatefulProcessor):
     """State of one key: left rows (id, t) and right rows (id, t or none, day), times in microseconds.
 
     Both are lists of what lies within the bands' reach of the watermark, whatever the stream's
-    length. Timers stand at the close of the left rows.
+    length. A timer stands at the earliest close of the left rows that came together or wait on: when
+    it fires, all that are closed leave at once, so timers cost a call per key and not one per row.
     """
 
     def __init__(
@@ -47,6 +48,10 @@ class FirstMatch(StatefulProcessor):
         days = [(t // DAY + last) * DAY + 1 for _, last in self.date_bands.values()]
         return max([by_time, *days])
 
+    def timer(self, left: list) -> int:
+        """The millisecond at which the first of some left rows is closed."""
+        return min(-(-self.closes(t) // 1000) for _, t in left)
+
     def reach(self, t: int, day: int) -> int:
         """The latest left time that can match a right row."""
         if t != NEVER:
@@ -54,20 +59,21 @@ class FirstMatch(StatefulProcessor):
         return max(((day - first + 1) * DAY for first, _ in self.date_bands.values()), default=0)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        timers = set()
+        soonest = None
         for frame in rows:
             left = frame[frame["side"] == 0]
             right = frame[frame["side"] == 1]
             if len(left):
                 pairs = [(int(i), int(t)) for i, t in zip(left["id"], left["t"])]
                 self.left.appendList(pairs)
-                timers |= {-(-self.closes(t) // 1000) for _, t in pairs}
+                first = self.timer(pairs)
+                soonest = first if soonest is None else min(soonest, first)
             if len(right):
                 known = right["t"].notna()
                 times = right["t"].where(known, NEVER).astype("int64")
                 self.right.appendList([tuple(map(int, r)) for r in zip(right["id"], times, right["day"])])
-        for timer in timers:
-            self.handle.registerTimer(timer)
+        if soonest is not None:
+            self.handle.registerTimer(soonest)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -86,6 +92,8 @@ class FirstMatch(StatefulProcessor):
         waiting = [r for r in left if self.closes(r[1]) > now]
         oldest = min([now, *(r[1] for r in waiting)])
         self.left.put(waiting) if waiting else self.left.clear()
+        if waiting:
+            self.handle.registerTimer(self.timer(waiting))
         kept = [r for r in rights if self.reach(r[1], r[2]) >= oldest]
         self.right.put(kept) if kept else self.right.clear()
 
