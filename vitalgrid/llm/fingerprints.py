@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.llm.common import SLICE_BYTES, bit_filter, bound_batches, components, has_bit, saved, text_slices
-from vitalgrid.llm.ngram_join import BROADCAST_ROWS, join_clusters, sid_column
+from vitalgrid.llm.ngram_join import BROADCAST_ROWS, join_clusters, join_placed, placements, sid_column
 from vitalgrid.llm.shingles import distinct_per_row, mix, set_hash, words_of
 
 SHINGLE = 5
@@ -237,9 +237,11 @@ def banded_classes(
 
 
 def candidate_clusters(sets: DataFrame) -> DataFrame:
-    """(id, component) of the sets (sid, bands) that share a band hash with another one."""
-    band = sets.select("sid", F.explode("bands").alias("band"))
-    hub = band.groupBy("band").agg(F.min("sid").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    """(id, component) of the sets (sid, bands) that share a band hash with another one; a set may
+    stand in several rows. Inside, sets go by 64 bits of their sid."""
+    tagged = sets.select("sid", F.xxhash64("sid").alias("tag"), "bands")
+    band = tagged.select("tag", F.explode("bands").alias("band"))
+    hub = band.groupBy("band").agg(F.min("tag").alias("a"), F.max("tag").alias("z")).where("a <> z")
     hub = saved(hub.select("band", "a"), "hubs")
     shared = bit_filter(hub.select("band"))
 
@@ -249,14 +251,19 @@ def candidate_clusters(sets: DataFrame) -> DataFrame:
             value = lists.flatten().to_numpy()
             row = np.repeat(np.arange(len(lists)), pa.compute.list_value_length(lists).to_numpy())
             keep = has_bit(shared.value, value)
+            at = pa.array(row[keep])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("sid").take(pa.array(row[keep])), pa.array(value[keep])], names=["sid", "band"]
+                [batch.column("sid").take(at), batch.column("tag").take(at), pa.array(value[keep])],
+                names=["sid", "tag", "band"],
             )
 
     # Few bands have a second set: only those that may are shuffled again.
-    again = sets.select("sid", "bands").mapInArrow(colliding, "sid binary, band long")
-    near = again.join(hub, "band").where("a <> sid").select("a", F.col("sid").alias("b")).distinct()
-    return components(near)
+    again = tagged.mapInArrow(colliding, "sid binary, tag long, band long")
+    near = saved(again.join(hub, "band").select("a", "tag", "sid").distinct(), "near")
+    found = components(near.where("a <> tag").selectExpr("a", "tag AS b"))
+    return near.select("tag", "sid").distinct().join(found.withColumnRenamed("id", "tag"), "tag").select(
+        F.col("sid").alias("id"), "component"
+    )
 
 
 def near_duplicate_classes(
@@ -308,14 +315,17 @@ def _classes(docs: DataFrame, percent: int, size: int, n: int, recall: float) ->
         ),
         "distinct",
     )
-    whole = light.where("n > 0").select("sid", "bands").dropDuplicates(["sid"])
-    clusters = saved(candidate_clusters(saved(whole, "bands")), "clusters")
-    open_sets = saved(heads.join(clusters.selectExpr("id AS sid"), "sid", "left_semi"), "open")
+    clusters = saved(candidate_clusters(light.where("n > 0")), "clusters")
+    # Sets learn their place before their shingles are read, which then move once.
+    placed = placements(heads.select("sid", F.col("n").alias("size")), clusters)
+    open_sets = saved(heads.join(placed, "sid"), "open")
+    n_open = open_sets.count()
     # A text is fetched by id and digest: rows without an id meet their own text only.
-    wanted = open_sets.select("at.*", F.col("sid").alias("want"), "n", "copies").withColumnsRenamed(
+    carried = ["n", "copies", "cluster", "blocks"]
+    wanted = open_sets.select("at.*", F.col("sid").alias("want"), *carried).withColumnsRenamed(
         {"doc_id": "want_doc", "digest": "want_digest"}
     )
-    if open_sets.count() <= BROADCAST_ROWS:
+    if n_open <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     same = F.col("doc_id").eqNullSafe(F.col("want_doc")) & (F.xxhash64("text") == F.col("want_digest"))
     texts = docs.select("doc_id", "text").join(wanted, same)
@@ -328,20 +338,21 @@ def _classes(docs: DataFrame, percent: int, size: int, n: int, recall: float) ->
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([want[i] for i in keep], pa.binary()),
-                    batch.column("n").take(pa.array(keep, pa.int64())),
-                    batch.column("copies").take(pa.array(keep, pa.int64())),
+                    *(batch.column(c).take(pa.array(keep, pa.int64())) for c in carried),
                     pa.array([grams[offsets[i] : offsets[i + 1]].tobytes() for i in keep], pa.binary()),
                 ],
-                names=["sid", "n", "copies", "grams"],
+                names=["sid", *carried, "grams"],
             )
 
     # A text that stands in the table once gives its set once; only sets of repeated rows are put together.
     full = [
-        texts.where(times).select("want", "text", "n", "copies").mapInArrow(sets_of, "sid binary, n long, copies long, grams binary")
+        texts.where(times)
+        .select("want", "text", *carried)
+        .mapInArrow(sets_of, "sid binary, n long, copies long, cluster long, blocks long, grams binary")
         for times in ("rows = 1", "rows > 1")
     ]
-    sets = saved(full[0].unionByName(full[1].dropDuplicates(["sid"])), "full")
-    classes = components(join_clusters(sets, clusters, percent).select("a", "b"))
+    sets = full[0].unionByName(full[1].dropDuplicates(["sid"]))
+    classes = components(join_placed(sets, n_open, percent).select("a", "b"))
     linked = classes.selectExpr("id AS sid", "component").join(heads.select("sid", "first_id"), "sid")
     first = linked.groupBy("component").agg(F.min("first_id").alias("class_id"))
     keyed = heads.join(linked.select("sid", "component").join(first, "component"), "sid", "left").select(

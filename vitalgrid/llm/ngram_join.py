@@ -318,9 +318,7 @@ def _join_blocks(percent: int) -> Callable[[pa.Table], pa.Table]:
         n = rows.column("n").to_numpy()
         copies = rows.column("copies").to_numpy()
         grams = [np.frombuffer(g, np.uint64) for g in rows.column("grams").to_pylist()]
-        keys = np.unique(
-            _sids(rows.column("cluster")), return_inverse=True
-        )[1]
+        keys = rows.column("cluster").to_numpy()
         low, high, own = (rows.column(k).to_numpy() for k in ("low", "high", "block"))
         order = np.lexsort((sids["b"], sids["a"], own, high, low, keys))
         cuts = np.flatnonzero(
@@ -509,22 +507,32 @@ def _links(docs: DataFrame, open_sets: DataFrame, size: int, percent: int) -> Da
     )
 
 
+def placements(sets: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(sid, cluster, blocks) of the sets (sid, size) that stand in one of ``clusters`` (id, component):
+    how many blocks a cluster of so many sets and grams is cut into. Only narrow rows are moved. Clusters
+    go by 64 bits; two of equal bits are joined as one, which adds no link."""
+    placed = sets.join(clusters.selectExpr("id AS sid", "xxhash64(component) AS cluster"), "sid")
+    weight = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_GRAMS))
+    return placed.select("sid", "cluster").join(placed.groupBy("cluster").agg(weight.alias("blocks")), "cluster")
+
+
 def join_clusters(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
-    """All links between sets (sid, n, copies, grams) of one cluster (id, component), as a stored
-    table: (a, b) spans what each task found, ``links`` adds up to the links of set b.
+    """join_placed for sets (sid, n, copies, grams) that do not know their cluster (id, component) yet."""
+    sized = sets.select("sid", (F.length("grams") / 8).alias("size"))
+    placed = saved(placements(sized, clusters), "placed")
+    return join_placed(sets.join(placed, "sid"), placed.count(), percent)
+
+
+def join_placed(sets: DataFrame, count: int, percent: int) -> DataFrame:
+    """All links between the ``count`` sets (sid, n, copies, grams, cluster, blocks) of one cluster, as a
+    stored table: (a, b) spans what each task found, ``links`` adds up to the links of set b.
 
     A large cluster is cut into blocks, and each pair of blocks is a group of its own; small
     clusters share groups. What meets in a group is bounded by the block size.
     """
-    placed = sets.join(clusters.selectExpr("id AS sid", "component AS cluster"), "sid")
-    weight = F.greatest(
-        F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum(F.length("grams")) / (8 * BLOCK_GRAMS))
-    )
-    sizes = placed.groupBy("cluster").agg(weight.alias("blocks"))
-    bins = max(64, clusters.count() // BIN_SETS)
+    bins = max(64, count // BIN_SETS)
     dealt = (
-        placed.join(sizes, "cluster")
-        .withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
+        sets.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
