@@ -12,7 +12,7 @@ The largest inner product becomes the smallest distance by one more component: v
 extended by sqrt(M^2 - |x|^2), M the largest norm, and queries by 0.
 
 Blocks of vectors meet blocks of queries; each such cell returns the k best of its block for each
-query, and the best of all blocks are kept.
+query, and the best of all blocks are kept. Inside a cell ``TOGETHER`` queries share each round.
 
 Results: vectors that are null, of zero length, or hold null, NaN or infinite components take no
 part, neither as query nor as candidate. Vectors of another length than the most common one of the
@@ -36,7 +36,9 @@ START = 0.35
 CERTAINTY = 1.0
 SEED = 20
 BLOCK = 8192
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 16384
+TOGETHER = 64  # queries that go through the rounds side by side
+ROUNDING = 1e-9
 
 
 def directions(dim: int) -> np.ndarray:
@@ -54,48 +56,72 @@ class Block:
         extended = np.hstack([self.vectors, np.sqrt(gap)[:, None]])
         self.largest = largest
         projected = extended @ self.lines
-        self.order = np.argsort(projected, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(projected, self.order, axis=0).T.copy()
-        self.order = self.order.T.astype(np.int32).copy()
-
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and inner products of the k best found, ties to the smaller id."""
+        order = np.argsort(projected, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(projected, order, axis=0).T.copy()
+        # Place of each vector on each line: it lies in a window if its place does.
+        places = np.arange(len(order)).astype(np.uint16 if len(order) < 1 << 16 else np.uint32)
+        self.place = np.empty(self.sorted.shape, places.dtype)
+        for j, line in enumerate(order.T):
+            self.place[j, line] = places
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the positions and inner products of the k best found, ties to the smaller id.
+
+        The queries go from round to round together, so that windows are found per line for all of them;
+        collisions are counted by comparing places, with no copy of what lies inside the windows.
+        """
         n, lines = len(self.ids), len(self.sorted)
-        at = query @ self.lines[:-1]
-        count = np.zeros(n, np.int16)
-        seen = np.zeros(n, bool)
-        low = np.array([np.searchsorted(s, x) for s, x in zip(self.sorted, at, strict=True)])
-        high = low.copy()
+        at = queries @ self.lines[:-1]
         need = int(np.ceil(THRESHOLD * lines))
-        norm2 = float(query @ query)
-        best, score = np.zeros(0, np.int64), np.zeros(0)
+        norm2 = (queries**2).sum(axis=1)
+        seen = np.zeros((len(queries), n), bool)
+        best = [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        offset, inside = np.empty_like(self.place), np.empty(self.place.shape, bool)
+        going = np.arange(len(queries))
         radius = START * self.largest
-        while True:
-            fresh = []
-            for j in range(lines):
-                lo = np.searchsorted(self.sorted[j], at[j] - radius)
-                hi = np.searchsorted(self.sorted[j], at[j] + radius, side="right")
-                fresh += [self.order[j, lo : low[j]], self.order[j, high[j] : hi]]
-                low[j], high[j] = min(lo, low[j]), max(hi, high[j])
-            count += np.bincount(np.concatenate(fresh), minlength=n).astype(np.int16)
-            whole = (low == 0).all() and (high == n).all()
-            reached = np.flatnonzero((whole | (count >= need)) & ~seen)
-            seen[reached] = True
-            reached = reached[self.ids[reached] != query_id]
-            if len(reached):
-                found = self.vectors[reached] @ query
-                best = np.concatenate([best, reached])
-                score = np.concatenate([score, found])
-                keep = np.lexsort((self.ids[best], -score))[:k]
-                best, score = best[keep], score[keep]
-            if whole:
-                return best, score
-            if len(best) == k:
+        while len(going):
+            ends = [(at[going] - radius).T, (at[going] + radius).T]
+            low = np.array([np.searchsorted(s, x) for s, x in zip(self.sorted, ends[0], strict=True)])
+            high = np.array([np.searchsorted(s, x, side="right") for s, x in zip(self.sorted, ends[1], strict=True)])
+            whole = (low == 0).all(axis=0) & (high == n).all(axis=0)
+            first, width = low.astype(self.place.dtype), (high - low).astype(self.place.dtype)
+            left = []
+            for i, q in enumerate(going):
+                if whole[i]:
+                    fresh = np.flatnonzero(~seen[q])
+                else:
+                    # Unsigned: a place before the window wraps around to beyond its width.
+                    np.subtract(self.place, first[:, i, None], out=offset)
+                    np.less(offset, width[:, i, None], out=inside)
+                    count = inside.view(np.uint8).sum(axis=0, dtype=np.uint8)
+                    fresh = np.flatnonzero((count >= need) & ~seen[q])
+                seen[q, fresh] = True
+                fresh = fresh[self.ids[fresh] != query_ids[q]]
+                if len(fresh):
+                    best[q] = self.better(best[q], fresh, queries[q], k)
+                score = best[q][1]
                 # |q - x|^2 of the extended vectors, at the k-th best.
-                distance = np.sqrt(max(norm2 + self.largest**2 - 2 * score[-1], 0.0))
-                if distance * CERTAINTY <= radius:
-                    return best, score
+                near = len(score) == k and max(norm2[q] + self.largest**2 - 2 * score[-1], 0.0) ** 0.5 * CERTAINTY <= radius
+                if not (whole[i] or near):
+                    left.append(q)
+            going = np.array(left, np.int64)
             radius *= GROWTH
+        return best
+
+    def better(
+        self, best: tuple[np.ndarray, np.ndarray], fresh: np.ndarray, query: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of those found before and the fresh ones, by the exact measure."""
+        score = np.take(self.vectors, fresh, axis=0) @ query
+        if len(fresh) > k:
+            # A product of matrices may round equal rows differently; rows this near are measured alike below.
+            slack = ROUNDING * self.largest * np.sqrt(query @ query)
+            near = score >= np.partition(score, len(score) - k)[len(score) - k] - slack
+            fresh = fresh[near]
+        found = np.concatenate([best[0], fresh])
+        score = np.concatenate([best[1], (self.vectors[fresh] * query).sum(axis=1)])
+        keep = np.lexsort((self.ids[found], -score))[:k]
+        return found[keep], score[keep]
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -147,11 +173,13 @@ def nearest_by_inner_product(
             ids = left.column("vec_id").to_numpy()
             index = Block(ids, _matrix(left.column("embedding").combine_chunks(), dim), largest)
             wanted = _matrix(right.column("embedding").combine_chunks(), dim)
-            for query_id, query in zip(right.column("vec_id").to_numpy(), wanted, strict=True):
-                best, score = index.search(query_id, query, k)
-                out[0].append(np.full(len(best), query_id))
-                out[1].append(index.ids[best])
-                out[2].append(score)
+            asking = right.column("vec_id").to_numpy()
+            for i in range(0, len(wanted), TOGETHER):
+                these = asking[i : i + TOGETHER]
+                for query_id, (best, score) in zip(these, index.search(these, wanted[i : i + TOGETHER], k), strict=True):
+                    out[0].append(np.full(len(best), query_id))
+                    out[1].append(index.ids[best])
+                    out[2].append(score)
         joined = [np.concatenate(x) if x else np.zeros(0) for x in out]
         return pa.table(
             {
