@@ -11,7 +11,9 @@ from vitalgrid.operators.intervals import point_in_interval
 from vitalgrid.operators.rolling import TASK_ROWS, trailing_sums, trailing_sums_self_join
 from conftest import rows
 from vitalgrid.plans.graph import MODELS, Tables, item_groups
-from vitalgrid.session import apply_contract, scratch_dir
+from vitalgrid.catalog.models import tables_for
+from vitalgrid.catalog.registry import Source
+from vitalgrid.session import MANY_SIDES, MEASURED, apply_contract, bytes_of, scratch_dir
 from vitalgrid.sources.derived import bronze
 from pyspark.sql import functions as F
 
@@ -138,3 +140,28 @@ def test_trailing_sums_sort_twice_and_spread_by_rows(spark):
     plain = trailing_sums_self_join(df, "k", "t", {"n": "id"}, {"_6": 5}, "_24")
     columns = ["k", "t", "n_24", "n_6"]
     assert rows(sums[40 * TASK_ROWS], *columns) == rows(plain, *columns)
+
+
+def test_models_broadcast_small_sides_only(spark):
+    """A side of 1.6 MB, below the session's threshold: a plan of the models does not broadcast it, a
+    query that follows does."""
+
+    def joined():
+        side = spark.range(100000).groupBy("id").count()
+        both = spark.range(200000).join(side, "id")
+        assert both.count() == 100000
+        both.collect()
+        return plan_of(both)
+
+    own = bytes_of(spark.conf.get(MEASURED))
+    tables_for(Source(spark, SF), "icustay_hourly")
+    assert bytes_of(spark.conf.get(MEASURED)) == MANY_SIDES < own
+    assert "BroadcastHashJoin" not in joined()
+    Source(spark, SF)
+    assert bytes_of(spark.conf.get(MEASURED)) == own
+    assert "BroadcastHashJoin" in joined()
+
+
+@pytest.mark.parametrize("text, size", [("10485760b", 10 << 20), ("256k", 256 << 10), ("10MB", 10 << 20), ("-1", -1), ("7", 7)])
+def test_sizes_as_settings_write_them(text, size):
+    assert bytes_of(text) == size

@@ -8,12 +8,16 @@ from vitalgrid.catalog.models_sql import model_sql
 from vitalgrid.catalog.registry import Source, query
 from vitalgrid.operators import cohort
 from vitalgrid.plans.graph import MODELS, Tables
-from vitalgrid.session import scratch_dir
+from vitalgrid.session import scratch_dir, small_broadcasts
 from vitalgrid.sources.derived import bronze
 
 
 def tables_for(s: Source, name: str) -> Tables:
-    """Everything a model needs; shared tables below it are written to scratch space."""
+    """Everything a model needs; shared tables below it are written to scratch space.
+
+    The session keeps small broadcasts for the plan that reads them, until the next ``Source``.
+    """
+    small_broadcasts(s.spark)
     tables = Tables(bronze(s["events"]), scratch_dir(s.spark, name))
     tables.prepare(name)
     return tables

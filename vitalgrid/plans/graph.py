@@ -14,7 +14,7 @@ from vitalgrid.functions.time import DAY
 from vitalgrid.operators.chunks import width_for
 from vitalgrid.operators.pivot import codes_of
 from vitalgrid.plans import charted, fluids, infection, items, labs, respiratory, scores, stays
-from vitalgrid.session import scratch_dir
+from vitalgrid.session import own_broadcasts, scratch_dir, small_broadcasts
 
 # name -> (plan, tables it reads)
 MODELS: dict[str, tuple[Callable, tuple[str, ...]]] = {
@@ -280,6 +280,7 @@ def build_models(
 
     frames = dict(bronze)
     order = build_order(names)
+    small_broadcasts(spark)
     # Every model is built here, vital signs too, and the scores read them from their table.
     parted = Tables(bronze, scratch_dir(spark, "build_parts")).part(set(order) - {"sofa"})
 
@@ -289,5 +290,8 @@ def build_models(
         rows = with_comments(rows, (comments or {}).get(name, {}))
         frames[name] = replace_table(spark, rows, database, name)
 
-    side_by_side(order, build, workers)
+    try:
+        side_by_side(order, build, workers)
+    finally:
+        own_broadcasts(spark)
     return {name: frames[name] for name in order}

@@ -30,12 +30,16 @@ SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 GUESSED = "spark.sql.autoBroadcastJoinThreshold"
 MEASURED = "spark.sql.adaptive.autoBroadcastJoinThreshold"
 
+# The same for plans that join many sides at once, and the session's own limit while this one is set.
+MANY_SIDES = 1024 * 1024
+OWN = "spark.vitalgrid.ownBroadcastThreshold"
+
 
 def apply_contract(spark: SparkSession) -> SparkSession:
     """Set the run-time settings on a session made elsewhere; sizes and memory stay as they are."""
     for key, value in {**SEMANTICS, **ADAPTIVE}.items():
         spark.conf.set(key, value)
-    return broadcast_as_measured(spark)
+    return own_broadcasts(broadcast_as_measured(spark))
 
 
 def broadcast_as_measured(spark: SparkSession) -> SparkSession:
@@ -52,6 +56,35 @@ def broadcast_as_measured(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_broadcasts(spark: SparkSession) -> SparkSession:
+    """Lower the session's broadcast threshold to MANY_SIDES until ``own_broadcasts`` is called.
+
+    The driver collects, builds and serves every broadcast side, and a plan of many joins does so for
+    several at once: each side may be below the threshold and their sum beyond the driver.
+    """
+    broadcast_as_measured(spark)
+    own = spark.conf.get(MEASURED, None)
+    if own is not None and bytes_of(own) > MANY_SIDES:
+        spark.conf.set(OWN, own)
+        spark.conf.set(MEASURED, f"{MANY_SIDES}b")
+    return spark
+
+
+def own_broadcasts(spark: SparkSession) -> SparkSession:
+    """Give a session its own broadcast threshold back."""
+    own = spark.conf.get(OWN, None)
+    if own is not None:
+        spark.conf.set(MEASURED, own)
+        spark.conf.unset(OWN)
+    return spark
+
+
+def bytes_of(size: str) -> int:
+    """A size as Spark's settings write it: 10485760b, 256k, 10MB."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
     """Partitions that keep one shuffle task near 128 MB, never fewer than the cores."""
     return max(cores, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
