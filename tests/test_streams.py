@@ -278,3 +278,92 @@ def test_first_match_sets_one_timer_for_rows_that_come_together():
         for out in processor.handleExpiredTimer((7,), SimpleNamespace(getCurrentWatermarkInMs=lambda: now), None):
             found += [(now // 3_600_000, *map(int, r[:2]), *[None if pd.isna(x) else x for x in r[2:]]) for r in out.itertuples(index=False)]
     assert found == [(2, 7, 1, None, 9), (3, 7, 2, 9, None), (4, 7, 3, None, None)]
+
+
+class Stored(list):
+    """A list state or a value state that counts what is written to it."""
+
+    written = 0
+
+    def appendValue(self, value):
+        self.written += 1
+        self.append(value)
+
+    def appendList(self, values):
+        self.written += len(values)
+        self.extend(values)
+
+    def put(self, values):
+        self.written += len(values)
+        self[:] = values
+
+    def update(self, value):
+        self.written += 1
+        self[:] = [value]
+
+    def exists(self):
+        return bool(self)
+
+
+class StoredList(Stored):
+    get = list.__iter__
+
+
+class StoredValue(Stored):
+    def get(self):
+        return self[0] if self else None
+
+
+def scored_alone(frames, watermarks, **options):
+    """A stay's rows and what its state took: ``frames`` arrive one by one, a timer after each."""
+    states, timers = [], []
+
+    def state(kind):
+        return lambda *_: states.append(kind()) or states[-1]
+
+    processor = scores.RunningScore("k", 5, **options)
+    processor.init(SimpleNamespace(getListState=state(StoredList), getValueState=state(StoredValue), registerTimer=timers.append))
+    out = []
+    for frame, now in zip(frames, watermarks, strict=True):
+        assert list(processor.handleInputRows((7,), iter([frame]), None)) == []
+        if min(timers) <= now:
+            timers.clear()
+            time = SimpleNamespace(getCurrentWatermarkInMs=lambda now=now: now)
+            for rows_ in processor.handleExpiredTimer((7,), time, None):
+                out += list(rows_.itertuples(index=False, name=None))
+    return out, sum(s.written for s in states)
+
+
+def one_stay(spark, n: int):
+    names = ["kind", "phase", "id", "t", "value"]
+    events = [e for e in score_events(spark, 5) if e[0] == 1]
+    frame = pd.DataFrame([e[1:6] for e in events for _ in range(n)], columns=names)
+    return [frame.iloc[: len(frame) // 2], frame.iloc[len(frame) // 2 :]], [int(frame["t"].iloc[len(frame) // 2 - 1]) // 1000, int(frame["t"].max()) // 1000]
+
+
+def test_running_score_state_does_not_grow_with_calls(spark):
+    """Events are stored packed: what the state is called for does not depend on their number."""
+    few, many = scored_alone(*one_stay(spark, 1)), scored_alone(*one_stay(spark, 50))
+    assert few[0] == many[0] and len(few[0]) == 61
+    assert few[1] == many[1] <= 6
+
+
+def test_running_score_in_pieces(spark, monkeypatch):
+    whole, _ = scored_alone(*one_stay(spark, 1))
+    monkeypatch.setattr(scores, "PIECE", 7)
+    assert scored_alone(*one_stay(spark, 1))[0] == whole
+    alerts, _ = scored_alone(*one_stay(spark, 1), alerts_only=True)
+    assert alerts == [r for r in whole if r[-1] >> scores.BITS * 6] and len(alerts) == 1
+
+
+def test_points_of_nan_agree_with_the_batch_columns(spark):
+    """NaN is Spark's largest value; points of a stream and of a batch take it alike."""
+    names = ["pao2fio2ratio_vent", "pao2fio2ratio_novent", "rate_epinephrine", "rate_norepinephrine", "rate_dopamine",
+             "rate_dobutamine", "meanbp_min", "gcs_min", "uo_24hr", "bilirubin_max", "creatinine_max", "platelet_min"]
+    data = [[float("nan") if i == j else None for i in range(len(names))] for j in range(len(names))]
+    df = spark.createDataFrame(data, ", ".join(f"{n} double" for n in names))
+    columns = [F.coalesce(points, F.lit(0)).alias(o) for o, points in batch_scores.organ_points().items()]
+    for row, values in zip(df.select(*columns).collect(), data, strict=True):
+        v = {n: x for n, x in zip(names, values, strict=True) if x is not None}
+        v |= {short: v[n] for short, n in (("vent", names[0]), ("novent", names[1])) if n in v}
+        assert tuple(row) == scores.organ_points(v), v

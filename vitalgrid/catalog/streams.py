@@ -272,7 +272,7 @@ from sofa where endtime < {CLOSED} and sofa_24hours >= 9 group by stay_id""",
 def _(s):
     """One alert for each stay, at the first closed hour that reaches nine points."""
     use_rocksdb(s.spark)
-    scored = scores.running_score(score_streams(s), "stay_id", "2 hours", threshold=9)
+    scored = scores.running_score(score_streams(s), "stay_id", "2 hours", threshold=9, alerts_only=True)
     alerts = scored.where("alert").select("stay_id", F.col("endtime").alias("alert_time"), F.col("sofa_24hours").alias("score"))
     return ntz_columns(run_to_table(alerts, scratch_dir(s.spark, "score_alert")))
 

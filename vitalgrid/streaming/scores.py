@@ -8,8 +8,11 @@ open interval covers the hour whether or not its end is known.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from functools import reduce
+from operator import add
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,75 +35,91 @@ SAMPLE, VENTILATED, STAY = "pao2fio2ratio", "ventilated", "stay"
 KINDS = (*LOWEST, *HIGHEST, SAMPLE, *RATES, VENTILATED, STAY)
 
 
-def _below(value: float | None, steps) -> int:
-    return 0 if value is None else max([points for limit, points in steps if value < limit], default=0)
+EVENT = np.dtype([("kind", "<i4"), ("phase", "<i4"), ("id", "<i8"), ("t", "<i8"), ("value", "<f8")])
+PIECE = 20_000  # hours of one stay scored at once
+BITS = 3  # of a packed row for each organ, whose points are 0 to 4
 
 
-def _from(value: float | None, steps) -> int:
-    return 0 if value is None else max([points for limit, points in steps if value >= limit], default=0)
+def _below(value: np.ndarray, steps) -> np.ndarray:
+    return np.max([np.where(value < limit, points, 0) for limit, points in steps], axis=0)
+
+
+def _from(value: np.ndarray, steps) -> np.ndarray:
+    # Written so that NaN counts as the largest value, as it does in Spark.
+    return np.max([np.where(~(value < limit), points, 0) for limit, points in steps], axis=0)
+
+
+def _missing(name: str) -> float:
+    """What an hour without a value holds: nothing is above a lowest value or below a highest one."""
+    return np.inf if name in (*LOWEST, "vent", "novent") else -np.inf
+
+
+def hourly_points(v: Mapping[str, np.ndarray]) -> np.ndarray:
+    """Points of many hours, a row for each organ in the order of ORGANS; hours without a value of a
+    kind hold ``_missing`` of it."""
+    dopa, dobu, gcs, urine = v["rate_dopamine"], v["rate_dobutamine"], v["gcs_min"], v["uo_24hr"]
+    pressors = [v["rate_epinephrine"], v["rate_norepinephrine"]]
+    strong = ~(dopa <= 15) | ~(pressors[0] <= 0.1) | ~(pressors[1] <= 0.1)
+    medium = ~(dopa <= 5) | ~np.isneginf(pressors[0]) | ~np.isneginf(pressors[1])
+    weak = ~(dopa <= 0) | ~(dobu <= 0)
+    heart = np.select([strong, medium, weak, v["meanbp_min"] < items.MAP_LOW], [4, 3, 2, 1], 0)
+    nerves = np.max([np.where((low <= gcs) & (gcs <= high), points, 0) for low, high, points in items.CNS], axis=0)
+    little = _below(np.where(np.isneginf(urine), np.inf, urine), items.URINE_24H)
+    return np.stack(
+        [
+            np.maximum(_below(v["vent"], items.RESPIRATION_VENT), _below(v["novent"], items.RESPIRATION_NOVENT)),
+            _below(v["platelet_min"], items.COAGULATION),
+            _from(v["bilirubin_max"], items.LIVER),
+            heart,
+            np.where(gcs < items.CNS_DEEP, 4, nerves),
+            np.maximum(_from(v["creatinine_max"], items.CREATININE), little),
+        ]
+    ).astype("int8")
+
+
+VALUES = (*LOWEST, *HIGHEST, *RATES, "vent", "novent")
 
 
 def organ_points(v: Mapping[str, float]) -> tuple[int, ...]:
     """Points of one hour in the order of ORGANS; a value that was not measured gives none."""
-    get = v.get
-    gcs = get("gcs_min")
-    dopa, dobu = get("rate_dopamine"), get("rate_dobutamine")
-    pressors = [x for x in (get("rate_epinephrine"), get("rate_norepinephrine")) if x is not None]
-    heart = 0
-    if (dopa or 0) > 15 or any(x > 0.1 for x in pressors):
-        heart = 4
-    elif (dopa or 0) > 5 or pressors:
-        heart = 3
-    elif (dopa or 0) > 0 or (dobu or 0) > 0:
-        heart = 2
-    elif get("meanbp_min") is not None and v["meanbp_min"] < items.MAP_LOW:
-        heart = 1
-    nerves = 0
-    if gcs is not None:
-        bands = [points for low, high, points in items.CNS if low <= gcs <= high]
-        nerves = 4 if gcs < items.CNS_DEEP else max(bands, default=0)
-    return (
-        max(_below(get("vent"), items.RESPIRATION_VENT), _below(get("novent"), items.RESPIRATION_NOVENT)),
-        _below(get("platelet_min"), items.COAGULATION),
-        _from(get("bilirubin_max"), items.LIVER),
-        heart,
-        nerves,
-        max(_from(get("creatinine_max"), items.CREATININE), _below(get("uo_24hr"), items.URINE_24H)),
-    )
+    hour = {name: np.array([v.get(name, _missing(name))], dtype="float64") for name in VALUES}
+    return tuple(hourly_points(hour)[:, 0].tolist())
+
+
+def _within(t: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which times lie in one of some intervals, limits included."""
+    if not len(begins):
+        return np.zeros(len(t), dtype=bool)
+    order = np.argsort(begins)
+    reach = np.maximum.accumulate(ends[order])
+    at = np.searchsorted(begins[order], t, side="right") - 1
+    return (at >= 0) & (reach[at] >= t)
 
 
 class RunningScore(StatefulProcessor):
-    """One stay. Times are microseconds; intervals are known by the id their two events share."""
+    """One stay. Times are microseconds; intervals are known by the id their two events share.
+
+    State is a few packed arrays and not a row for each event: what came since the last timer is
+    appended unread, and what is still open is written again when a timer fires. All hours that are
+    closed then are scored together.
+    """
 
-    def __init__(self, key: str, threshold: int):
-        self.key, self.threshold = key, threshold
+    def __init__(self, key: str, threshold: int, alerts_only: bool = False):
+        self.key, self.threshold, self.alerts_only = key, threshold, alerts_only
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.readings = handle.getListState("readings", "kind int, t bigint, value double")
-        self.intervals = handle.getListState("intervals", "kind int, id bigint, begin bigint, end bigint, value double")
-        self.ring = handle.getListState("ring", "end bigint, " + ", ".join(f"{o} int" for o in ORGANS))
-        self.progress = handle.getValueState("progress", "next bigint, origin bigint, alerted boolean")
+        self.arrived = handle.getListState("arrived", "events binary")
+        self.kept = handle.getValueState("kept", "next bigint, alerted boolean, readings binary, spans binary, ring binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = {(k, i): [b, e, v] for k, i, b, e, v in self.intervals.get()}
         earliest = OPEN
         for frame in rows:
-            earliest = min(earliest, int(frame["t"].min()))
-            read = frame[frame["phase"] == 0]
-            if len(read):
-                self.readings.appendList(
-                    [(int(k), int(t), float(v)) for k, t, v in zip(read["kind"], read["t"], read["value"])]
-                )
-            for k, i, t, v, phase in frame.loc[
-                frame["phase"] != 0, ["kind", "id", "t", "value", "phase"]
-            ].itertuples(index=False):
-                span = known.setdefault((int(k), int(i)), [OPEN, OPEN, 0.0])
-                if phase == 1:
-                    span[0], span[2] = int(t), float(v)
-                else:
-                    span[1] = int(t)
-        self.keep_intervals(known)
+            events = np.empty(len(frame), EVENT)
+            for name in EVENT.names:
+                events[name] = frame[name].to_numpy()
+            earliest = min(earliest, int(events["t"].min()))
+            self.arrived.appendValue((events.tobytes(),))
         self.handle.registerTimer(self.after(earliest - earliest % HOUR + HOUR))
         yield from ()
 
@@ -108,32 +127,31 @@ class RunningScore(StatefulProcessor):
     def after(end: int) -> int:
         return end // 1000 + 1
 
-    def keep_intervals(self, known: Mapping[tuple[int, int], list]) -> None:
-        spans = [(k, i, *span) for (k, i), span in known.items()]
-        self.intervals.put(spans) if spans else self.intervals.clear()
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        known = {(k, i): [b, e, v] for k, i, b, e, v in self.intervals.get()}
-        stays = [span for (k, _), span in known.items() if KINDS[k] == STAY and span[0] < OPEN]
+        following, alerted, *packed = self.kept.get() or (OPEN, False, b"", b"", b"")
+        readings, spans = (np.frombuffer(bytes(part), EVENT) for part in packed[:2])
+        ring = np.frombuffer(bytes(packed[2]), "int8").reshape(len(ORGANS), -1)
+        came = np.concatenate([np.frombuffer(bytes(part), EVENT) for (part,) in self.arrived.get()] or [readings[:0]])
+        readings = np.concatenate([readings, came[came["phase"] == 0]])
+        known = self.known(spans, came[came["phase"] != 0])
+        stays = known[(known["kind"] == KINDS.index(STAY)) & (known["begin"] < OPEN)]
         # Without a stay, its grid may still begin up to a day before what comes next.
         horizon = now - (LEAD + 2) * HOUR
-        if stays:
-            first, last = min(s[0] for s in stays), max(s[1] for s in stays)
+        if len(stays):
+            first, last = int(stays["begin"].min()), int(stays["end"].max())
             origin = -(-first // HOUR) * HOUR
-            if self.progress.exists():
-                following, _, alerted = self.progress.get()
-            else:
-                following, alerted = origin - LEAD * HOUR, False
+            following = origin - LEAD * HOUR if following == OPEN else following
             final = OPEN if last == OPEN else origin + (last // HOUR - first // HOUR) * HOUR
-            out, alerted = self.score(key[0], known, following, min(now - 1, final), origin, alerted)
-            following = out[-1][2] + HOUR if out else following
-            if any(r[1] >= 0 for r in out):
-                yield pd.DataFrame(
-                    [(k, hr, pd.Timestamp(end, unit="us"), *rest) for k, hr, end, *rest in out if hr >= 0],
-                    columns=[self.key, "hr", "endtime", *(o + "_24hours" for o in ORGANS), "sofa_24hours", "alert"],
-                )
-            self.progress.update((following, origin, alerted))
+            upto = min(now - 1, final)
+            while following <= upto:
+                n = min((upto - following) // HOUR + 1, PIECE)
+                points = np.concatenate([ring, hourly_points(self.worst(readings, known, following, n))], axis=1)
+                ring = points[:, -(RING - 1) :]
+                scored, alerted = self.rows(key[0], points, following, n, origin, alerted)
+                if scored is not None:
+                    yield scored
+                following += n * HOUR
             if following <= final:
                 horizon = following - HOUR
                 self.handle.registerTimer(self.after(max(following, now)))
@@ -141,47 +159,88 @@ class RunningScore(StatefulProcessor):
                 horizon = OPEN  # the stay is over: nothing that comes still counts
         else:
             self.handle.registerTimer(self.after(now + HOUR))
-        left = [r for r in self.readings.get() if r[1] > horizon]
-        self.readings.put([tuple(r) for r in left]) if left else self.readings.clear()
+        readings = readings[readings["t"] > horizon]
         # The stay itself is kept: later rows of it are beyond its grid, not before it.
-        self.keep_intervals({i: s for i, s in known.items() if KINDS[i[0]] == STAY or s[1] > horizon})
-
-    def score(self, key, known, following: int, upto: int, origin: int, alerted: bool):
-        """Rows for the hours from ``following`` that end by ``upto``, and whether one was an alert."""
-        by_hour: dict[int, list] = {}
-        for kind, t, value in self.readings.get():
-            by_hour.setdefault(-(-t // HOUR) * HOUR, []).append((KINDS[kind], t, value))
-        spans: dict[str, list] = {}
-        for (k, _), (begin, end, value) in known.items():
-            if begin < OPEN:
-                spans.setdefault(KINDS[k], []).append((begin, end, value))
-        ring = [tuple(r) for r in self.ring.get()]
-        out = []
-        for end in range(following, upto + 1, HOUR):
-            values: dict[str, float] = {}
-
-            def keep(name: str, value: float, better: Callable) -> None:
-                values[name] = better(values[name], value) if name in values else value
-
-            for name, t, value in by_hour.get(end, ()):
-                if name == SAMPLE:
-                    aided = any(b <= t <= e for b, e, _ in spans.get(VENTILATED, ()))
-                    keep("vent" if aided else "novent", value, min)
-                else:
-                    keep(name, value, min if name in LOWEST else max)
-            for name in RATES:
-                for begin, stop, value in spans.get(name, ()):
-                    if begin < end <= stop:
-                        keep(name, value, max)
-            ring = [r for r in ring if r[0] > end - RING * HOUR] + [(end, *organ_points(values))]
-            worst = [max(r[i + 1] for r in ring) for i in range(len(ORGANS))]
-            hr = (end - origin) // HOUR
-            fires = hr >= 0 and not alerted and sum(worst) >= self.threshold
-            alerted = alerted or fires
-            out.append((key, hr, end, *worst, sum(worst), fires))
-        if out:
-            self.ring.put(ring)
-        return out, alerted
+        known = known[(known["kind"] == KINDS.index(STAY)) | (known["end"] > horizon)]
+        self.arrived.clear()
+        self.kept.update((following, alerted, readings.tobytes(), self.events_of(known).tobytes(), ring.tobytes()))
+
+    @staticmethod
+    def known(spans: np.ndarray, came: np.ndarray) -> np.ndarray:
+        """Intervals from their events, those of before first; an end or a begin may not have come."""
+        found: dict[tuple[int, int], list] = {}
+        for kind, phase, ident, t, value in [*spans.tolist(), *came.tolist()]:
+            span = found.setdefault((kind, ident), [OPEN, OPEN, 0.0])
+            if phase == 1:
+                span[0], span[2] = t, value
+            else:
+                span[1] = t
+        fields = [("kind", "<i4"), ("id", "<i8"), ("begin", "<i8"), ("end", "<i8"), ("value", "<f8")]
+        return np.array([(*ident, *span) for ident, span in found.items()], dtype=fields)
+
+    @staticmethod
+    def events_of(known: np.ndarray) -> np.ndarray:
+        """The events that make up some intervals, as they are kept."""
+        both = []
+        for phase, side in ((1, "begin"), (2, "end")):
+            some = known[known[side] < OPEN]
+            events = np.empty(len(some), EVENT)
+            for name, values in (("kind", some["kind"]), ("id", some["id"]), ("t", some[side]), ("value", some["value"])):
+                events[name] = values
+            events["phase"] = phase
+            both.append(events)
+        return np.concatenate(both)
+
+    @staticmethod
+    def worst(readings: np.ndarray, known: np.ndarray, following: int, n: int) -> dict[str, np.ndarray]:
+        """The worst value of every kind in each of ``n`` hours, the first of which ends at ``following``."""
+        values = {name: np.full(n, _missing(name)) for name in VALUES}
+        # An hour holds what was read after its begin, its end included.
+        slots = -(-readings["t"] // HOUR) - following // HOUR
+        inside = (slots >= 0) & (slots < n)
+        readings, slots = readings[inside], slots[inside]
+
+        def keep(name: str, chosen: np.ndarray) -> None:
+            better = np.fmin if name in (*LOWEST, "vent", "novent") else np.maximum
+            better.at(values[name], slots[chosen], readings["value"][chosen])
+
+        for name in (*LOWEST, *HIGHEST):
+            keep(name, readings["kind"] == KINDS.index(name))
+        sample = readings["kind"] == KINDS.index(SAMPLE)
+        open_ = known[known["begin"] < OPEN]
+        aid = open_[open_["kind"] == KINDS.index(VENTILATED)]
+        aided = _within(readings["t"], aid["begin"], aid["end"])
+        keep("vent", sample & aided)
+        keep("novent", sample & ~aided)
+        for name in RATES:
+            given = open_[open_["kind"] == KINDS.index(name)]
+            # Hours that end behind the begin and at or before the end.
+            starts = np.clip(given["begin"] // HOUR + 1 - following // HOUR, 0, n)
+            stops = np.clip(given["end"] // HOUR + 1 - following // HOUR, 0, n)
+            for a, b, rate in zip(starts.tolist(), stops.tolist(), given["value"].tolist()):
+                np.maximum(values[name][a:b], rate, out=values[name][a:b])
+        return values
+
+    def rows(self, key, points: np.ndarray, following: int, n: int, origin: int, alerted: bool):
+        """Rows of ``n`` hours from their points and up to a day of points before them, and whether one
+        of them was an alert. The maxima of a row are packed into one number: ``unpacked`` reads it."""
+        before = RING - 1
+        padded = np.concatenate([np.zeros((len(ORGANS), max(0, before + n - points.shape[1])), "int8"), points], axis=1)
+        worst = np.lib.stride_tricks.sliding_window_view(padded, RING, axis=1).max(axis=2)
+        skipped = min(max(0, (origin - following) // HOUR), n)
+        if skipped == n:
+            return None, alerted
+        worst = worst[:, skipped:].astype("int32")
+        packed = (worst << BITS * np.arange(len(ORGANS), dtype="int32")[:, None]).sum(axis=0, dtype="int32")
+        ends = following + np.arange(skipped, n, dtype="int64") * HOUR
+        reached = np.flatnonzero(worst.sum(axis=0) >= self.threshold)[: not alerted]
+        packed[reached] |= 1 << BITS * len(ORGANS)
+        alerted = alerted or len(reached) > 0
+        if self.alerts_only:
+            packed, ends = packed[reached], ends[reached]
+        if not len(ends):
+            return None, alerted
+        return pd.DataFrame({self.key: key, "hr": (ends - origin) // HOUR, "end": ends, "packed": packed}), alerted
 
     def close(self) -> None:
         pass
@@ -214,11 +273,14 @@ def intervals(stream: DataFrame, key: str, start: str, end: str, kind: str, valu
     )
 
 
-def running_score(events: Iterable[DataFrame], key: str, lateness: str, threshold: int = 2) -> DataFrame:
+def running_score(
+    events: Iterable[DataFrame], key: str, lateness: str, threshold: int = 2, alerts_only: bool = False
+) -> DataFrame:
     """(key, hr, endtime, organ maxima of 24 hours, sofa_24hours, alert) for every closed hour.
 
     ``events`` are streams made by ``readings`` and ``intervals``, one of them of kind STAY. ``alert``
-    marks the first hour of a stay that reaches ``threshold``. The session must use RocksDB state.
+    marks the first hour of a stay that reaches ``threshold``; with ``alerts_only`` every hour is scored
+    and only those marked leave. The session must use RocksDB state.
     """
     streams = list(events)
     both = streams[0]
@@ -226,14 +288,27 @@ def running_score(events: Iterable[DataFrame], key: str, lateness: str, threshol
         both = both.unionByName(other)
     require_rocksdb(both.sparkSession)
     kind = dict(both.dtypes)[key]
-    organs = ", ".join(f"{o}_24hours int" for o in ORGANS)
-    return (
+    packed = (
         both.withWatermark("at", lateness)
         .groupBy(key)
         .transformWithStateInPandas(
-            statefulProcessor=RunningScore(key, threshold),
-            outputStructType=f"{key} {kind}, hr int, endtime timestamp, {organs}, sofa_24hours int, alert boolean",
+            statefulProcessor=RunningScore(key, threshold, alerts_only),
+            outputStructType=f"{key} {kind}, hr bigint, end bigint, packed int",
             outputMode="Append",
             timeMode="EventTime",
         )
     )
+    return packed.select(
+        key, F.col("hr").cast("int").alias("hr"), F.timestamp_micros("end").alias("endtime"), *unpacked(F.col("packed"))
+    )
+
+
+def unpacked(packed: Column) -> list[Column]:
+    """Organ maxima, their sum and the alert from the number that holds them."""
+    worst = [F.shiftright(packed, BITS * i).bitwiseAND((1 << BITS) - 1) for i in range(len(ORGANS))]
+    alert = F.shiftright(packed, BITS * len(ORGANS)) == 1
+    return [
+        *[w.alias(f"{o}_24hours") for o, w in zip(ORGANS, worst, strict=True)],
+        reduce(add, worst).alias("sofa_24hours"),
+        alert.alias("alert"),
+    ]
