@@ -9,11 +9,16 @@ from vitalgrid.functions.time import shift
 from vitalgrid.operators import ranking
 from vitalgrid.operators.intervals import point_in_interval
 from vitalgrid.operators.rolling import TASK_ROWS, trailing_sums, trailing_sums_self_join
-from conftest import rows
+from conftest import at, rows
+from vitalgrid.operators.bands import around, first_in_band
+from vitalgrid.operators.chunks import with_halo
+from vitalgrid.operators.grid import as_runs, grown, hour_grid, hour_runs
+from vitalgrid.functions.time import index
+from vitalgrid.plans import scores
 from vitalgrid.plans.graph import MODELS, Tables, item_groups
 from vitalgrid.catalog.models import tables_for
 from vitalgrid.catalog.registry import Source
-from vitalgrid.session import MANY_SIDES, MEASURED, apply_contract, bytes_of, scratch_dir
+from vitalgrid.session import MANY_SIDES, MEASURED, apply_contract, bytes_of, freed_shuffles, scratch_dir
 from vitalgrid.sources.derived import bronze
 from pyspark.sql import functions as F
 
@@ -165,3 +170,84 @@ def test_models_broadcast_small_sides_only(spark):
 @pytest.mark.parametrize("text, size", [("10485760b", 10 << 20), ("256k", 256 << 10), ("10MB", 10 << 20), ("-1", -1), ("7", 7)])
 def test_sizes_as_settings_write_them(text, size):
     assert bytes_of(text) == size
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in files.mkString("\n").split("\n") if "shuffle_" in f}
+
+
+def test_scores_move_once_and_their_grid_not_at_all(spark):
+    """Aggregate, growth of the grid and windows lie above one shuffle, which deals by (stay, block)."""
+    plan = plan_of(Tables(bronze(spark.read.parquet(f"{SF}/events.parquet")))["sofa"])
+    top, below = plan.split("Exchange", 1)
+    assert "Window [" in top and "Aggregate(" in top and "Generate explode" in top
+    assert "_block" in below.splitlines()[0] and "REPARTITION_BY_NUM" in below.splitlines()[0]
+
+
+def test_scores_near_a_suspicion_are_found_where_they_lie(spark):
+    """The join sends suspicions to the blocks of the scores; limits are included."""
+    t = Tables(bronze(spark.read.parquet(f"{SF}/events.parquet")))
+    hours = t.scored_hours(scores.BLOCK)
+    some = spark.createDataFrame([(30000001, at("9 10:00")), (30000002, at("1 00:00"))], "stay_id long, suspected_infection_time timestamp_ntz")
+    near = scores.within_reach(hours, some, 48, 24)
+    top, below = plan_of(near).split("Exchange", 1)
+    assert "SortMergeJoin [stay_id" in top and "Window [" in top and "REPARTITION_BY_NUM" in below.splitlines()[0]
+    inside = "stay_id = 30000001 AND endtime BETWEEN TIMESTAMP_NTZ'2024-01-07 10:00:00' AND TIMESTAMP_NTZ'2024-01-10 10:00:00'"
+    first = "stay_id = 30000002 AND endtime BETWEEN TIMESTAMP_NTZ'2023-12-30 00:00:00' AND TIMESTAMP_NTZ'2024-01-02 00:00:00'"
+    want = hours.where(f"({inside}) OR ({first})").drop("_block")
+    found = rows(near, "stay_id", "endtime")
+    assert found and found == rows(want, "stay_id", "endtime")
+
+
+def test_unique_candidates_need_no_reduction(spark):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    left = events.where("event_type = 'error'").select("user_id", F.col("ts").alias("t"))
+    right = events.where("event_type = 'view'").select("user_id", "ts", "event_id")
+    found = [
+        first_in_band(left, right, ["user_id"], "t", {"near": around(48, 24)}, F.struct("ts", "event_id"), "ts", unique=unique)
+        for unique in (False, True)
+    ]
+    columns = ["user_id", "t", "near.event_id"]
+    assert rows(found[0], *columns) == rows(found[1], *columns)
+    assert plan_of(found[1]).count("Exchange hash") < plan_of(found[0]).count("Exchange hash")
+
+
+@pytest.mark.parametrize("width, reach", [(240, 23), (7, 3), (5, 12)])
+def test_runs_grow_to_the_grid_with_its_halo(spark, width, reach):
+    data = [(1, at("08:10"), at("4 09:00")), (2, at("2 00:00"), at("2 00:00")), (3, at("5 10:00"), at("5 09:00")), (4, None, None)]
+    bounds = spark.createDataFrame(data, "k long, a timestamp_ntz, b timestamp_ntz")
+    grid = hour_grid(bounds, "k", "a", "b")
+    assert grid.count() == (73 + 25) + 25
+    placed = with_halo(grid, index("endtime", "hour"), width, reach)
+    # A block behind the last hour holds nothing but copies: no run is made for it.
+    used = placed.where("_own").select("k", "_block").distinct()
+    columns = ["k", "_block", "hr", "endtime"]
+    runs = grown(hour_runs(bounds, "k", "a", "b", 24, width, reach))
+    assert rows(runs, *columns) == rows(placed.join(used, ["k", "_block"]), *columns)
+    assert rows(grown(as_runs(grid, "k", width, reach)), *columns) == rows(placed, *columns)
+
+
+def test_scores_over_a_built_grid(spark):
+    """The grid read as a table, as ``build_models`` has it, gives the rows of one that grows."""
+    raw = bronze(spark.read.parquet(f"{SF}/events.parquet"))
+    built = Tables({**raw, "icustay_hourly": Tables(raw)["icustay_hourly"]})["sofa"]
+    columns = ["stay_id", "hr", "endtime", "renal", "sofa_24hours"]
+    assert rows(built, *columns) == rows(Tables(raw)["sofa"], *columns)
+
+
+def test_parts_are_written_without_a_shuffle(spark, tmp_path):
+    tables = Tables(bronze(spark.read.parquet(f"{SF}/events.parquet")), str(tmp_path / "store"))
+    before = shuffle_files(spark)
+    tables.part(["gcs", "bg", "chemistry", "icustay_times", "urine_output_rate"])
+    assert shuffle_files(spark) <= before
+
+
+def test_shuffles_of_a_finished_write_are_freed(spark, tmp_path):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own, before = spark.conf.get(key, None), shuffle_files(spark)
+    with freed_shuffles(spark):
+        spark.range(1000).groupBy(F.col("id") % 7).count().write.parquet(str(tmp_path / "t"))
+    assert shuffle_files(spark) <= before
+    assert spark.conf.get(key, None) == own
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 7

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vitalgrid.catalog.models import tables_for
 from vitalgrid.catalog.models_sql import model_sql
 from vitalgrid.catalog.registry import Source, query
-from vitalgrid.session import scratch_dir
+from vitalgrid.session import freed_shuffles, scratch_dir
 from vitalgrid.operators.bands import hours_after, hours_before
 from vitalgrid.streaming.alert import early_alert, hourly_points, use_rocksdb
 from vitalgrid.plans import items
@@ -188,7 +188,8 @@ def score_streams(s: Source) -> list:
     folder = scratch_dir(s.spark, "score_inputs")
 
     def replayed(name: str, rows):
-        rows.write.parquet(f"{folder}/{name}")
+        with freed_shuffles(s.spark):
+            rows.write.parquet(f"{folder}/{name}")
         return replay_stream(s.spark, f"{folder}/{name}", rows.schema)
 
     stays = t["icustays"].select("subject_id", "hadm_id", "stay_id")

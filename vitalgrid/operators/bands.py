@@ -36,6 +36,7 @@ def first_in_band(
     right_date: str | None = None,
     date_bands: Mapping[str, tuple[int, int]] | None = None,
     width: int | None = DAY,
+    unique: bool = False,
 ) -> DataFrame:
     """For each distinct (keys, left_t): the smallest ``rank`` struct among right rows in each band.
 
@@ -43,30 +44,29 @@ def first_in_band(
     [left_t + lo, left_t + hi), and hi - lo must be at least a day. A right row without a time
     matches by its date instead: date(left_t) + the band's day offsets (first, last), inclusive.
     Returns keys, left_t and one struct column per band, NULL where nothing matches. ``width`` is
-    None for blocks of equal depth instead of days.
+    None for blocks of equal depth instead of days. Right rows that are ``unique`` on (keys, right_t)
+    are not reduced first, which saves a shuffle of them.
     """
     keys = list(keys)
     date_bands = date_bands or {}
     if any(hi - lo < DAY for lo, hi in bands.values()):
         raise ValueError("a band must span at least one day")
 
-    # Candidates, reduced to one per (key, position) before anything is ordered.
+    # Candidates, one per (key, position) before anything is ordered.
     position = micros(right_t)
     day = block(position, DAY)
     if right_date is not None:
         day = F.coalesce(day, block(micros(right_date), DAY))
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    candidates = (
-        right.where(day.isNotNull() & known)
-        .groupBy(*keys, day.alias("_day"), position.alias("_pos"))
-        .agg(F.min(rank).alias("_rank"))
-        .select(
-            *keys,
-            "_day",
-            "_pos",
-            F.when(F.col("_pos").isNotNull(), F.col("_rank")).alias("_timed"),
-            F.when(F.col("_pos").isNull(), F.col("_rank")).alias("_dated"),
-        )
+    at_place = [*keys, day.alias("_day"), position.alias("_pos")]
+    usable = right.where(day.isNotNull() & known)
+    reduced = usable.select(*at_place, rank.alias("_rank")) if unique else usable.groupBy(*at_place).agg(F.min(rank).alias("_rank"))
+    candidates = reduced.select(
+        *keys,
+        "_day",
+        "_pos",
+        F.when(F.col("_pos").isNotNull(), F.col("_rank")).alias("_timed"),
+        F.when(F.col("_pos").isNull(), F.col("_rank")).alias("_dated"),
     )
 
     points = left.where(F.col(left_t).isNotNull()).select(*keys, left_t).distinct()

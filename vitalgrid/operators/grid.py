@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalgrid.functions.time import ceil_hour, elapsed, shift, trunc
+from vitalgrid.functions.time import block, ceil_hour, elapsed, index, shift, trunc
+from vitalgrid.operators.chunks import with_halo
 
 
 def hour_grid(df: DataFrame, key: str, first: str, last: str, lead: int = 24) -> DataFrame:
@@ -17,18 +18,52 @@ def hour_grid(df: DataFrame, key: str, first: str, last: str, lead: int = 24) ->
     has no rows. Keys are spread before they grow: the table of bounds is small, its grid is not.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hours = F.sequence(F.lit(-lead), elapsed("hour", first, last).cast("int"))
-    bounds = df.where(F.col(last) >= F.col(first)).select(key, first, last)
-    rows = bounds.repartition(parts, key).select(
-        key, ceil_hour(first).alias("_origin"), F.explode(hours).alias("hr")
+    runs = hour_runs(df, key, first, last, lead)
+    return grown(runs.repartition(parts, key, "_block")).select(key, "hr", "endtime")
+
+
+def hour_runs(
+    df: DataFrame, key: str, first: str, last: str, lead: int = 24, width: int = 240, reach: int = 0
+) -> DataFrame:
+    """``hour_grid`` before it grows: a run of hours for each key and block of ``width`` clock hours.
+
+    ``grown`` makes the hours of it. A run begins up to ``reach`` hours before its block, so it holds
+    what ``with_halo`` copies into the block of rows that reach so far.
+    """
+    bounds = df.where(F.col(last) >= F.col(first)).select(
+        key, ceil_hour(first).alias("_origin"), elapsed("hour", first, last).cast("int").alias("_elapsed")
     )
-    return rows.select(
+    at = bounds.withColumn("_hour", index("_origin", "hour"))
+    begin, end = F.col("_hour") - lead, F.col("_hour") + F.col("_elapsed")
+    blocks = F.sequence(block(begin, width), block(end, width))
+    here = F.col("_block") * width - F.col("_hour")
+    return at.withColumn("_block", F.explode(blocks)).select(
         key,
-        "hr",
-        (F.col("_origin") + F.make_dt_interval(F.lit(0), F.col("hr"))).alias("endtime"),
+        "_block",
+        "_origin",
+        F.greatest(F.lit(-lead), (here - reach).cast("int")).alias("_first"),
+        F.least(F.col("_elapsed"), (here + width - 1).cast("int")).alias("_last"),
     )
 
 
+def as_runs(grid: DataFrame, key: str, width: int, reach: int) -> DataFrame:
+    """Rows of an hourly grid as runs of one hour each, like those of ``hour_runs``."""
+    placed = with_halo(grid, index("endtime", "hour"), width, reach)
+    origin = F.col("endtime") - F.make_dt_interval(F.lit(0), F.col("hr"))
+    return placed.select(
+        key, "_block", origin.alias("_origin"), F.col("hr").alias("_first"), F.col("hr").alias("_last")
+    )
+
+
+def grown(runs: DataFrame) -> DataFrame:
+    """The hours of runs, as ``hr`` and ``endtime``; rows that are no runs stay as they are, without ``hr``."""
+    hours = F.when(F.col("_first").isNotNull(), F.sequence("_first", "_last"))
+    rows = runs.withColumn("hr", F.explode_outer(hours))
+    end = F.col("_origin") + F.make_dt_interval(F.lit(0), F.col("hr"))
+    known = [F.col("endtime")] if "endtime" in runs.columns else []
+    return rows.withColumn("endtime", F.coalesce(*known, end)).drop("_origin", "_first", "_last")
+
+
 def bucket_agg(
     grid: DataFrame,
     events: DataFrame,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,16 +23,28 @@ def star_left(grid: DataFrame, features: Sequence[DataFrame], on: Sequence[str])
 
 
 def star_merge(
-    grid: DataFrame, features: Sequence[DataFrame], on: Sequence[str], aggregates: Sequence[Column]
+    grid: DataFrame,
+    features: Sequence[DataFrame],
+    on: Sequence[str],
+    aggregates: Sequence[Column],
+    deal: Sequence[str] = (),
+    parts: int | None = None,
+    grow: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``star_left`` as one shuffle: stack grid and raw feature rows, aggregate, keep grid keys.
 
-    Features need not be unique: ``aggregates`` reduces them in the same pass.
+    Features need not be unique: ``aggregates`` reduces them in the same pass. With ``deal``, some of
+    ``on``, rows are dealt by those columns into ``parts`` tasks, and windows over them need no shuffle
+    of their own; ``grow`` makes the rows of a grid that is dealt before it grows.
     """
-    grid_columns = [c for c in grid.columns if c not in on]
+    grid_columns = [c for c in (grow(grid) if grow else grid).columns if c not in on]
     stacked = grid.withColumn("_grid", F.lit(True))
     for feature in features:
         stacked = stacked.unionByName(feature, allowMissingColumns=True)
+    if deal:
+        stacked = stacked.repartition(*([parts] if parts else []), *deal)
+    if grow:
+        stacked = grow(stacked)
     return (
         stacked.groupBy(*on)
         .agg(

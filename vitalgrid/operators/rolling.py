@@ -22,22 +22,25 @@ def rolling_max_rows(
     suffix: str,
     total: str | None = None,
     width: int = 240,
+    placed: bool = False,
 ) -> DataFrame:
     """Maximum of each column over the last ``n`` rows, missing taken as 0, and their sum.
 
     ``order`` must be a dense integer (one row per value, as a grid has), so n rows are n values.
+    Rows that are ``placed`` lie in blocks already, with the ``n - 1`` rows before each (``_block`` and
+    ``_own``, as ``with_halo`` makes them), and keep their ``_block``.
     """
-    placed = with_halo(df, F.col(order).cast("long"), width, n - 1)
+    rows = df if placed else with_halo(df, F.col(order).cast("long"), width, n - 1)
     frame = (
         Window.partitionBy(key, "_block")
         .orderBy(order)
         .rowsBetween(-(n - 1), Window.currentRow)
     )
-    rolled = placed.select(
+    rolled = rows.select(
         "*",
         *[F.coalesce(F.max(c).over(frame), F.lit(0)).alias(c + suffix) for c in columns],
     ).where("_own")
-    rolled = rolled.drop("_block", "_own")
+    rolled = rolled.drop("_own") if placed else rolled.drop("_block", "_own")
     if total:
         parts = [F.col(c + suffix) for c in columns]
         out = parts[0]

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.cleaning import filter_items
-from vitalgrid.functions.time import DAY
+from vitalgrid.functions.time import DAY, block, index
 from vitalgrid.operators.chunks import width_for
+from vitalgrid.operators.grid import as_runs
 from vitalgrid.operators.pivot import codes_of
 from vitalgrid.plans import charted, fluids, infection, items, labs, respiratory, scores, stays
-from vitalgrid.session import own_broadcasts, scratch_dir, small_broadcasts
+from vitalgrid.session import freed_shuffles, own_broadcasts, scratch_dir, settings, small_broadcasts
 
 # name -> (plan, tables it reads)
 MODELS: dict[str, tuple[Callable, tuple[str, ...]]] = {
@@ -70,6 +71,12 @@ SHARED = {
 }
 
 
+# Stored tables are read a few times and take room until the work is done: packed tight.
+PACKED = "zstd"
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+ROW_GROUP = 16 * 1024 * 1024  # of the files of one part: a task holds one for each part it writes
+
+
 # What each model reads of the two event tables. The scores take one vital sign only.
 READINGS: dict[str, dict[str, Callable[[], Iterable[int]]]] = {
     "chartevents": {
@@ -112,8 +119,9 @@ class Parted:
         tagged = filter_items(table, "itemid", self._groups).withColumn(
             "item_group", F.element_at(F.create_map(*pairs), F.col("itemid"))
         )
-        # One pass over the table. Large groups are written by several tasks, small ones by one.
-        tagged.hint("rebalance", "item_group").write.partitionBy("item_group").parquet(path)
+        # One pass over the table, without a shuffle or a sort of it: each task writes all groups at once.
+        packed = tagged.write.option("compression", PACKED).option("parquet.block.size", ROW_GROUP)
+        packed.partitionBy("item_group").parquet(path)
         schema = tagged.select(*table.columns, "item_group").schema
         self._frame = table.sparkSession.read.schema(schema).parquet(path)
 
@@ -156,7 +164,7 @@ class Tables(Mapping):
         if self._store is None:
             return frame
         path = f"{self._store}/{name}"
-        frame.write.mode("overwrite").parquet(path)
+        frame.write.mode("overwrite").option("compression", PACKED).parquet(path)
         return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
     def width(self, frame: DataFrame, keys: Iterable[str], t: str) -> int | None:
@@ -174,6 +182,23 @@ class Tables(Mapping):
         plan, _ = MODELS[name]
         return plan(self, columns)
 
+    def hourly_runs(self, width: int, reach: int) -> DataFrame:
+        """The hourly grid by blocks: before it grows, or from its rows where it is built."""
+        if "icustay_hourly" in self._frames:
+            return as_runs(self["icustay_hourly"], "stay_id", width, reach)
+        return MODELS["icustay_hourly"][0](self, width, reach)
+
+    def scored_hours(self, width: int) -> DataFrame:
+        """Hourly scores with the block of ``width`` hours (``_block``) they lie in, by which they are dealt
+        if they are not built yet."""
+        if "sofa" in self._frames:
+            return self["sofa"].withColumn("_block", block(index("endtime", "hour"), width))
+        return MODELS["sofa"][0](self, blocks=True)
+
+    def hours(self, runs: DataFrame) -> int | None:
+        """Hours of runs that rest on a kept table; not known for lazy plans."""
+        return None if self._store is None else runs.agg(F.sum(F.col("_last") - F.col("_first") + 1)).first()[0] or 0
+
     def readings(self, table: str, codes: Iterable[int]) -> DataFrame:
         """Rows of some items of an event table, from the copy parted by items where there is one."""
         codes = list(codes)
@@ -192,7 +217,9 @@ class Tables(Mapping):
             known = table in self._frames and groups
             return table, Parted(self[table], groups, f"{self._store}/{table}_by_item") if known else None
 
-        with ThreadPoolExecutor(workers) as pool:
+        most = max(len(set(item_groups(table, models).values())) for table in READINGS)
+        spark = next(iter(self._frames.values())).sparkSession
+        with settings(spark, {WRITERS: str(most)}), ThreadPoolExecutor(workers) as pool:
             self._parted |= {table: parted for table, parted in pool.map(write, READINGS) if parted}
         return self._parted
 
@@ -208,8 +235,9 @@ class Tables(Mapping):
                 self[n]
 
         order = build_order([name])
-        self.part(readers_of(order, name))
-        side_by_side([n for n in order if n != name], build, workers)
+        with freed_shuffles(next(iter(self._frames.values())).sparkSession):
+            self.part(readers_of(order, name))
+            side_by_side([n for n in order if n != name], build, workers)
 
     def __iter__(self):
         return iter(self._frames)
@@ -282,7 +310,8 @@ def build_models(
     order = build_order(names)
     small_broadcasts(spark)
     # Every model is built here, vital signs too, and the scores read them from their table.
-    parted = Tables(bronze, scratch_dir(spark, "build_parts")).part(set(order) - {"sofa"})
+    with freed_shuffles(spark):
+        parted = Tables(bronze, scratch_dir(spark, "build_parts")).part(set(order) - {"sofa"})
 
     def build(name: str) -> None:
         plan, _ = MODELS[name]
@@ -291,7 +320,8 @@ def build_models(
         frames[name] = replace_table(spark, rows, database, name)
 
     try:
-        side_by_side(order, build, workers)
+        with freed_shuffles(spark):
+            side_by_side(order, build, workers)
     finally:
         own_broadcasts(spark)
     return {name: frames[name] for name in order}

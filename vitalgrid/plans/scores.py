@@ -8,17 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.rules import score_ladder
-from vitalgrid.functions.time import ceil_hour, shift
+from vitalgrid.functions.time import block, ceil_hour, index, shift
 from vitalgrid.operators.bands import around, first_in_band
-from vitalgrid.operators.grid import clipped, interval_to_hours
+from vitalgrid.operators.chunks import with_halo
+from vitalgrid.operators.grid import clipped, grown, interval_to_hours
 from vitalgrid.operators.intervals import point_in_interval
 from vitalgrid.operators.ranking import top1
 from vitalgrid.operators.relational import join_inner, star_merge
-from vitalgrid.operators.rolling import rolling_max_rows
+from vitalgrid.operators.rolling import TASK_ROWS, rolling_max_rows
 from vitalgrid.plans import items
 
 ORGANS = ["respiration", "coagulation", "liver", "cardiovascular", "cns", "renal"]
 AT = ["stay_id", "endtime"]
+WINDOW = 24  # rows of the hourly grid that a score looks back over, its own included
+BLOCK = 240  # hours of a stay that are worked on together
+BEFORE, AFTER = 48, 24  # hours around a suspicion in which a score counts
 VITALS_READ = ("mbp",)
 
 
@@ -125,9 +129,13 @@ def arterial_ratios(t, grid_bounds: DataFrame) -> DataFrame:
 
 
 def hourly_features(t) -> DataFrame:
-    """Every grid hour with the worst value of each measurement inside it, in one shuffle."""
+    """Every grid hour with the worst value of each measurement inside it, in one shuffle.
+
+    Rows lie in blocks of hours (``_block``), each with the hours before it that its windows see
+    (``_own`` tells them apart). The grid grows behind the shuffle, which moves a row for each block.
+    """
     stays = t["icustays"].select("subject_id", "hadm_id", "stay_id")
-    grid = t["icustay_hourly"]  # built from the stays, so every row has one
+    grid = t.hourly_runs(BLOCK, WINDOW - 1)  # built from the stays, so every row has one
     times = t["icustay_times"].where(F.col("intime_hr").isNotNull())
     # The grid of a stay covers (ceil(first) - 25 h, ceil(first) + elapsed hours].
     grid_bounds = times.select(
@@ -180,7 +188,15 @@ def hourly_features(t) -> DataFrame:
         "uo_24hr", "bilirubin_max", "creatinine_max",
     ]
     worst = [F.min(c).alias(c) for c in lowest] + [F.max(c).alias(c) for c in highest]
-    return star_merge(grid, features, AT, worst)
+    blocks = [with_halo(f, index("endtime", "hour"), BLOCK, WINDOW - 1).drop("_own") for f in features]
+    hours = t.hours(grid)
+    context = grid.sparkSession
+    least = int(context.conf.get("spark.sql.shuffle.partitions"))
+    parts = least if hours is None else max(context.sparkContext.defaultParallelism, -(-hours // TASK_ROWS))
+    merged = star_merge(
+        grid, blocks, ["stay_id", "_block", "endtime"], worst, deal=["stay_id", "_block"], parts=parts, grow=grown
+    )
+    return merged.withColumn("_own", index("endtime", "hour") >= F.col("_block") * BLOCK)
 
 
 SOFA_VALUES = (
@@ -190,8 +206,11 @@ SOFA_VALUES = (
 )
 
 
-def sofa(t) -> DataFrame:
-    """One row per stay and hour from admission on: organ points, 24-row maxima and their sum."""
+def sofa(t, blocks: bool = False) -> DataFrame:
+    """One row per stay and hour from admission on: organ points, 24-row maxima and their sum.
+
+    With ``blocks``, rows tell the block of hours they are dealt by (``_block``).
+    """
     scored = hourly_features(t).select(
         "stay_id",
         "hr",
@@ -199,17 +218,35 @@ def sofa(t) -> DataFrame:
         "endtime",
         *SOFA_VALUES,
         *[points.alias(organ) for organ, points in organ_points().items()],
+        "_block",
+        "_own",
     )
     rolled = rolling_max_rows(
-        scored, "stay_id", "hr", 24, ORGANS, "_24hours", total="sofa_24hours"
+        scored, "stay_id", "hr", WINDOW, ORGANS, "_24hours", total="sofa_24hours", placed=True
     )
     # Hours before admission feed the window and leave only after it.
-    return rolled.where(F.col("hr") >= 0)
+    scores = rolled.where(F.col("hr") >= 0)
+    return scores if blocks else scores.drop("_block")
+
+
+def within_reach(scores: DataFrame, suspicions: DataFrame, before: int, after: int) -> DataFrame:
+    """Scores that lie so many hours around a suspicion of their stay.
+
+    They meet by (stay, block), as the scores are dealt: only the suspicions move.
+    """
+    at = F.col("suspected_infection_time")
+    spans = suspicions.select(
+        F.col("stay_id").alias("_stay"), shift(at, hours=-before).alias("_from"), shift(at, hours=after).alias("_to")
+    )
+    first, last = (block(index(t, "hour"), BLOCK) for t in ("_from", "_to"))
+    spans = spans.withColumn("_in", F.explode(F.sequence(first, last)))
+    met = (F.col("stay_id") == F.col("_stay")) & (F.col("_block") == F.col("_in"))
+    return scores.join(spans, met & F.col("endtime").between(F.col("_from"), F.col("_to")), "left_semi").drop("_block")
 
 
 def sepsis3(t) -> DataFrame:
     """One row per stay with sepsis: the first suspicion that has a score of 2 or more around it."""
-    high = t["sofa"].where(F.col("sofa_24hours") >= 2)
+    high = t.scored_hours(BLOCK).where(F.col("sofa_24hours") >= 2)
     # The match depends on (stay, suspicion time) only, so those are made unique first.
     suspicions = top1(
         t["suspicion_of_infection"].where(
@@ -228,12 +265,13 @@ def sepsis3(t) -> DataFrame:
     )
     matches = first_in_band(
         suspicions,
-        high,
+        within_reach(high, suspicions, BEFORE, AFTER),
         ["stay_id"],
         "suspected_infection_time",
-        {"score": around(48, 24)},
+        {"score": around(BEFORE, AFTER)},
         score,
         "endtime",
+        unique=True,
     ).where(F.col("score").isNotNull())
     found = suspicions.join(matches, ["stay_id", "suspected_infection_time"], "inner")
     first = top1(found, ["stay_id"], [F.col("suspected_infection_time").asc_nulls_last()])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vitalgrid.functions.time import shift
 from vitalgrid.operators import ranking
 from vitalgrid.operators.aggregates import time_bounds
-from vitalgrid.operators.grid import hour_grid
+from vitalgrid.operators.grid import hour_grid, hour_runs
 from vitalgrid.operators.intervals import backfill_first
 from vitalgrid.operators.relational import join_inner, join_left, union_rows
 from vitalgrid.plans import items
@@ -24,9 +24,13 @@ def icustay_times(t) -> DataFrame:
     )
 
 
-def icustay_hourly(t) -> DataFrame:
-    """One row per stay and hour, from 24 hours before the first heart rate to the last."""
-    return hour_grid(t["icustay_times"], "stay_id", "intime_hr", "outtime_hr", lead=24)
+def icustay_hourly(t, width: int | None = None, reach: int = 0) -> DataFrame:
+    """One row per stay and hour, from 24 hours before the first heart rate to the last.
+
+    With ``width``, its runs by blocks of so many hours, which have not grown yet.
+    """
+    bounds = (t["icustay_times"], "stay_id", "intime_hr", "outtime_hr")
+    return hour_grid(*bounds, lead=24) if width is None else hour_runs(*bounds, 24, width, reach)
 
 
 def weight_durations(t) -> DataFrame:

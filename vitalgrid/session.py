@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -79,6 +81,29 @@ def own_broadcasts(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Run-time settings for the while of some work."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def freed_shuffles(spark: SparkSession):
+    """Each job that ends meanwhile gives its shuffle files back at once.
+
+    Spark frees them when the driver collects garbage, and a driver with memory to spare does so late:
+    files of models that are long stored add up beside those of the last one. Only for frames that are
+    run once, as those are that are written: another run would make them again.
+    """
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def bytes_of(size: str) -> int:
     """A size as Spark's settings write it: 10485760b, 256k, 10MB."""
     number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", size.strip().lower()).groups()
